@@ -14,8 +14,11 @@ from portdelta.operators.joins import self_join_window
 from portdelta.operators.rolling import delta_lag_stream, delta_stateful
 from portdelta.plans import window_delta_rows
 from portdelta.session import fresh_path
+from portdelta.ship import by_value
 from portdelta.streaming import fan_out, file_sink, start_stream
 
+by_value(__name__)
+
 _FOUR = ["in_octets", "in_pkts", "out_octets", "out_pkts"]
 _KEY = "devicename, interface"
 _BY = f"PARTITION BY {_KEY} ORDER BY ts, event_id"

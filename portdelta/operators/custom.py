@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
+from portdelta.ship import by_value
+
+by_value(__name__)
+
 
 def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
     """Each row to any number of rows, a batch at a time."""

@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from portdelta.operators.slices import SLICE, SLICE_SECONDS, slice_of
+from portdelta.ship import by_value
+
+by_value(__name__)
 
 _US = 1_000_000
 
