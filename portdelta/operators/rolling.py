@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,24 +34,26 @@ def _starts(times: np.ndarray, entry: int, span: int) -> list[int]:
     return out
 
 
-def _pieces(times: np.ndarray, values: np.ndarray, starts: list[int], open_since: int | None) -> pd.DataFrame:
-    """Share of each interval in these samples: start, end if closed here, maximum and minimum."""
-    cuts = ([0] if open_since is not None and (not starts or starts[0] > 0) else []) + starts
-    if not cuts:
-        return pd.DataFrame({"start": [], "end": [], "high": [], "low": []})
+Piece = tuple[int, int | None, int, int]
+
+
+def _pieces(times: np.ndarray, values: np.ndarray, starts: list[int], since: int | None) -> list[Piece]:
+    """Share of each interval in these samples: start, end if closed here, maximum and minimum.
+
+    ``since`` is the start of the interval still open before the first sample.
+    """
     begins = [int(times[i]) for i in starts]
-    if len(cuts) > len(starts):
-        begins = [open_since, *begins]
-    high = np.maximum.reduceat(values, cuts)
-    low = np.minimum.reduceat(values, cuts)
-    rows = [(b, None, int(h), int(m)) for b, h, m in zip(begins, high, low)]
+    cuts = list(starts)
+    if since is not None and (not starts or starts[0] > 0):
+        begins, cuts = [since, *begins], [0, *cuts]
+    high, low = np.maximum.reduceat(values, cuts), np.minimum.reduceat(values, cuts)
+    rows: list[Piece] = [(b, None, int(h), int(m)) for b, h, m in zip(begins, high, low)]
     # A start also closes the interval before it.
-    before = [open_since, *[int(times[i]) for i in starts[:-1]]] if starts else []
-    for prev, i in zip(before, starts):
+    open_before = [since, *[int(times[i]) for i in starts[:-1]]]
+    for prev, i in zip(open_before, starts):
         if prev is not None:
             rows.append((prev, int(times[i]), int(values[i]), int(values[i])))
-    out = pd.DataFrame(rows, columns=["start", "end", "high", "low"])
-    return out.astype({"end": "Int64"})
+    return rows
 
 
 def _slice_table(times: np.ndarray, begin: int, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,40 +96,46 @@ def _batch(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int, s
         )
     )
 
-    def describe(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf["_t"].to_numpy())
-        upto, leaves = _slice_table(times, int(key[-1]) * width * _US, span)
-        out = pd.DataFrame({SLICE: int(key[-1]), "upto": upto, "leaves": leaves})
-        return _with_keys(out, keys, key[:-1])
-
-    def chain(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([SLICE, "upto"])
-        rows, since = [], None
-        for number, part in pdf.groupby(SLICE, sort=True):
-            rows.append((int(number), since))
-            entry = part["upto"].iloc[0] if since is None else since + span
-            fits = part["leaves"][part["upto"] >= entry]
-            if len(fits):
-                since = int(fits.iloc[0])
-        out = pd.DataFrame(rows, columns=[SLICE, "since"]).astype({"since": "Int64"})
-        return _with_keys(out, keys, key)
-
-    def cut(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values(["_t", "_v"])
-        times, values = left["_t"].to_numpy(), left["_v"].to_numpy()
-        known = right["since"].iloc[0]
-        since = None if pd.isna(known) else int(known)
+    def result(key: tuple, names: Sequence[str], columns: Sequence[Sequence]) -> pa.Table:
+        n = len(columns[0])
+        arrays = [pa.repeat(k, n) for k in key] + [pa.array(c, pa.int64()) for c in columns]
+        return pa.table(arrays, names=[*keys, *names])
+
+    def describe(key: tuple, rows: pa.Table) -> pa.Table:
+        times = np.sort(rows["_t"].to_numpy())
+        number = key[-1].as_py()
+        upto, leaves = _slice_table(times, number * width * _US, span)
+        return result(key[:-1], [SLICE, "upto", "leaves"], [np.full(len(upto), number), upto, leaves])
+
+    def chain(key: tuple, rows: pa.Table) -> pa.Table:
+        table = np.stack([rows[c].to_numpy() for c in (SLICE, "upto", "leaves")], axis=1)
+        table = table[np.lexsort((table[:, 1], table[:, 0]))]
+        numbers, begin = np.unique(table[:, 0], return_index=True)
+        known, since = [], None
+        for part in np.split(table, begin[1:]):
+            known.append(since)
+            at = 0 if since is None else int(np.searchsorted(part[:, 1], since + span))
+            if at < len(part):
+                since = int(part[at, 2])
+        return result(key, [SLICE, "since"], [numbers, known])
+
+    def cut(key: tuple, rows: pa.Table, opened: pa.Table) -> pa.Table:
+        times, values = rows["_t"].to_numpy(), rows["_v"].to_numpy()
+        order = np.lexsort((values, times))
+        times, values = times[order], values[order]
+        since = opened["since"][0].as_py()
         starts = _starts(times, int(times[0]) if since is None else since + span, span)
-        return _with_keys(_pieces(times, values, starts, since), keys, key[:-1])
+        pieces = _pieces(times, values, starts, since)
+        return result(key[:-1], ["start", "end", "high", "low"], list(zip(*pieces)))
 
     # Only the short table of each slice is chained per key; samples stay in their slice.
     times = samples.select(*keys, SLICE, "_t")
-    tables = times.groupBy(*keys, SLICE).applyInPandas(describe, schema(SLICE, "upto", "leaves"))
-    opened = tables.groupBy(*keys).applyInPandas(chain, schema(SLICE, "since"))
+    tables = times.groupBy(*keys, SLICE).applyInArrow(describe, schema(SLICE, "upto", "leaves"))
+    opened = tables.groupBy(*keys).applyInArrow(chain, schema(SLICE, "since"))
     pieces = (
         samples.groupBy(*keys, SLICE)
         .cogroup(opened.groupBy(*keys, SLICE))
-        .applyInPandas(cut, schema("start", "end", "high", "low"))
+        .applyInArrow(cut, schema("start", "end", "high", "low"))
     )
     return (
         pieces.groupBy(*keys, "start")
@@ -161,12 +170,12 @@ def _stream(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int)
         times, values = rows["_t"].to_numpy(), rows["_v"].to_numpy()
         since, high, low = state.get if state.exists else (None, None, None)
         starts = _starts(times, int(times[0]) if since is None else since + span, span)
-        parts = _pieces(times, values, starts, since)
+        pieces = _pieces(times, values, starts, since)
         if since is not None:
-            held = pd.DataFrame([(since, None, high, low)], columns=parts.columns).astype({"end": "Int64"})
-            parts = pd.concat([held, parts])
+            pieces.append((since, None, high, low))
+        parts = pd.DataFrame(pieces, columns=["start", "end", "high", "low"]).astype({"end": "Int64"})
         whole = parts.groupby("start", as_index=False).agg({"end": "max", "high": "max", "low": "min"})
-        newest = whole[whole["start"] == whole["start"].max()].iloc[0]
+        newest = whole.iloc[-1]
         state.update((int(newest["start"]), int(newest["high"]), int(newest["low"])))
         closed = whole[whole["end"].notna()]
         out = pd.DataFrame(

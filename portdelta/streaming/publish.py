@@ -55,24 +55,29 @@ def publish_once(
     Returns whether there was anything to look at. Only ledger days that the batch touches are read.
     """
     spark = df.sparkSession
-    first, last = df.agg(F.min(F.to_date(ts)), F.max(F.to_date(ts))).first()
-    if first is None and df.isEmpty():
-        return False
-    sent = read_ledger(spark, ledger, df, keys).where(F.col(_BATCH) != batch_id)
-    if first is not None:
-        sent = sent.where(F.col(_DAY).between(first, last) | F.col(_DAY).isNull())
-    new = _one_per_key(not_published(df, sent, keys), keys)
-    new.persist()
+    df.persist()
     try:
-        sink(new, batch_id)
-        (
-            new.select(*keys, F.to_date(ts).alias(_DAY))
-            .write.mode("overwrite")
-            .partitionBy(_DAY)
-            .parquet(f"{ledger}/{_BATCH}={batch_id}")
-        )
+        first, last = df.agg(F.min(F.to_date(ts)), F.max(F.to_date(ts))).first()
+        if first is None and df.isEmpty():
+            return False
+        sent = read_ledger(spark, ledger, df, keys).where(F.col(_BATCH) != batch_id)
+        if first is not None:
+            sent = sent.where(F.col(_DAY).between(first, last) | F.col(_DAY).isNull())
+        new = _one_per_key(not_published(df, sent, keys), keys).persist()
+        try:
+            sink(new, batch_id)
+            (
+                new.select(*keys, F.to_date(ts).alias(_DAY))
+                # One file per day where it is small, several where it is not.
+                .hint("rebalance", _DAY)
+                .write.mode("overwrite")
+                .partitionBy(_DAY)
+                .parquet(f"{ledger}/{_BATCH}={batch_id}")
+            )
+        finally:
+            new.unpersist()
     finally:
-        new.unpersist()
+        df.unpersist()
     return True
 
 
