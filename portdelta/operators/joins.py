@@ -190,11 +190,12 @@ def request_enrich(
     joined = salted_join(asked, known, ["_key"], "left", salt)
     joined = salted_join(joined, limits, [threshold_key], "left", salt)
     found = F.col("_known").isNotNull()
+    shown = F.coalesce(F.col(key).cast("string"), F.lit("unknown key"))
     return joined.select(
         *requests.columns,
         F.when(F.col("_health"), HEALTHCHECK).when(found, "OK").otherwise("ERROR").alias("status"),
         F.when(~F.col("_health") & found, rule).alias("result"),
-        F.when(~F.col("_health") & ~found, F.concat(F.lit("no data for "), F.col(key).cast("string"))).alias(
+        F.when(~F.col("_health") & ~found, F.concat(F.lit("no data for "), shown)).alias(
             "message"
         ),
     )
