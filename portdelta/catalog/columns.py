@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from portdelta.catalog.registry import query
-from portdelta.catalog.tel import KEYS, SENT, table, tel, system_messages, with_tel
+from portdelta.catalog.tel import KEYS, SENT, spread_tel, system_messages, table, tel, with_tel
 from portdelta.functions import (
     bucket,
     bulk_cast,
@@ -72,7 +72,7 @@ _TYPED = ", ".join(n for n in SENT if n not in ("in_octets", "out_errors"))
                         CASE WHEN event_id % 101 <> 0 THEN out_errors END AS out_errors FROM tel"""),
 )
 def cast_all(spark, sf):
-    flat = explode_system(parse_value(system_messages(tel(spark, sf)), SYSTEM_ENVELOPE))
+    flat = explode_system(parse_value(system_messages(spread_tel(spark, sf)), SYSTEM_ENVELOPE))
     return bulk_cast(flat, "bigint", KEYS)
 
 

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from portdelta.catalog.registry import query
-from portdelta.catalog.tel import KEYS, SUB_KEYS, stream_tel, system_messages, tel, with_tel
+from portdelta.catalog.tel import KEYS, SUB_KEYS, spread_tel, stream_tel, system_messages, tel, with_tel
 from portdelta.model import DELTA_COUNTERS, GAUGES, OUTPUT_COLUMNS
 from portdelta.operators import deltas
 from portdelta.operators.custom import combine_per_key, flat_map
@@ -245,7 +245,7 @@ _OUTPUT_SELECT = ", ".join(f"{_OUTPUT[c]} AS {c}" for c in OUTPUT_COLUMNS)
     with_tel(f"SELECT {_OUTPUT_SELECT} FROM framed GROUP BY {_KEY}, w", _SYSTEM, _overlap("sent", "fts")),
 )
 def delta_output(spark, sf):
-    return window_delta_rows(system_messages(tel(spark, sf)), _LONG, _SLIDE, watermark=None)
+    return window_delta_rows(system_messages(spread_tel(spark, sf)), _LONG, _SLIDE, watermark=None)
 
 
 _ROLLING = f"""pts AS (SELECT {_KEY}, epoch_us(ts) AS t, in_octets AS v FROM tel),

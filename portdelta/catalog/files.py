@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from portdelta.catalog.registry import query
-from portdelta.catalog.tel import small_device_messages, table, tel, with_tel
+from portdelta.catalog.tel import small_device_messages, spread_tel, table, tel, with_tel
 from portdelta.operators.parse import parse_value
 from portdelta.session import fresh_path
 from portdelta.sinks import (
@@ -32,7 +32,7 @@ def _name(label: str) -> str:
 
 def _message_folder(spark, sf: str) -> str:
     path = fresh_path(spark, "messages")
-    small_device_messages(tel(spark, sf)).select(F.col("value").cast("string")).write.text(path)
+    small_device_messages(spread_tel(spark, sf)).select(F.col("value").cast("string")).write.text(path)
     return path
 
 

@@ -12,6 +12,7 @@ from portdelta.catalog.tel import (
     optics_messages,
     poll_messages,
     small_device_messages,
+    spread_tel,
     system_list_messages,
     system_messages,
     tel,
@@ -34,7 +35,7 @@ _TS = "make_timestamp((epoch_ns // 100000) * 100)"
 
 @query("parse_value", with_tel("SELECT devicename, event_id, epoch_ns, 1 AS interfaces FROM tel"))
 def parse_value(spark, sf):
-    rows = parse.parse_value(small_device_messages(tel(spark, sf)), ENVELOPE)
+    rows = parse.parse_value(small_device_messages(spread_tel(spark, sf)), ENVELOPE)
     return rows.select(
         F.col("ucgDeviceName").alias("devicename"),
         F.col("ucgSequenceNum").cast("long").alias("event_id"),
@@ -49,7 +50,7 @@ def parse_value(spark, sf):
                        epoch_ms AS timestamp, interface, CAST(out_octets AS VARCHAR) AS out_octets FROM tel"""),
 )
 def parse_head(spark, sf):
-    rows = parse.parse_head(system_messages(tel(spark, sf)))
+    rows = parse.parse_head(system_messages(spread_tel(spark, sf)))
     return rows.select(
         "ucgDeviceName",
         "ucgSource",
@@ -71,7 +72,7 @@ def _lines(spark, sf):
         .when(kind == 3, F.concat(head, F.lit(',"ucgJsonData":{"interfaces":{}}}')))
         .otherwise(F.concat(head, F.lit(',"ucgJsonData":{"interfaces":{"interface":{}}}}')))
     )
-    return tel(spark, sf).select(text.alias("value"))
+    return spread_tel(spark, sf).select(text.alias("value"))
 
 
 _LINES = """lines AS (
@@ -115,7 +116,7 @@ _OWN = ", ".join(_SENT_COLS) + ", nullif(in_errors, 0) AS in_errors"
                         NULL, CASE WHEN event_id % 10 <> 0 THEN 3 END FROM tel"""),
 )
 def explode_interfaces(spark, sf):
-    rows = flatten.explode_interfaces(parse.parse_value(device_messages(tel(spark, sf)), ENVELOPE))
+    rows = flatten.explode_interfaces(parse.parse_value(device_messages(spread_tel(spark, sf)), ENVELOPE))
     return rows.select("devicename", "timestamp", "interface", *_SENT_COLS, "in_errors", "in_unknown_protos")
 
 
@@ -125,7 +126,7 @@ def explode_interfaces(spark, sf):
                         in_pkts, out_octets, out_pkts FROM tel"""),
 )
 def explode_subinterfaces(spark, sf):
-    rows = flatten.explode_subinterfaces(parse.parse_value(device_messages(tel(spark, sf)), ENVELOPE))
+    rows = flatten.explode_subinterfaces(parse.parse_value(device_messages(spread_tel(spark, sf)), ENVELOPE))
     return rows.select(
         "devicename", "timestamp", "interface", "subinterface", "in_octets", "in_pkts", "out_octets", "out_pkts"
     )
@@ -167,7 +168,7 @@ _TEXTS_STRICT = """'PERF' AS "ucgSource", CAST(NULL AS VARCHAR) AS "ucgType" """
     ),
 )
 def flatten_all(spark, sf):
-    return flatten.flatten_all(parse.parse_value(device_messages(tel(spark, sf)), ENVELOPE))
+    return flatten.flatten_all(parse.parse_value(device_messages(spread_tel(spark, sf)), ENVELOPE))
 
 
 @query(
@@ -183,7 +184,7 @@ def flatten_all(spark, sf):
     ),
 )
 def flatten_strict(spark, sf):
-    return flatten.flatten_strict(parse.parse_value(device_messages(tel(spark, sf)), ENVELOPE))
+    return flatten.flatten_strict(parse.parse_value(device_messages(spread_tel(spark, sf)), ENVELOPE))
 
 
 _TEXT_COUNTERS = ", ".join(f"CAST({n} AS VARCHAR) AS {n}" for n in SENT)
@@ -195,7 +196,7 @@ _TEXT_COUNTERS = ", ".join(f"CAST({n} AS VARCHAR) AS {n}" for n in SENT)
 )
 def explode_interface_list(spark, sf):
     return flatten.explode_interface_list(
-        parse.parse_value(system_list_messages(tel(spark, sf)), SYSTEM_LIST_ENVELOPE)
+        parse.parse_value(system_list_messages(spread_tel(spark, sf)), SYSTEM_LIST_ENVELOPE)
     )
 
 
@@ -215,7 +216,7 @@ _CH = "devicename AS \"ucgDeviceName\", 'oc-' || interface AS component"
     ),
 )
 def flatten_optics(spark, sf):
-    return flatten.flatten_optics(parse.parse_value(optics_messages(tel(spark, sf)), OPTICS_ENVELOPE))
+    return flatten.flatten_optics(parse.parse_value(optics_messages(spread_tel(spark, sf)), OPTICS_ENVELOPE))
 
 
 @query(
@@ -251,7 +252,7 @@ def flatten_nested(spark, sf):
     ),
 )
 def split_record_kinds(spark, sf):
-    kinds = parse.split_record_kinds(parse.parse_value(kind_messages(tel(spark, sf)), ENVELOPE))
+    kinds = parse.split_record_kinds(parse.parse_value(kind_messages(spread_tel(spark, sf)), ENVELOPE))
     content = {
         "interface_counters": F.col("in_octets").cast("string"),
         "subinterface_counters": F.col("in_octets").cast("string"),
@@ -274,7 +275,7 @@ def split_record_kinds(spark, sf):
 
 
 def _poll(spark, sf):
-    return parse.parse_value(poll_messages(tel(spark, sf)), POLL_ENVELOPE, keep=("src",))
+    return parse.parse_value(poll_messages(spread_tel(spark, sf)), POLL_ENVELOPE, keep=("src",))
 
 
 _POLL = """poll AS (
@@ -339,5 +340,5 @@ def psv(spark, sf):
     ),
 )
 def flatten_with_time_parts(spark, sf):
-    rows = flatten.explode_interfaces(parse.parse_value(small_device_messages(tel(spark, sf)), ENVELOPE))
+    rows = flatten.explode_interfaces(parse.parse_value(small_device_messages(spread_tel(spark, sf)), ENVELOPE))
     return with_time_parts(rows.select("devicename", "timestamp", "interface", "in_octets"), "timestamp")

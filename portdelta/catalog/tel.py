@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portdelta.sources import spread
+
 # Counter expressions over event number e, user u and value in cents c; valid in Spark and in DuckDB.
 COUNTERS = {
     "in_octets": "c",
@@ -86,6 +88,11 @@ def tel(spark: SparkSession, sf: str) -> DataFrame:
     return shape_events(table(spark, sf, "events"))
 
 
+def spread_tel(spark: SparkSession, sf: str) -> DataFrame:
+    """The samples dealt out over all cores, for queries that build and parse messages."""
+    return shape_events(spread(table(spark, sf, "events")))
+
+
 def stream_tel(spark: SparkSession, sf: str) -> DataFrame:
     """The same samples as a file stream."""
     schema = table(spark, sf, "events").schema

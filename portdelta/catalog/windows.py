@@ -164,7 +164,7 @@ def range_vs_total(spark, sf):
         _rows(spark, sf, "in_octets"),
         KEYS,
         "ts",
-        {"range_sum": F.sum("in_octets")},
+        {"range_sum": ("sum", F.col("in_octets"))},
         21_600,
         totals={"total_sum": (F.sum("in_octets"), "sum")},
     )
@@ -180,7 +180,7 @@ def range_vs_total(spark, sf):
 )
 def range_interval_len(spark, sf):
     second = F.unix_seconds("ts")
-    stats = {"_max": F.max(second), "_min": F.min(second)}
+    stats = {"_max": ("max", second), "_min": ("min", second)}
     out = windows.range_stat(_rows(spark, sf), KEYS, "ts", stats, 21_600)
     return out.select(*KEYS, *_ORDER, (F.col("_max") - F.col("_min")).alias("interval_seconds"))
 
@@ -195,7 +195,7 @@ def range_interval_len(spark, sf):
 )
 def rolling_sum(spark, sf):
     rows = _rows(spark, sf, "in_octets")
-    return windows.range_stat(rows, KEYS, "ts", {"octets_sum": F.sum("in_octets")}, 300).drop("in_octets")
+    return windows.range_stat(rows, KEYS, "ts", {"octets_sum": ("sum", F.col("in_octets"))}, 300).drop("in_octets")
 
 
 @query(

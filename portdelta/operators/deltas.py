@@ -12,6 +12,7 @@ from portdelta.functions.columns import ci_equals, clamp_negative, direction_spl
 from portdelta.functions.time import bucket
 from portdelta.model import DELTA_COUNTERS, GAUGES, OUTPUT_COLUMNS
 from portdelta.operators.aggregates import first_delta, max_min
+from portdelta.operators.joins import attach
 from portdelta.operators.slices import SLICE_SECONDS
 from portdelta.operators.windows import group_every, lag_columns, range_first_last
 
@@ -166,21 +167,17 @@ def delta_attach_interval(
 ) -> DataFrame:
     """Every sample with the extent and the delta of its window.
 
-    Windows do not overlap, so the interval that contains a sample is that of its own window and
-    the range join becomes a window over (key, time window).
+    Windows do not overlap, so the interval that contains a sample is that of its own window: the
+    range join becomes an equi join on key and window.
     """
-    spec = Window.partitionBy(*keys, "_w")
-    return (
-        df.withColumn("_w", F.window(ts, window)["start"])
-        .withColumns(
-            {
-                "start_timestamp": F.min(ts).over(spec),
-                "end_timestamp": F.max(ts).over(spec),
-                **{f"delta_{c}": F.max(c).over(spec) - F.min(c).over(spec) for c in cols},
-            }
-        )
-        .drop("_w")
+    rows = df.withColumn("_w", F.window(ts, window)["start"])
+    by = [*keys, "_w"]
+    intervals = rows.groupBy(*by).agg(
+        F.min(ts).alias("start_timestamp"),
+        F.max(ts).alias("end_timestamp"),
+        *[(F.max(c) - F.min(c)).alias(f"delta_{c}") for c in cols],
     )
+    return attach(rows, intervals, by).drop("_w")
 
 
 def delta_sampled(
@@ -189,13 +186,10 @@ def delta_sampled(
     """Every ``period`` seconds, the delta over the first ``size`` seconds, copied to each sample in them."""
     span, every = size * 1_000_000, period * 1_000_000
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    spec = Window.partitionBy(*keys, "_slot")
-    return (
-        df.withColumn("_slot", F.floor(micros / every))
-        .where(micros - F.col("_slot") * every < span)
-        .withColumns({f"delta_{c}": F.max(c).over(spec) - F.min(c).over(spec) for c in cols})
-        .drop("_slot")
-    )
+    rows = df.withColumn("_slot", F.floor(micros / every)).where(micros - F.col("_slot") * every < span)
+    by = [*keys, "_slot"]
+    slots = rows.groupBy(*by).agg(*[(F.max(c) - F.min(c)).alias(f"delta_{c}") for c in cols])
+    return attach(rows, slots, by).drop("_slot")
 
 
 def poll_delta(df: DataFrame, dataset: str | None = None) -> DataFrame:

@@ -1,8 +1,9 @@
 """Enrichment, correlation and publish-once joins.
 
-No side is force-broadcast: Spark broadcasts one only after measuring that it is small. Beyond that
-size a hot key is spread by ``salt`` (the lookup side is repeated once per salt value), or, where the
-key holds a time, by the key itself.
+No side is force-broadcast: Spark broadcasts one only if its size is below the session's threshold
+(the repeats of a salted side come on top, so the bound is ``salt`` times that). Beyond it a hot key is
+spread by ``salt`` (the lookup side is repeated once per salt value), or, where the key holds a time, by
+the key itself; adaptive execution splits what is still uneven.
 """
 
 from __future__ import annotations
@@ -28,6 +29,19 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     return left.withColumn(_SALT, spread).join(many, [*on, _SALT], how).drop(_SALT)
 
 
+def attach(rows: DataFrame, groups: DataFrame, on: Sequence[str], salt: int = 8) -> DataFrame:
+    """Adds to each row the columns of its group; NULL is a value of ``on`` like any other.
+
+    With ``groups`` aggregated from ``rows`` this does what a window over ``on`` does, without bringing
+    all rows of a group into one task.
+    """
+    # Structs compare field by field with NULL equal to NULL, and stay a plain equi-join key.
+    whole = F.struct(*on).alias("_id")
+    extra = [c for c in groups.columns if c not in on]
+    out = salted_join(rows.select("*", whole), groups.select(whole, *extra), ["_id"], "inner", salt)
+    return out.select(*rows.columns, *extra)
+
+
 def join_status_minute(
     counters: DataFrame,
     status: DataFrame,

@@ -37,7 +37,9 @@ def _starts(times: np.ndarray, entry: int, span: int) -> list[int]:
 Piece = tuple[int, int | None, int, int]
 
 
-def _pieces(times: np.ndarray, values: np.ndarray, starts: list[int], since: int | None) -> list[Piece]:
+def _pieces(
+    times: np.ndarray, lows: np.ndarray, highs: np.ndarray, starts: list[int], since: int | None
+) -> list[Piece]:
     """Share of each interval in these samples: start, end if closed here, maximum and minimum.
 
     ``since`` is the start of the interval still open before the first sample.
@@ -46,13 +48,13 @@ def _pieces(times: np.ndarray, values: np.ndarray, starts: list[int], since: int
     cuts = list(starts)
     if since is not None and (not starts or starts[0] > 0):
         begins, cuts = [since, *begins], [0, *cuts]
-    high, low = np.maximum.reduceat(values, cuts), np.minimum.reduceat(values, cuts)
+    high, low = np.maximum.reduceat(highs, cuts), np.minimum.reduceat(lows, cuts)
     rows: list[Piece] = [(b, None, int(h), int(m)) for b, h, m in zip(begins, high, low)]
-    # A start also closes the interval before it.
+    # A start also closes the interval before it, with its first sample: the lowest of that time.
     open_before = [since, *[int(times[i]) for i in starts[:-1]]]
     for prev, i in zip(open_before, starts):
         if prev is not None:
-            rows.append((prev, int(times[i]), int(values[i]), int(values[i])))
+            rows.append((prev, int(times[i]), int(lows[i]), int(lows[i])))
     return rows
 
 
@@ -94,6 +96,9 @@ def _batch(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int, s
             F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"),
             F.col(col).cast("long").alias("_v"),
         )
+        # Copies and samples of one time shrink to one row before they move.
+        .groupBy(*keys, SLICE, "_t")
+        .agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     )
 
     def result(key: tuple, names: Sequence[str], columns: Sequence[Sequence]) -> pa.Table:
@@ -120,12 +125,13 @@ def _batch(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int, s
         return result(key, [SLICE, "since"], [numbers, known])
 
     def cut(key: tuple, rows: pa.Table, opened: pa.Table) -> pa.Table:
-        times, values = rows["_t"].to_numpy(), rows["_v"].to_numpy()
-        order = np.lexsort((values, times))
-        times, values = times[order], values[order]
+        times = rows["_t"].to_numpy()
+        order = np.argsort(times)
+        times = times[order]
+        lows, highs = (rows[c].to_numpy()[order] for c in ("_low", "_high"))
         since = opened["since"][0].as_py()
         starts = _starts(times, int(times[0]) if since is None else since + span, span)
-        pieces = _pieces(times, values, starts, since)
+        pieces = _pieces(times, lows, highs, starts, since)
         return result(key[:-1], ["start", "end", "high", "low"], list(zip(*pieces)))
 
     # Only the short table of each slice is chained per key; samples stay in their slice.
@@ -170,7 +176,7 @@ def _stream(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int)
         times, values = rows["_t"].to_numpy(), rows["_v"].to_numpy()
         since, high, low = state.get if state.exists else (None, None, None)
         starts = _starts(times, int(times[0]) if since is None else since + span, span)
-        pieces = _pieces(times, values, starts, since)
+        pieces = _pieces(times, values, values, starts, since)
         if since is not None:
             pieces.append((since, None, high, low))
         parts = pd.DataFrame(pieces, columns=["start", "end", "high", "low"]).astype({"end": "Int64"})

@@ -6,11 +6,12 @@ neighbours is added to it as a few marked rows ("ghosts"), so the result equals
 window:
 
 * ``with_row_halo``: the last or next n rows of the key, for lag, lead and row frames;
-* ``with_range_halo``: the rows of the preceding seconds, for range frames;
 * ``with_base_rows``: one row per slice with a total over the key or over its earlier slices.
 
 Only per-slice leftovers (a few rows per key and slice) are ever grouped by the bare key. Choose
-``seconds`` so that one slice of the busiest key fits one task.
+``seconds`` so that one slice of the busiest key suits one task; a larger slice spills, but holds.
+The leftovers come from a second, column-pruned read of the input: store an input that is costly to
+compute before handing it over.
 """
 
 from __future__ import annotations
@@ -95,18 +96,6 @@ def with_row_halo(
     return out
 
 
-def with_range_halo(df: DataFrame, ts: str, before: int, seconds: int = SLICE_SECONDS) -> DataFrame:
-    """Slices ``df``; rows of the last ``before`` seconds of a slice also go to the next as ghosts."""
-    own = slice_of(ts, seconds)
-    time = F.unix_seconds(F.col(ts).cast("timestamp"))
-    reach = F.when(F.col(ts).isNull(), F.array(own)).otherwise(
-        F.sequence(own, F.floor((time + before) / seconds))
-    )
-    return df.select("*", own.alias("_own"), F.explode(reach).alias(SLICE)).select(
-        *df.columns, SLICE, (F.col(SLICE) != F.col("_own")).alias(GHOST)
-    )
-
-
 def base_rows(
     df: DataFrame, keys: Sequence[str], ts: str, seconds: int, totals: dict[str, tuple[Column, str]], earlier: bool
 ) -> DataFrame:

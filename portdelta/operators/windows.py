@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from portdelta.operators.slices import (
+    GHOST,
+    SLICE,
     SLICE_SECONDS,
     base_rows,
     drop_ghosts,
+    slice_of,
     slice_window,
     with_key_totals,
-    with_range_halo,
     with_row_halo,
     with_running_number,
 )
@@ -45,47 +47,79 @@ def lead_lag_span(
     return out.where(F.col(f"span_{col}").isNotNull())
 
 
+_RUNNING = {"sum": F.sum, "min": F.min, "max": F.max}
+_COMBINE = {
+    "sum": lambda a, b: F.coalesce(a + b, a, b),
+    "min": F.least,
+    "max": F.greatest,
+}
+
+
 def range_stat(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
-    stats: dict[str, Column],
+    stats: dict[str, tuple[str, Column]],
     range_seconds: int,
     totals: dict[str, tuple[Column, str]] | None = None,
-    seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Adds aggregates over the trailing ``range_seconds`` of the key, current time included.
+    """Adds statistics over the trailing ``range_seconds`` of the key, current second included.
 
-    ``totals`` adds whole-key totals in the same pass (see ``base_rows``).
+    ``stats`` maps a name to (``sum``, ``min`` or ``max``, expression); ``totals`` adds whole-key totals
+    in the same pass (see ``base_rows``).
+
+    A sliding frame visits all its rows again for every row, which a busy key cannot afford. Time is
+    cut into blocks one second longer than the range instead: the trailing range of a row is then the
+    end of the block before and the beginning of its own, and both are running statistics. Each row
+    goes to its block and, reduced to its values, to the next one.
     """
-    # Rows copied to the next slice stay few when a slice is long against the range.
-    seconds = max(seconds, 4 * range_seconds)
-    rows = with_range_halo(df, ts, range_seconds, seconds)
-    if totals:
-        # Their time is NULL, so they stay outside every trailing range.
-        rows = rows.unionByName(
-            base_rows(df, keys, ts, seconds, totals, earlier=False), allowMissingColumns=True
+    width = range_seconds + 1
+    second = F.unix_seconds(F.col(ts).cast("timestamp"))
+    values = {name: expr.alias(f"_v_{name}") for name, (_, expr) in stats.items()}
+    own = df.select(
+        "*", slice_of(ts, width).alias(SLICE), F.lit(False).alias(GHOST), second.alias("_at"), *values.values()
+    )
+    before = (
+        df.where(F.col(ts).isNotNull())
+        .select(
+            *keys,
+            (slice_of(ts, width) + 1).alias(SLICE),
+            F.lit(True).alias(GHOST),
+            # The last second at which a row still has this one in its range.
+            (second + range_seconds).alias("_at"),
+            *[v.alias(f"_b_{name}") for name, (_, v) in stats.items()],
         )
-    trailing = slice_window(keys, F.unix_seconds(F.col(ts).cast("timestamp"))).rangeBetween(-range_seconds, 0)
-    new = {name: agg.over(trailing) for name, agg in stats.items()}
-    new.update({name: F.max(name).over(slice_window(keys)) for name in totals or {}})
-    return drop_ghosts(rows.withColumns(new))
+    )
+    rows = own.unionByName(before, allowMissingColumns=True)
+    if totals:
+        rows = rows.unionByName(base_rows(df, keys, ts, width, totals, earlier=False), allowMissingColumns=True)
+    up = slice_window(keys, F.asc_nulls_first("_at")).rangeBetween(Window.unboundedPreceding, 0)
+    down = slice_window(keys, F.desc_nulls_last("_at")).rangeBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumns({f"_b_{name}": _RUNNING[how](f"_b_{name}").over(down) for name, (how, _) in stats.items()})
+    out = out.withColumns({f"_v_{name}": _RUNNING[how](f"_v_{name}").over(up) for name, (how, _) in stats.items()})
+    if totals:
+        out = out.withColumns({name: F.max(name).over(slice_window(keys)) for name in totals})
+    new = {name: _COMBINE[how](F.col(f"_v_{name}"), F.col(f"_b_{name}")) for name, (how, _) in stats.items()}
+    return drop_ghosts(out).select(*df.columns, *(totals or {}), *[c.alias(name) for name, c in new.items()])
 
 
 def range_first_last(
     df: DataFrame, keys: Sequence[str], ts: str, col: str, range_seconds: int, tie: str | None = None
 ) -> DataFrame:
     """Adds ``first_<col>``, ``last_<col>`` and ``interval_seconds`` of the trailing range."""
-    by = F.struct(ts, tie) if tie else F.col(ts)
-    epoch = F.unix_seconds(F.col(ts).cast("timestamp"))
-    stats = {
-        f"first_{col}": F.min_by(col, by),
-        f"last_{col}": F.max_by(col, by),
-        "_max": F.max(epoch),
-        "_min": F.min(epoch),
-    }
-    out = range_stat(df, keys, ts, stats, range_seconds)
-    return out.withColumn("interval_seconds", F.col("_max") - F.col("_min")).drop("_max", "_min")
+    placed = F.struct(*[F.col(c) for c in (ts, tie) if c], F.col(col).alias("_value"))
+    out = range_stat(df, keys, ts, {"_first": ("min", placed), "_last": ("max", placed)}, range_seconds)
+
+    def second(edge: str) -> Column:
+        return F.unix_seconds(F.col(f"{edge}.{ts}").cast("timestamp"))
+
+    return out.withColumns(
+        {
+            f"first_{col}": F.col("_first._value"),
+            f"last_{col}": F.col("_last._value"),
+            "interval_seconds": second("_last") - second("_first"),
+        }
+    ).drop("_first", "_last")
 
 
 def nth_in_window(df: DataFrame, keys: Sequence[str], ts: str, window: str, n: int, tie: str | None = None) -> DataFrame:

@@ -22,6 +22,14 @@ from portdelta.streaming.run import BatchSink, start_stream
 _LAG_COUNTERS = ["in_octets", "in_pkts", "out_octets", "out_pkts"]
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and not again after a loss."""
+    spark = df.sparkSession
+    path = fresh_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def batch_delta_job(
     spark: SparkSession,
     source: str,
@@ -32,22 +40,21 @@ def batch_delta_job(
 ) -> None:
     """JSON messages to flat CSV rows and to previous-sample deltas with status, as JSON.
 
-    The messages are parsed once into a columnar copy; every branch then reads only its columns.
+    The messages are parsed once into a columnar copy, of which every branch reads only its columns;
+    the joined rows are stored as well, as the delta reads them twice.
     """
-    stage = fresh_path(spark, "parsed")
-    read_envelopes(spark, source).write.parquet(stage)
-    kinds = split_record_kinds(spark.read.parquet(stage))
+    kinds = split_record_kinds(_stored(read_envelopes(spark, source)))
     counters, subs = kinds["interface_counters"], kinds["subinterface_counters"]
     write_files(counters, interface_csv, "csv")
     write_files(subs, subinterface_csv, "csv")
 
     keys = ["devicename", "interface"]
-    joined = join_status_minute(counters, kinds["interface_status"], keys)
+    joined = _stored(join_status_minute(counters, kinds["interface_status"], keys))
     out = delta_lag(joined, keys, _LAG_COUNTERS, ["timestamp", "in_octets"])
     write_files(out, interface_out, "json")
 
     keys = ["devicename", "interface", "subinterface"]
-    joined = join_status_minute(subs, kinds["subinterface_status"], keys)
+    joined = _stored(join_status_minute(subs, kinds["subinterface_status"], keys))
     out = delta_lag(joined, keys, _LAG_COUNTERS, ["timestamp", "in_octets"], time_name="delta_time")
     write_files(out, subinterface_out, "json")
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from portdelta.operators import joins, windows
+from portdelta.operators import deltas, joins, windows
 from portdelta.operators.rolling import delta_stateful
 from portdelta.operators.slices import with_key_totals
 
@@ -61,12 +61,42 @@ def test_range_and_totals(samples):
     want = samples.withColumns(
         {"s": F.sum("v").over(trailing), "hi": F.max("v").over(trailing), "t": F.sum("v").over(whole)}
     )
-    got = windows.range_stat(
-        samples, KEYS, "ts", {"s": F.sum("v"), "hi": F.max("v")}, 240, {"t": (F.sum("v"), "sum")}, seconds=300
-    )
+    stats = {"s": ("sum", F.col("v")), "hi": ("max", F.col("v"))}
+    got = windows.range_stat(samples, KEYS, "ts", stats, 240, {"t": (F.sum("v"), "sum")})
     _same(got, want)
 
 
+@pytest.mark.parametrize("seconds", [1, 60, 240, 3600])
+def test_range_first_last(samples, seconds):
+    spec = Window.partitionBy("k").orderBy(F.unix_seconds("ts")).rangeBetween(-seconds, 0)
+    by, second = F.struct("ts", "id"), F.unix_seconds("ts")
+    want = samples.withColumns(
+        {
+            "first_v": F.min_by("v", by).over(spec),
+            "last_v": F.max_by("v", by).over(spec),
+            "interval_seconds": F.max(second).over(spec) - F.min(second).over(spec),
+        }
+    )
+    _same(windows.range_first_last(samples, KEYS, "ts", "v", seconds, "id"), want)
+
+
+def test_attached_and_sampled_deltas(samples):
+    spec = Window.partitionBy("k", F.window("ts", "5 minutes")["start"])
+    timed = samples.where("ts is not null")
+    want = timed.withColumns(
+        {
+            "start_timestamp": F.min("ts").over(spec),
+            "end_timestamp": F.max("ts").over(spec),
+            "delta_v": F.max("v").over(spec) - F.min("v").over(spec),
+        }
+    )
+    _same(deltas.delta_attach_interval(samples, KEYS, ["v"], "ts", "5 minutes"), want)
+    slot = F.floor(F.unix_seconds("ts") / 600)
+    spec = Window.partitionBy("k", slot)
+    want = timed.where(F.unix_seconds("ts") % 600 < 301).withColumn("delta_v", F.max("v").over(spec) - F.min("v").over(spec))
+    _same(deltas.delta_sampled(samples, KEYS, ["v"], "ts"), want)
+
+
 def test_key_totals(samples):
     want = samples.withColumns({"a": F.min("ts").over(Window.partitionBy("k")), "b": F.max("v").over(Window.partitionBy("k"))})
     _same(with_key_totals(samples, KEYS, "ts", {"a": (F.min("ts"), "min"), "b": (F.max("v"), "max")}, 300), want)
