@@ -112,10 +112,18 @@ def delta_bucket(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: st
     )
 
 
-def delta_group(df: DataFrame, keys: Sequence[str], col: str, ts: str, n: int = 5, tie: str | None = None) -> DataFrame:
+def delta_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    col: str,
+    ts: str,
+    n: int = 5,
+    tie: str | None = None,
+    seconds: int = SLICE_SECONDS,
+) -> DataFrame:
     """Groups of n consecutive samples per key: first and last time, first value, maximum minus first."""
     order = [c for c in (ts, tie) if c]
-    grouped = group_every(df, keys, order, n)
+    grouped = group_every(df, keys, order, n, seconds)
     return first_delta(grouped, [*keys, "group_id"], col, ts, tie)
 
 

@@ -9,7 +9,8 @@ window:
 * ``with_base_rows``: one row per slice with a total over the key or over its earlier slices.
 
 Only per-slice leftovers (a few rows per key and slice) are ever grouped by the bare key. Choose
-``seconds`` so that one slice of the busiest key suits one task; a larger slice spills, but holds.
+``seconds`` so that one slice of the busiest key suits one task (``fitting_seconds`` measures it); a
+larger slice spills, but holds.
 The leftovers come from a second, column-pruned read of the input: store an input that is costly to
 compute before handing it over.
 """
@@ -35,6 +36,15 @@ def slice_of(ts: Column | str, seconds: int) -> Column:
     return F.coalesce(F.floor(F.unix_seconds(col.cast("timestamp")) / seconds), F.lit(_NO_TIME))
 
 
+def fitting_seconds(
+    df: DataFrame, keys: Sequence[str], ts: str, rows: int = 5_000_000, at_most: int = SLICE_SECONDS
+) -> int:
+    """Slice width at which the busiest slice should hold about ``rows`` rows. Runs a count."""
+    per_slice = df.groupBy(*keys, slice_of(ts, at_most).alias(SLICE)).agg(F.count(F.lit(1)).alias("n"))
+    busiest = per_slice.agg(F.max("n")).first()[0] or 0
+    return at_most if busiest <= rows else max(1, at_most * rows // busiest)
+
+
 def slice_window(keys: Sequence[str], *order: Column | str) -> WindowSpec:
     spec = Window.partitionBy(*keys, SLICE)
     return spec.orderBy(*order) if order else spec

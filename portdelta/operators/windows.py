@@ -132,14 +132,18 @@ def nth_in_window(df: DataFrame, keys: Sequence[str], ts: str, window: str, n: i
     )
 
 
-def every_nth(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+def every_nth(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, seconds: int = SLICE_SECONDS
+) -> DataFrame:
     """Every n-th row of each key; column ``rn`` holds its position."""
-    return with_running_number(df, keys, order, "rn").where(F.col("rn") % n == 0)
+    return with_running_number(df, keys, order, "rn", seconds).where(F.col("rn") % n == 0)
 
 
-def group_every(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+def group_every(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, seconds: int = SLICE_SECONDS
+) -> DataFrame:
     """Adds ``row_num`` and ``group_id``: 1 for the first n rows of a key, 2 for the next n, and so on."""
-    out = with_running_number(df, keys, order, "row_num")
+    out = with_running_number(df, keys, order, "row_num", seconds)
     return out.withColumn("group_id", F.ceil(F.col("row_num") / n))
 
 

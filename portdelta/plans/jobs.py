@@ -13,6 +13,7 @@ from portdelta.operators.deltas import POLL_RECORD, delta_lag, delta_output, del
 from portdelta.operators.flatten import explode_elements, explode_system, flatten_all
 from portdelta.operators.joins import join_status_minute, request_enrich
 from portdelta.operators.parse import parse_value, split_record_kinds, validate_envelope
+from portdelta.operators.slices import fitting_seconds
 from portdelta.session import fresh_path
 from portdelta.sinks.files import write_files, write_json_lines
 from portdelta.sinks.topics import to_message, to_psv
@@ -50,12 +51,16 @@ def batch_delta_job(
 
     keys = ["devicename", "interface"]
     joined = _stored(join_status_minute(counters, kinds["interface_status"], keys))
-    out = delta_lag(joined, keys, _LAG_COUNTERS, ["timestamp", "in_octets"])
+    seconds = fitting_seconds(joined, keys, "timestamp")
+    out = delta_lag(joined, keys, _LAG_COUNTERS, ["timestamp", "in_octets"], seconds=seconds)
     write_files(out, interface_out, "json")
 
     keys = ["devicename", "interface", "subinterface"]
     joined = _stored(join_status_minute(subs, kinds["subinterface_status"], keys))
-    out = delta_lag(joined, keys, _LAG_COUNTERS, ["timestamp", "in_octets"], time_name="delta_time")
+    seconds = fitting_seconds(joined, keys, "timestamp")
+    out = delta_lag(
+        joined, keys, _LAG_COUNTERS, ["timestamp", "in_octets"], time_name="delta_time", seconds=seconds
+    )
     write_files(out, subinterface_out, "json")
 
 

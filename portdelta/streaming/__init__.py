@@ -1,5 +1,5 @@
 from portdelta.streaming.publish import publish_once, publish_once_stream
-from portdelta.streaming.run import fan_out, file_sink, run_for, start_stream, table_sink, topic_sink
+from portdelta.streaming.run import fan_out, file_sink, run_for, start_stream, table_sink, topic_sink, unless_done
 
 __all__ = [
     "fan_out",
@@ -10,4 +10,5 @@ __all__ = [
     "start_stream",
     "table_sink",
     "topic_sink",
+    "unless_done",
 ]

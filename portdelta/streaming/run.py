@@ -6,6 +6,7 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -83,6 +84,29 @@ def topic_sink(fmt: str, options: dict[str, str], key: str | None = None) -> Bat
     return write
 
 
+def unless_done(sink: BatchSink, done: str) -> BatchSink:
+    """``sink``, left out for batches it has already finished, which are noted in the folder ``done``.
+
+    Lets sinks that only append share a fan-out: when a later sink fails and the batch is repeated,
+    those before it do not write it again.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        note = f"{done}/batch_id={batch_id}"
+        try:
+            spark.read.schema("batch_id long").parquet(note)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            return
+        sink(batch, batch_id)
+        spark.range(batch_id, batch_id + 1, 1, 1).toDF("batch").write.mode("overwrite").parquet(note)
+
+    return write
+
+
 def fan_out(sinks: Sequence[BatchSink]) -> BatchSink:
     """One micro-batch function for several sinks; the batch is computed once for all of them."""
 

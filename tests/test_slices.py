@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from portdelta.operators import deltas, joins, windows
 from portdelta.operators.rolling import delta_stateful
-from portdelta.operators.slices import with_key_totals
+from portdelta.operators.slices import fitting_seconds, slice_of, with_key_totals
 
 KEYS = ["k"]
 
@@ -97,6 +97,15 @@ def test_attached_and_sampled_deltas(samples):
     _same(deltas.delta_sampled(samples, KEYS, ["v"], "ts"), want)
 
 
+def test_fitting_seconds(samples):
+    assert fitting_seconds(samples, KEYS, "ts") == 3600
+    width = fitting_seconds(samples, KEYS, "ts", rows=20)
+    assert 1 <= width < 3600
+    timed = samples.where("ts is not null")
+    assert timed.groupBy("k", slice_of("ts", width)).count().agg(F.max("count")).first()[0] < 60
+    assert fitting_seconds(samples.limit(0), KEYS, "ts") == 3600
+
+
 def test_key_totals(samples):
     want = samples.withColumns({"a": F.min("ts").over(Window.partitionBy("k")), "b": F.max("v").over(Window.partitionBy("k"))})
     _same(with_key_totals(samples, KEYS, "ts", {"a": (F.min("ts"), "min"), "b": (F.max("v"), "max")}, 300), want)

@@ -12,7 +12,7 @@ from portdelta.operators import deltas, joins
 from portdelta.operators.rolling import delta_lag_stream, delta_stateful
 from portdelta.plans import poll_stream, request_stream, window_delta_rows, window_delta_stream
 from portdelta.sources import read_topic
-from portdelta.streaming import fan_out, file_sink, publish_once_stream, run_for, start_stream, table_sink, topic_sink
+from portdelta.streaming import fan_out, file_sink, publish_once_stream, run_for, start_stream, table_sink, topic_sink, unless_done
 
 BASE = dt.datetime(2024, 1, 1)
 SCHEMA = "devicename string, interface string, ts timestamp, in_octets long"
@@ -141,6 +141,25 @@ def test_fan_out_and_its_sinks(spark, feed):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_a_finished_sink_is_not_repeated(spark, feed):
+    calls = []
+
+    def append(batch, batch_id):
+        batch.write.mode("append").parquet(f"{feed.root}/q-out")
+
+    def fails_once(batch, batch_id):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("topic is down")
+
+    sink = fan_out([unless_done(append, f"{feed.root}/done"), fails_once])
+    feed.put(*_samples(1, 2))
+    with pytest.raises(Exception, match="topic is down"):
+        feed.run(feed.stream(), sink=sink)
+    assert feed.run(feed.stream(), sink=sink).count() == 2
+    assert calls == [0, 0]
+
+
 def test_duplicates_within_the_watermark(feed):
     feed.put(*_samples(1, 1, 2))
     feed.put(*_samples(2, 3))
