@@ -275,8 +275,16 @@ def _run(spark, df, label: str, sinks: int = 1):
     """Run a stream over all that is there and return what it wrote."""
     paths = [fresh_path(spark, f"{label}-out") for _ in range(sinks)]
     sink = fan_out([file_sink(p) for p in paths])
+    # State partitions beyond the cores there are only cost.
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     start_stream(
-        df, None, {}, fresh_path(spark, f"{label}-state"), {"availableNow": True}, batch_sink=sink
+        df,
+        None,
+        {},
+        fresh_path(spark, f"{label}-state"),
+        {"availableNow": True},
+        batch_sink=sink,
+        state_partitions=partitions,
     ).awaitTermination()
     outs = [spark.read.option("basePath", p).parquet(p).drop("batch_id") for p in paths]
     return outs[0] if sinks == 1 else outs

@@ -17,6 +17,8 @@ log = logging.getLogger(__name__)
 
 BatchSink = Callable[[DataFrame, int], None]
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def start_stream(
     df: DataFrame,
@@ -27,12 +29,36 @@ def start_stream(
     mode: str = "append",
     name: str | None = None,
     batch_sink: BatchSink | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start writing a stream to a format, or to ``batch_sink`` once per micro-batch.
 
     ``trigger`` is passed on, for example ``{"processingTime": "2 minutes"}`` or
     ``{"availableNow": True}``. Offsets and state live in ``checkpoint`` (shared storage).
+    ``state_partitions`` applies to a new checkpoint and stays with it; it defaults to the session's
+    shuffle partitions.
     """
+    conf = df.sparkSession.conf
+    before = conf.get(_PARTITIONS)
+    if state_partitions:
+        conf.set(_PARTITIONS, str(state_partitions))
+    try:
+        return _start(df, fmt, options, checkpoint, trigger, mode, name, batch_sink)
+    finally:
+        # The query has its own copy of the settings by now.
+        conf.set(_PARTITIONS, before)
+
+
+def _start(
+    df: DataFrame,
+    fmt: str | None,
+    options: dict[str, str],
+    checkpoint: str,
+    trigger: dict[str, object] | None,
+    mode: str,
+    name: str | None,
+    batch_sink: BatchSink | None,
+) -> StreamingQuery:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).options(**options)
     if name:
         writer = writer.queryName(name)
