@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portdelta.llm.components import components
-from portdelta.llm.staging import staged
+from portdelta.llm.staging import small_batches, staged
 from portdelta.llm.text import buffers, mixed, sets_of, shingle_sets, slices, words
 from portdelta.ship import by_value
 
@@ -140,6 +140,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     The chance that 32 bands of four minima all miss a pair is 5e-11 at 0.85 and 5e-8 at 0.80.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = staged(docs.mapInArrow(_sketches, _SKETCH), "sketches")
     some = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")

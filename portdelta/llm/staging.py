@@ -19,6 +19,14 @@ def drop_at_exit(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in Arrow batches of about 4 MB, so that long texts need little memory."""
+    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+    now = spark.conf.get(key) or ""
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > most:
+        spark.conf.set(key, str(most))
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so no later step computes it again.
 

@@ -3,7 +3,7 @@
 A word is a longest run of bytes other than blank and 0x09 to 0x0D, with A-Z in lower case. A set has
 every distinct run of five words; a text with fewer words has its whole sequence as the only member, and a
 text without words has none. All of it works on the UTF-8 buffers of an Arrow column, so no Python object
-is made for a word. Texts are taken in slices of about a megabyte; a longer text is a slice of its own.
+is made for a word. Texts are taken in slices of about half a megabyte; a longer text is a slice of its own.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 from portdelta.ship import by_value
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
