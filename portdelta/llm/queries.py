@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from portdelta.llm import registry
 from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.registry import query, table
+from portdelta.llm.toxicity import fit_toxicity, score_toxicity
 
 _WORD_SETS = r"""
 words AS (
@@ -39,4 +41,15 @@ def _op7(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), percent=85)
 
 
+def fold(of: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
+
+
+@query("op9_toxicity")
+def _op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = fit_toxicity(docs, table(spark, sf, "labels").where(fold(4) != 2))
+    return score_toxicity(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "score", "predicted")
+
+
 QUERIES, SQL = registry.QUERIES, registry.SQL
