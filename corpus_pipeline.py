@@ -1,26 +1,70 @@
-"""From raw documents to token files: STAGES, run() and what run() must return."""
+"""From raw documents to token files.
+
+``STAGES`` are functions ``(spark, docs, sf_dir)``; each result is written as Parquet and read again as the
+next one's ``docs``. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from portdelta.llm.decontaminate import contained_items
+from portdelta.llm.mixing import mix_sources
 from portdelta.llm.near_dedup import near_duplicates
+from portdelta.llm.queries import END_ID, vocabulary
 from portdelta.llm.staging import staged
+from portdelta.llm.token_files import read_digests, token_folder, write_tokens
+from portdelta.llm.toxicity import fit_toxicity, reject_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that operator 9 rejects go. It learns from all labelled documents that are there."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return reject_toxic(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    kept = near_duplicates(docs, percent=80).where("kept").select("doc_id").distinct()
-    return docs.where("doc_id IS NULL").union(docs.join(kept, "doc_id", "left_semi").select(docs.columns))
+    """One document of each group of near copies (0.8 or more) stays; rows without an id stay."""
+    gone = near_duplicates(docs, percent=80).where("NOT kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    found = contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in files and rows that follow the mix."""
+    place = ["mix_slot", "mix_place"]
+    return mix_sources(docs).repartitionByRange(*place).sortWithinPartitions(*place).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in the order of the mix, that is of the files and rows of ``docs``, and their digests."""
+    name = F.col("_metadata.file_name")
+    order = [F.regexp_extract(name, r"part-(\d+)", 1).cast("long"), name, F.col("_metadata.row_index")]
+    path = token_folder(spark)
+    write_tokens(docs, path, vocabulary(), END_ID, order)
+    return read_digests(spark, path)
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("minhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("mixing", mix),
+    ("token_files", tokens),
+]
 
+# A fitted classifier is no SQL; tests/llm holds the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

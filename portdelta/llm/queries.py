@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portdelta.llm import registry
+from portdelta.llm.decontaminate import contained_items
+from portdelta.llm.mixing import mix_sources
 from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.registry import query, table
+from portdelta.llm.token_files import read_digests, token_folder, write_tokens
 from portdelta.llm.toxicity import fit_toxicity, score_toxicity
 
 _WORD_SETS = r"""
@@ -52,4 +55,50 @@ def _op9(spark: SparkSession, sf: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "score", "predicted")
 
 
+_RUNS = r"""
+SELECT {id}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x
+FROM (SELECT {id}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+      FROM {table})
+"""
+
+
+@query(
+    "op3_decontamination",
+    # Holds for items of five words or more, and for shorter ones that are a whole document.
+    f"""
+WITH d AS (SELECT DISTINCT * FROM ({_RUNS.format(id="doc_id", table="documents")})),
+     i AS (SELECT DISTINCT * FROM ({_RUNS.format(id="item_id", table="benchmark")})),
+     n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_common, n_item, count(*) / n_item AS containment
+FROM d JOIN i USING (x) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
+""",
+)
+def _op3(spark: SparkSession, sf: str) -> DataFrame:
+    return contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op5_pfair_mix")
+def _op5(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf, "documents").select("doc_id", "source"))
+    return mixed.select("doc_id", "source", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_place", "mix_full")
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+END_ID = 2
+
+
+@query("op10_token_files")
+def _op10(spark: SparkSession, sf: str) -> DataFrame:
+    path = token_folder(spark)
+    write_tokens(table(spark, sf, "documents"), path, vocabulary(), END_ID)
+    return read_digests(spark, path)
+
+
 QUERIES, SQL = registry.QUERIES, registry.SQL

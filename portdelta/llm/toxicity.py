@@ -370,4 +370,21 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3
     return rows.mapInArrow(score, "doc_id long, score double, predicted int")
 
 
+def reject_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns, in one pass over them."""
+    small_batches(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast((model.characters, model.weights.features, model.weights.weights, model.curve))
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        characters, features, odds, curve = sent.value
+        own = ToxicityModel(characters, Weights(features, odds), curve)
+        decoder = Decoder(characters)
+        for batch in batches:
+            for part in slices(batch):
+                value = own.score(own.weights.evidence(*_all_features(part, decoder), part.num_rows))
+                yield part.filter(pa.array(value < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 by_value(__name__)
