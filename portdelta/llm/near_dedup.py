@@ -5,10 +5,11 @@ four give candidates, and the two low bits of each minimum, packed in four longs
 similarity. Bits agree by chance in a quarter of the places, so the estimate is corrected for that;
 candidates far below the threshold go, the rest are confirmed on their full sets.
 
-A band's bucket is not expanded into pairs. Its members are held against the smallest of them; what is
-confirmed is joined into components. Only members that did not reach the largest component of a bucket are
-then held against the bucket's members of other components. So every candidate pair is either confirmed,
-refused, or lies inside one component already.
+A band's bucket is not expanded into pairs. Its members are held against one of them, the one that shares
+most buckets with others; what is confirmed is joined into components. A pair of one bucket that is still in
+two components has a member outside the bucket's largest one. These members are looked up among all members
+of such buckets by their rarest shingles: a partner must have one of them, and the place of the first one it
+has bounds what both can share. So every candidate pair is confirmed, refused, or inside one component.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portdelta.llm.components import components
@@ -148,34 +149,59 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     reps = some.join(classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
     bits = reps.select(F.col("doc_id").alias("rep"), "bits")
     rows = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket"))
-    centres = rows.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    buckets = staged(rows.join(centres, "bucket"), "buckets")
-    star = buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    likely = staged(_likely(star, bits, percent), "pairs")
-    links = _confirm(likely, docs, percent)
+    crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = staged(rows.join(crowded, "bucket"), "shared")
+    degree = shared.groupBy("rep").agg(F.sum("n").alias("degree"))
+    ranked = shared.join(degree, "rep").select("bucket", "rep", F.struct("degree", -F.col("rep")).alias("place"))
+    centres = ranked.groupBy("bucket").agg(F.max("place").alias("first")).select("bucket", (-F.col("first")["col2"]).alias("centre"))
+    buckets = staged(ranked.select("bucket", "rep").join(centres, "bucket"), "buckets")
+    star = buckets.where("rep <> centre").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+    links = _confirm(staged(_likely(star, bits, percent), "pairs"), docs, percent)
+    found = staged(components(links), "components")
+    links = links.union(_across(buckets, found, docs, bits, percent))
     found = staged(components(links), "components")
-    more = _across(buckets, found, bits, likely, percent)
-    if more.take(1):
-        links = links.union(_confirm(more, docs, percent))
-        found = staged(components(links), "components")
     members = sketch.join(classes, "set_key", "left").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return members.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _across(buckets: DataFrame, found: DataFrame, bits: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of one bucket that lie in different components and were not tried yet.
+def _postings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch):
+            sets = sets_of(part.column("text"))
+            size = np.array([len(s) for s in sets], np.int64)
+            at = pa.array(np.repeat(np.arange(len(sets)), size))
+            every = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("rep").take(at), part.column("component").take(at), part.column("lone").take(at), pa.array(np.repeat(size, size)), pa.array(every)],
+                names=["rep", "component", "lone", "n", "shingle"],
+            )
+
+
+def _across(buckets: DataFrame, found: DataFrame, docs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Links between components that have a bucket in common.
 
-    Of each bucket, members outside its largest component are held against all members outside their own.
+    Texts of a bucket's smaller components look for partners by their shingles, rarest first. If a text of
+    ``n`` shingles has none of the first ``i`` in common with one of ``m``, they share ``n - i`` at most, and
+    that must be ``percent * (n + m) / (100 + percent)`` or more.
     """
     labelled = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed_up = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_rows = staged(labelled.join(mixed_up, "bucket", "left_semi"), "open")
+    open_rows = staged(labelled.join(mixed_up.select("bucket"), "bucket", "left_semi"), "open")
     sizes = open_rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("component", "n").alias("largest"))
-    lone = open_rows.join(largest, "bucket").where("component <> largest").select("bucket", F.col("rep").alias("x"), F.col("component").alias("own"))
-    pairs = lone.join(open_rows, "bucket").where("component <> own").select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-    return staged(_likely(pairs.join(done, ["a", "b"], "left_anti"), bits, percent), "pairs")
+    largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    members = open_rows.join(largest, "bucket").groupBy("rep", "component").agg(F.max(F.col("component") != F.col("largest")).alias("lone"))
+    texts = members.join(docs.select(F.col("doc_id").alias("rep"), "text"), "rep").select("rep", "component", "lone", "text")
+    postings = staged(texts.mapInArrow(_postings, "rep long, component long, lone boolean, n long, shingle long"), "postings")
+    often = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    rarest = Window.partitionBy("rep").orderBy("often", "shingle")
+    looked_up = postings.where("lone").join(often, "shingle").withColumn("i", F.row_number().over(rarest) - 1)
+    looked_up = looked_up.where(f"100 * i <= {100 - percent} * n AND often > 1").select(
+        F.col("rep").alias("x"), F.col("component").alias("own"), F.col("n").alias("n_x"), "i", "shingle"
+    )
+    near = looked_up.join(postings, "shingle").where(f"component <> own AND {100 + percent} * (n_x - i) >= {percent} * (n_x + n)")
+    pairs = near.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
+    return _confirm(staged(_likely(pairs, bits, percent), "pairs"), docs, percent)
 
 
 by_value(__name__)
