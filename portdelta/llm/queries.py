@@ -10,6 +10,7 @@ from portdelta.llm.decontaminate import contained_items
 from portdelta.llm.mixing import mix_sources
 from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.registry import query, table
+from portdelta.llm.secrets import KINDS, scan_secrets
 from portdelta.llm.token_files import read_digests, token_folder, write_tokens
 from portdelta.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -101,4 +102,18 @@ def _op10(spark: SparkSession, sf: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+@query("op8_secret_scan")
+def _op8(spark: SparkSession, sf: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "literal")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES, SQL = registry.QUERIES, registry.SQL
