@@ -194,14 +194,14 @@ class Decoder:
 
 
 def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words and of their first five and seven bytes, and the text each is from."""
+    """Hashes of the words and of their first three, four, five and seven bytes, and the text each is from."""
     w: Words = words(data, offsets, _BREAK[data])
     powers = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_CODES[data] * powers.up[: len(data)], dtype=np.uint64, out=sums[1:])
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(w.first))
     kinds, owners = [w.hashes], [text]
-    for size in (5, 7):
+    for size in (3, 4, 5, 7):
         long = w.ends - w.starts >= size
         at = w.starts[long]
         kinds.append(mixed((sums[at + size] - sums[at]) * powers.down[at] + np.uint64(size * 0x51ED27)))
@@ -268,7 +268,7 @@ def _weights(counts: DataFrame, n_pos: int, n_neg: int, max_features: int) -> We
     )
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1.0)) - F.log((F.col("neg") + 0.5) / (n_neg + 1.0))
     summed = counts.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    told = summed.where("pos >= 4").withColumn("gain", ratio).withColumn("odds", odds).where("gain >= 25 AND odds >= 1")
+    told = summed.where("pos >= 4").withColumn("gain", ratio).withColumn("odds", odds).where("gain >= 30 AND odds >= 3")
     rows = told.orderBy(F.desc("gain"), "feature").limit(max_features).select("feature", "odds").collect()
     keys = np.array([r["feature"] for r in rows], np.int64).view(np.uint64)
     odds_of = np.array([r["odds"] for r in rows])
