@@ -9,6 +9,7 @@ from portdelta.llm import registry
 from portdelta.llm.decontaminate import contained_items
 from portdelta.llm.mixing import mix_sources
 from portdelta.llm.near_dedup import near_duplicates
+from portdelta.llm.neighbours import nearest
 from portdelta.llm.registry import query, table
 from portdelta.llm.secrets import KINDS, scan_secrets
 from portdelta.llm.token_files import read_digests, token_folder, write_tokens
@@ -116,4 +117,9 @@ def _op8(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+@query("op6_permutation_neighbours")
+def _op6(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES, SQL = registry.QUERIES, registry.SQL
