@@ -14,8 +14,10 @@ A token folder holds two Parquet tables, as every store that Spark can reach tak
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,8 +81,9 @@ class PieceEncoder:
 
     source: str
     kind: str
-    most: int = 150_000
+    most: int = 300_000
     ids: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         import json
@@ -104,28 +107,46 @@ class PieceEncoder:
         )
         self.special = [t["content"] for t in told.get("added_tokens", [])]
         self.names = str.maketrans({chr(b): n for b, n in _byte_names().items()})
+        self.model = self.tokenizer.model
+        self.marks = dict(zip(".,\n", self._whole([".", ",", "\n"])))
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array("H" if self.kind == "<u2" else "I", ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a blank and letters, which are one piece to the vocabulary."""
-        named = (" " + word).encode().decode("latin-1").translate(self.names)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(named)], self.kind).tobytes()
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, p: str, blank: bool) -> bytes | None:
+        """Ids of letters, with a full stop or comma at most, after a blank or a line end; None for other pieces.
+
+        Letters are one piece to the vocabulary, with the blank before them if there is one.
+        """
+        key = p if blank else "\n" + p
+        known = self.ids.get(key) or self.older.get(key)
+        if known is None:
+            stem, tail = (p[:-1], p[-1]) if p[-1:] in (".", ",") else (p, "")
+            if not (stem.isalpha() and (stem.isascii() or max(stem) < "ɐ")):
+                return None
+            if tail:
+                known = self._word(stem, blank) + self.marks[tail]
+            else:
+                named = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.names)
+                known = self._bytes([t.id for t in self.model.tokenize("Ġ" + named if blank else named)])
+        self.ids[key] = known
+        return known
 
     def _learn(self, pieces: set[str]) -> None:
+        """Ids of pieces that are not known; what was known long ago is taken from the older half."""
         if len(self.ids) > self.most:
-            self.ids.clear()
+            self.ids, self.older = {}, self.ids
         rest = []
         for p in pieces:
-            stem = p.rstrip(".,")
-            tail = p[len(stem) :]
-            if stem and len(tail) < 2 and stem.isalpha() and max(stem) < "ɐ":
-                known = self.ids.get(stem)
-                if known is None:
-                    known = self.ids[stem] = self._word(stem)
-                if tail:
-                    self.ids[p] = known + self.tails[tail]
+            if self._word(p, True) is not None:
+                continue
+            left, line_end, right = p.partition("\n")
+            first, second = (self._word(left, True), self._word(right, False)) if line_end else (None, None)
+            if first is not None and second is not None:
+                self.ids[p] = first + self.marks["\n"] + second
             else:
                 rest.append(p)
         for at in range(0, len(rest), 5000):
@@ -135,15 +156,11 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.pieces:
             return self._whole(texts)
-        if not hasattr(self, "tails"):
-            self.tails = dict(zip(".,", self._whole([".", ","])))
         cut = [t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for c in cut:
-            wanted.update(c[1:])
-        if len(self.ids) > self.most:
-            self.ids.clear()
-        self._learn({p for p in wanted if p not in self.ids and p and ("!" <= p[0] <= "~" or "À" <= p[0] < "ࠀ")})
+        wanted = set(chain.from_iterable(cut))
+        if len(self.ids) <= self.most:
+            wanted = wanted.difference(self.ids)
+        self._learn({p for p in wanted if p and ("!" <= p[0] <= "~" or "À" <= p[0] < "ࠀ")})
         heads = self._whole([c[0] for c in cut])
         out = []
         for text, c, head in zip(texts, cut, heads):
@@ -157,7 +174,9 @@ def _tokenized(source, kind: str, end_id: int):
     width = np.dtype(kind).itemsize
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(source.value, kind)
+        # The broadcast dictionary stays with the Python worker, and with it what earlier tasks have learned.
+        sent = source.value
+        encoder = sent.get(kind) or sent.setdefault(kind, PieceEncoder(sent["vocabulary"], kind))
         part_no, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch):
@@ -230,7 +249,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, order
     names = [f"key_{i}" for i in range(len(keys))]
     ordered = keyed.repartitionByRange(*names).sortWithinPartitions(*names).select("doc_id", "text")
     # The vocabulary file is a fixed few megabytes.
-    sent = spark.sparkContext.broadcast(source)
+    sent = spark.sparkContext.broadcast({"vocabulary": source})
     ids = staged(ordered.mapInArrow(_tokenized(sent, kind, end_id), "part int, doc_id long, start long, n_tokens long, ids binary"), "ids")
     counts = ids.select("ids").mapInArrow(_counted(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     by_count = sorted(((-r["n"], r["id"]) for r in counts.collect()))
