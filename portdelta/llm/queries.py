@@ -10,6 +10,7 @@ from portdelta.llm.decontaminate import contained_items
 from portdelta.llm.mixing import mix_sources
 from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.neighbours import nearest
+from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.registry import query, table
 from portdelta.llm.secrets import KINDS, scan_secrets
 from portdelta.llm.token_files import read_digests, token_folder, write_tokens
@@ -122,4 +123,11 @@ def _op6(spark: SparkSession, sf: str) -> DataFrame:
     return nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query("op4_quality")
+def _op4(spark: SparkSession, sf: str) -> DataFrame:
+    described = describe(table(spark, sf, "documents"))
+    model = fit_quality(described, table(spark, sf, "labels").where(fold(5) != 0))
+    return score_quality(described, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES, SQL = registry.QUERIES, registry.SQL

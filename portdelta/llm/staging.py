@@ -57,13 +57,8 @@ def summed_blocks(parts: DataFrame, width: int) -> np.ndarray:
     salted = parts.withColumn("salt", F.spark_partition_id() % 16)
     first = salted.groupBy("block", "salt").applyInArrow(lambda t: add(t.drop_columns(["salt"])), schema)
     rows = first.groupBy("block").applyInArrow(add, schema).collect()
-    out = np.zeros(width)
-    if rows:
-        size = max(len(r["sums"]) for r in rows) // 8
-        for r in rows:
-            one = np.frombuffer(r["sums"], dtype="<f8")
-            out[r["block"] * size : r["block"] * size + len(one)] = one
-    return out
+    found = sorted(rows, key=lambda r: r["block"])
+    return np.concatenate([*(np.frombuffer(r["sums"], dtype="<f8") for r in found), np.zeros(width)])[:width]
 
 
 def _arrow_schema() -> pa.Schema:

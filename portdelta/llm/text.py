@@ -21,6 +21,8 @@ SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+LINE_ENDS = np.zeros(256, dtype=bool)
+LINE_ENDS[0x0A] = True
 _LOWER = np.arange(256)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _CODES = np.random.Generator(np.random.PCG64(20240229)).integers(0, 2**64, 256, dtype=np.uint64)[_LOWER]
@@ -94,8 +96,9 @@ class Words:
         return self.hashes[self.first[i] : self.first[i + 1]]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, extra_breaks: np.ndarray | None = None) -> Words:
-    space = _SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, extra_breaks: np.ndarray | None = None, blanks: np.ndarray = _SPACE) -> Words:
+    """Runs of bytes that are neither ``blanks`` (a table of 256) nor at ``extra_breaks``."""
+    space = blanks[data]
     if extra_breaks is not None:
         space |= extra_breaks
     n = len(data)
