@@ -5,8 +5,8 @@ four give candidates, and the two low bits of each minimum, packed in four longs
 similarity. Bits agree by chance in a quarter of the places, so the estimate is corrected for that;
 candidates far below the threshold go, the rest are confirmed on their full sets.
 
-A band's bucket is not expanded into pairs. Its members are held against one of them, the one that shares
-most buckets with others; what is confirmed is joined into components. A pair of one bucket that is still in
+A band's bucket is not expanded into pairs. Its members are held against a few of them that share most
+buckets with others; what is confirmed is joined into components. A pair of one bucket that is still in
 two components has a member outside the bucket's largest one. These members are looked up among all members
 of such buckets by their rarest shingles: a partner must have one of them, and the place of the first one it
 has bounds what both can share. So every candidate pair is confirmed, refused, or inside one component.
@@ -28,6 +28,7 @@ from portdelta.llm.text import buffers, mixed, sets_of, shingle_sets, slices, wo
 from portdelta.ship import by_value
 
 MINIMA, PER_BAND, LOW_BITS = 128, 4, 2
+_CENTRES = 4
 _PER_LONG = 64 // LOW_BITS
 _DRAW = np.random.Generator(np.random.PCG64(85))
 _MULTIPLY = _DRAW.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -152,10 +153,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = staged(rows.join(crowded, "bucket"), "shared")
     degree = shared.groupBy("rep").agg(F.sum("n").alias("degree"))
-    ranked = shared.join(degree, "rep").select("bucket", "rep", F.struct("degree", -F.col("rep")).alias("place"))
-    centres = ranked.groupBy("bucket").agg(F.max("place").alias("first")).select("bucket", (-F.col("first")["col2"]).alias("centre"))
-    buckets = staged(ranked.select("bucket", "rep").join(centres, "bucket"), "buckets")
-    star = buckets.where("rep <> centre").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+    ranked = shared.join(degree, "rep")
+    # Several members that share most buckets with others, in slightly different orders of preference.
+    places = [F.max(F.struct(F.col("degree") * (1 + 0.02 * j * F.pmod(F.xxhash64("rep", F.lit(j)), F.lit(16))), "rep")) for j in range(_CENTRES)]
+    centres = ranked.groupBy("bucket").agg(F.array_distinct(F.array(*[p["rep"] for p in places])).alias("centres"))
+    buckets = staged(ranked.select("bucket", "rep"), "buckets")
+    star = buckets.join(centres, "bucket").select("rep", F.explode("centres").alias("centre")).where("rep <> centre")
+    star = star.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
     links = _confirm(staged(_likely(star, bits, percent), "pairs"), docs, percent)
     found = staged(components(links), "components")
     links = links.union(_across(buckets, found, docs, bits, percent))
