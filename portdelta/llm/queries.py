@@ -13,6 +13,7 @@ from portdelta.llm.neighbours import nearest
 from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.registry import query, table
 from portdelta.llm.secrets import KINDS, scan_secrets
+from portdelta.llm.substring_dedup import repeated_passages
 from portdelta.llm.token_files import read_digests, token_folder, write_tokens
 from portdelta.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -130,4 +131,9 @@ def _op4(spark: SparkSession, sf: str) -> DataFrame:
     return score_quality(described, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
+@query("op1_substring_dedup")
+def _op1(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_passages(table(spark, sf, "documents"))
+
+
 QUERIES, SQL = registry.QUERIES, registry.SQL
