@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portdelta.llm.staging import small_batches, staged
+from portdelta.llm.staging import key_bitmap, small_batches, staged
 from portdelta.llm.text import Words, buffers, mixed, runs, slices, words
 from portdelta.ship import by_value
 
@@ -133,18 +133,6 @@ def _hits(sent, numbers: list[int], bits: int):
     return find
 
 
-def _bitmap(index: DataFrame, bits: int) -> np.ndarray:
-    """Bit of every key's leading ``bits`` bits, gathered in pieces of 4 KB; no more than all pieces arrive."""
-    # Spark counts the bits of its bitmaps from 1.
-    place = F.shiftrightunsigned("key", 64 - bits) + 1
-    pieces = index.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    out = np.zeros((1 << bits) // 8, np.uint8)
-    for r in pieces.collect():
-        at = (r["piece"] - 1) * 4096
-        out[at : at + 4096] = np.frombuffer(r["bits"], np.uint8)
-    return out
-
-
 def _exact(percent: int):
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str | None, dict[int, np.ndarray], Words | None] = (None, {}, None)
@@ -187,7 +175,7 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80, bits:
     # Classes grow with the logarithm of the longest item.
     numbers = sorted(r["size_class"] for r in sketched.select("size_class").distinct().collect())
     index = sketched.select("item_id", F.explode("keys").alias("key"))
-    sent = spark.sparkContext.broadcast(_bitmap(index, bits))
+    sent = spark.sparkContext.broadcast(key_bitmap(index, bits))
     hits = staged(texts.mapInArrow(_hits(sent, numbers, bits), "doc_id long, text string, keys array<long>"), "hits")
     pairs = hits.select("doc_id", F.explode("keys").alias("key")).join(index, "key").select("doc_id", "item_id").distinct()
     wanted = sketched.select("item_id", "n_item").join(known.withColumnRenamed("text", "item_text"), "item_id")

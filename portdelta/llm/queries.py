@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from portdelta.llm import registry
 from portdelta.llm.decontaminate import contained_items
+from portdelta.llm.line_dedup import line_summary
 from portdelta.llm.mixing import mix_sources
 from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.neighbours import nearest
@@ -136,4 +137,32 @@ def _op1(spark: SparkSession, sf: str) -> DataFrame:
     return repeated_passages(table(spark, sf, "documents"))
 
 
+@query(
+    "op2_line_dedup",
+    r"""
+WITH raw AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line FROM documents
+), lines AS (
+  SELECT doc_id, line, list_sort(list_distinct(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS s
+  FROM raw
+), full_lines AS (SELECT * FROM lines WHERE len(s) > 0),
+classes AS (SELECT s, row_number() OVER (ORDER BY s) AS c, min((doc_id, line)) AS first FROM full_lines GROUP BY s),
+members AS (SELECT c, len(s) AS n, unnest(s) AS w FROM classes),
+pairs AS (
+  SELECT a.c AS a, b.c AS b FROM members a JOIN members b ON a.w = b.w AND a.c <> b.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached AS (SELECT p.a AS c, count(*) AS n_links, min(k.first) AS near FROM pairs p JOIN classes k ON k.c = p.b GROUP BY p.a),
+known AS (SELECT k.s, coalesce(r.n_links, 0) AS n_links, least(k.first, coalesce(r.near, k.first)) AS bound FROM classes k LEFT JOIN reached r USING (c)),
+found AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER ((doc_id, line) > bound) AS n_removed, sum(n_links)::BIGINT AS n_links
+  FROM full_lines JOIN known USING (s) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_links, 0) AS n_links
+FROM documents LEFT JOIN found USING (doc_id)
+""",
+)
+def _op2(spark: SparkSession, sf: str) -> DataFrame:
+    return line_summary(table(spark, sf, "documents"))
+
+
 QUERIES, SQL = registry.QUERIES, registry.SQL

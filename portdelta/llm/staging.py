@@ -61,6 +61,21 @@ def summed_blocks(parts: DataFrame, width: int) -> np.ndarray:
     return np.concatenate([*(np.frombuffer(r["sums"], dtype="<f8") for r in found), np.zeros(width)])[:width]
 
 
+def key_bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bit of the leading ``bits`` bits of every long ``key``, gathered in pieces of 4 KB.
+
+    The result has ``2 ** bits / 8`` bytes whatever the number of keys; no more than that arrives.
+    """
+    # Spark counts the bits of its bitmaps from 1.
+    place = F.shiftrightunsigned("key", 64 - bits) + 1
+    pieces = keys.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in pieces.collect():
+        at = (r["piece"] - 1) * 4096
+        out[at : at + 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
 def _arrow_schema() -> pa.Schema:
     return pa.schema([("block", pa.int32()), ("sums", pa.binary())])
 
