@@ -58,7 +58,7 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 def packed_bits(low: np.ndarray) -> np.ndarray:
     bits = (low >> np.uint64(40)) & np.uint64(2**LOW_BITS - 1)
     shift = (np.arange(MINIMA, dtype=np.uint64) % np.uint64(_PER_LONG)) * np.uint64(LOW_BITS)
-    return (bits << shift).reshape(len(low), -1, _PER_LONG).sum(axis=2, dtype=np.uint64).view(np.int64)
+    return (bits << shift).reshape(len(low), MINIMA // _PER_LONG, _PER_LONG).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
 def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
