@@ -32,6 +32,8 @@ from portdelta.ship import by_value
 
 _LENGTHS = np.stack([(np.arange(256) >> (2 * i) & 3) + 1 for i in range(4)], axis=1)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+# Signs that make no piece with the letters before them, as an apostrophe may.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _TOKENS = "doc_id long, start long, n_tokens long, control binary, data binary"
 
 
@@ -117,17 +119,20 @@ class PieceEncoder:
         return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _word(self, p: str, blank: bool) -> bytes | None:
-        """Ids of letters, with a full stop or comma at most, after a blank or a line end; None for other pieces.
+        """Ids of letters and signs after them, behind a blank or a line end; None for other pieces.
 
-        Letters are one piece to the vocabulary, with the blank before them if there is one.
+        Letters are one piece to the vocabulary, with the blank before them if there is one, and so are signs.
         """
         key = p if blank else "\n" + p
         known = self.ids.get(key) or self.older.get(key)
         if known is None:
-            stem, tail = (p[:-1], p[-1]) if p[-1:] in (".", ",") else (p, "")
+            stem = p.rstrip(_SIGNS)
+            tail = p[len(stem) :]
             if not (stem.isalpha() and (stem.isascii() or max(stem) < "ɐ")):
                 return None
             if tail:
+                if tail not in self.marks:
+                    self.marks[tail] = self._whole([tail])[0]
                 known = self._word(stem, blank) + self.marks[tail]
             else:
                 named = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.names)
