@@ -15,7 +15,7 @@ from portdelta.operators.rolling import delta_lag_stream, delta_stateful
 from portdelta.plans import window_delta_rows
 from portdelta.session import fresh_path
 from portdelta.ship import by_value
-from portdelta.streaming import fan_out, file_sink, start_stream
+from portdelta.streaming import file_sink, start_stream
 
 by_value(__name__)
 
@@ -271,23 +271,12 @@ def rolling(spark, sf):
     return delta_stateful(_rows(spark, sf, "in_octets"), KEYS, "in_octets", "ts", 21_600)
 
 
-def _run(spark, df, label: str, sinks: int = 1):
+def _run(spark, df, label: str):
     """Run a stream over all that is there and return what it wrote."""
-    paths = [fresh_path(spark, f"{label}-out") for _ in range(sinks)]
-    sink = fan_out([file_sink(p) for p in paths])
-    # State partitions beyond the cores there are only cost.
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    start_stream(
-        df,
-        None,
-        {},
-        fresh_path(spark, f"{label}-state"),
-        {"availableNow": True},
-        batch_sink=sink,
-        state_partitions=partitions,
-    ).awaitTermination()
-    outs = [spark.read.option("basePath", p).parquet(p).drop("batch_id") for p in paths]
-    return outs[0] if sinks == 1 else outs
+    path = fresh_path(spark, f"{label}-out")
+    state = fresh_path(spark, f"{label}-state")
+    start_stream(df, None, {}, state, {"availableNow": True}, batch_sink=file_sink(path)).awaitTermination()
+    return spark.read.option("basePath", path).parquet(path).drop("batch_id")
 
 
 # A stream holds back windows that end behind its watermark: the newest minute less six minutes.
@@ -305,9 +294,7 @@ _CLOSED = "(SELECT epoch_us(max(fts)) - 360000000 FROM tel)"
 )
 def stream_delta_window(spark, sf):
     rows = window_delta_rows(system_messages(stream_tel(spark, sf)), _LONG, _SLIDE)
-    table, topic = _run(spark, rows, "deltas", sinks=2)
-    # Both sinks got the same batches; a row that one of them lacks would be missing here.
-    return table.intersectAll(topic)
+    return _run(spark, rows, "deltas")
 
 
 @query(

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from portdelta.session import fresh_path
 
-from portdelta.sources import spread
 
 # Counter expressions over event number e, user u and value in cents c; valid in Spark and in DuckDB.
 COUNTERS = {
@@ -89,14 +89,26 @@ def tel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spread_tel(spark: SparkSession, sf: str) -> DataFrame:
-    """The samples dealt out over all cores, for queries that build and parse messages."""
-    return shape_events(spread(table(spark, sf, "events")))
+    """The samples dealt out evenly, for queries that build and parse messages."""
+    pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return shape_events(table(spark, sf, "events").repartition(pieces))
+
+
+# Micro-batches of a stream, and files of each.
+_BATCHES, _FILES = 4, 2
 
 
 def stream_tel(spark: SparkSession, sf: str) -> DataFrame:
-    """The same samples as a file stream."""
-    schema = table(spark, sf, "events").schema
-    return shape_events(spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet"))
+    """The same samples as a file stream of several micro-batches, in the order of time."""
+    events = table(spark, sf, "events").withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    cuts = events.approxQuantile("_us", [i / _BATCHES for i in range(1, _BATCHES)], 0.01)
+    path = fresh_path(spark, "events")
+    late = F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: F.col("_us") > c))
+    for i in range(_BATCHES):
+        part = events.where(F.coalesce(late, F.lit(0)) == i).drop("_us")
+        part.repartition(_FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.drop("_us").schema).option("maxFilesPerTrigger", _FILES)
+    return shape_events(stream.parquet(path))
 
 
 def _dash(name: str) -> str:

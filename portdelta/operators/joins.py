@@ -1,9 +1,9 @@
 """Enrichment, correlation and publish-once joins.
 
 No side is force-broadcast: Spark broadcasts one only if its size is below the session's threshold
-(the repeats of a salted side come on top, so the bound is ``salt`` times that). Beyond it a hot key is
-spread by ``salt`` (the lookup side is repeated once per salt value), or, where the key holds a time, by
-the key itself; adaptive execution splits what is still uneven.
+(the repeats of a salted side come on top, so the bound is ``salt`` times that). Beyond it adaptive
+execution splits hot keys; where that is off, callers may ask for ``salt``, which repeats the lookup side
+once per salt value.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     return left.withColumn(_SALT, spread).join(many, [*on, _SALT], how).drop(_SALT)
 
 
-def attach(rows: DataFrame, groups: DataFrame, on: Sequence[str], salt: int = 8) -> DataFrame:
+def attach(rows: DataFrame, groups: DataFrame, on: Sequence[str], salt: int = 1) -> DataFrame:
     """Adds to each row the columns of its group; NULL is a value of ``on`` like any other.
 
     With ``groups`` aggregated from ``rows`` this does what a window over ``on`` does, without bringing
@@ -69,7 +69,7 @@ def join_status_minute(
     )
 
 
-def join_inventory(counters: DataFrame, inventory: DataFrame, salt: int = 8) -> DataFrame:
+def join_inventory(counters: DataFrame, inventory: DataFrame, salt: int = 1) -> DataFrame:
     """Counters of interfaces listed in the inventory, with customer, location and speed."""
     right = inventory.select(
         F.col("routername").alias("devicename"),
@@ -186,7 +186,7 @@ def request_enrich(
     key: str,
     threshold_key: str,
     rule: Column,
-    salt: int = 8,
+    salt: int = 1,
 ) -> DataFrame:
     """Requests (``aid``, ``alarmPoint``, ...) answered from ``lookup`` (column ``key`` plus payload).
 
@@ -215,7 +215,7 @@ def request_enrich(
     )
 
 
-def threshold_join(df: DataFrame, thresholds: DataFrame, on: str, salt: int = 8) -> DataFrame:
+def threshold_join(df: DataFrame, thresholds: DataFrame, on: str, salt: int = 1) -> DataFrame:
     """Adds ``threshold`` from a key/value table; rows without one keep NULL."""
     limits = thresholds.select(F.col("key").alias(on), F.col("value").alias("threshold"))
     return salted_join(df, limits, [on], "left", salt).select(*df.columns, "threshold")

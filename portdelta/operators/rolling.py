@@ -162,7 +162,11 @@ def _with_keys(out: pd.DataFrame, keys: Sequence[str], values: tuple) -> pd.Data
     return out
 
 
-def _stream(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int) -> DataFrame:
+def _timeout(idle: int | None) -> str:
+    return GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
+
+
+def _stream(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int, idle: int | None) -> DataFrame:
     keys, span = list(keys), span_s * _US
     fields = {f.name: f.dataType for f in df.schema.fields}
     names = ["start", "end", "delta"]
@@ -172,17 +176,29 @@ def _stream(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int)
     state_schema = T.StructType([T.StructField(n, T.LongType(), True) for n in ("start", "high", "low")])
 
     def roll(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(["_t", "_v"])
-        times, values = rows["_t"].to_numpy(), rows["_v"].to_numpy()
+        if state.hasTimedOut:
+            state.remove()
+            return
         since, high, low = state.get if state.exists else (None, None, None)
+        # Of one time only the extremes count; samples older than the open interval are late and left out.
+        kept = [b if since is None else b[b["_t"] >= since] for b in batches]
+        rows = pd.concat([b.groupby("_t")["_v"].agg(["min", "max"]) for b in kept])
+        if rows.empty:
+            if idle:
+                state.setTimeoutDuration(idle * 1000)
+            return
+        rows = rows.groupby(level=0).agg({"min": "min", "max": "max"}).sort_index()
+        times, lows, highs = rows.index.to_numpy(), rows["min"].to_numpy(), rows["max"].to_numpy()
         starts = _starts(times, int(times[0]) if since is None else since + span, span)
-        pieces = _pieces(times, values, values, starts, since)
+        pieces = _pieces(times, lows, highs, starts, since)
         if since is not None:
             pieces.append((since, None, high, low))
         parts = pd.DataFrame(pieces, columns=["start", "end", "high", "low"]).astype({"end": "Int64"})
         whole = parts.groupby("start", as_index=False).agg({"end": "max", "high": "max", "low": "min"})
         newest = whole.iloc[-1]
         state.update((int(newest["start"]), int(newest["high"]), int(newest["low"])))
+        if idle:
+            state.setTimeoutDuration(idle * 1000)
         closed = whole[whole["end"].notna()]
         out = pd.DataFrame(
             {"start": closed["start"], "end": closed["end"], "delta": closed["high"] - closed["low"]}
@@ -193,7 +209,7 @@ def _stream(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int)
         df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
         .select(*keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.col(col).cast("long").alias("_v"))
         .groupBy(*keys)
-        .applyInPandasWithState(roll, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+        .applyInPandasWithState(roll, out_schema, state_schema, "append", _timeout(idle))
     )
     return rolled.select(
         *keys,
@@ -210,19 +226,26 @@ def delta_stateful(
     ts: str,
     span_seconds: int = 300,
     slice_seconds: int = SLICE_SECONDS,
+    idle_seconds: int | None = None,
 ) -> DataFrame:
-    """Rolling delta per key; a stream keeps start, maximum and minimum of the open interval as state."""
+    """Rolling delta per key; a stream keeps start, maximum and minimum of the open interval as state.
+
+    On a stream, a sample older than the start of its key's open interval is late and left out: the
+    interval it belongs to is closed. The state of a key without samples for ``idle_seconds`` is dropped;
+    that runs by the clock, so not under a trigger that ends by itself.
+    """
     if df.isStreaming:
-        return _stream(df, keys, col, ts, span_seconds)
+        return _stream(df, keys, col, ts, span_seconds, idle_seconds)
     return _batch(df, keys, col, ts, span_seconds, slice_seconds)
 
 
-def delta_lag_stream(df: DataFrame, keys: Sequence[str], col: str, ts: str) -> DataFrame:
+def delta_lag_stream(df: DataFrame, keys: Sequence[str], col: str, ts: str, idle_seconds: int | None = None) -> DataFrame:
     """Previous-sample delta on a stream; the last sample of each key is its state.
 
-    A sample older than the newest one seen is late and gets no delta.
+    A sample older than the newest one seen is late: it appears with NULL deltas. The state of a key without
+    samples for ``idle_seconds`` is dropped.
     """
-    keys = list(keys)
+    keys, idle = list(keys), idle_seconds
     fields = {f.name: f.dataType for f in df.schema.fields}
     names = ["t", "value", "delta_time_sec", "delta"]
     out_schema = T.StructType(
@@ -231,10 +254,20 @@ def delta_lag_stream(df: DataFrame, keys: Sequence[str], col: str, ts: str) -> D
     state_schema = T.StructType([T.StructField(n, T.LongType(), True) for n in ("t", "v")])
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(["_t", "_v"])
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat([b[["_t", "_v"]] for b in batches]).sort_values(["_t", "_v"])
+        if idle:
+            state.setTimeoutDuration(idle * 1000)
         if state.exists:
             t0, v0 = state.get
+            late = rows[rows["_t"] < t0]
             rows = rows[rows["_t"] >= t0]
+            if len(late):
+                none = pd.array([pd.NA] * len(late), dtype="Int64")
+                out = pd.DataFrame({"t": late["_t"].to_numpy(), "value": late["_v"].to_numpy()})
+                yield _with_keys(out.assign(delta_time_sec=none, delta=none), keys, key)
         else:
             t0, v0 = rows["_t"].iloc[0], rows["_v"].iloc[0]
         if rows.empty:
@@ -256,7 +289,7 @@ def delta_lag_stream(df: DataFrame, keys: Sequence[str], col: str, ts: str) -> D
         df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
         .select(*keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.col(col).cast("long").alias("_v"))
         .groupBy(*keys)
-        .applyInPandasWithState(step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+        .applyInPandasWithState(step, out_schema, state_schema, "append", _timeout(idle))
     )
     return stepped.select(
         *keys,

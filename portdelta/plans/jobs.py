@@ -13,14 +13,17 @@ from portdelta.operators.deltas import POLL_RECORD, delta_lag, delta_output, del
 from portdelta.operators.flatten import explode_elements, explode_system, flatten_all
 from portdelta.operators.joins import join_status_minute, request_enrich
 from portdelta.operators.parse import parse_value, split_record_kinds, validate_envelope
-from portdelta.operators.slices import fitting_seconds
+from portdelta.operators.slices import SLICE_SECONDS
 from portdelta.session import fresh_path
 from portdelta.sinks.files import write_files, write_json_lines
 from portdelta.sinks.topics import to_message, to_psv
 from portdelta.sources.files import read_envelopes
 from portdelta.streaming.run import BatchSink, start_stream
 
+# The counters whose deltas the job reports.
 _LAG_COUNTERS = ["in_octets", "in_pkts", "out_octets", "out_pkts"]
+# All compared counters, so that samples of one time have one order.
+_ORDER = ["timestamp", *_LAG_COUNTERS]
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -38,11 +41,13 @@ def batch_delta_job(
     subinterface_csv: str,
     interface_out: str,
     subinterface_out: str,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> None:
     """JSON messages to flat CSV rows and to previous-sample deltas with status, as JSON.
 
     The messages are parsed once into a columnar copy, of which every branch reads only its columns;
-    the joined rows are stored as well, as the delta reads them twice.
+    the joined rows are stored as well, as the delta reads them twice. ``slice_seconds`` is the length of
+    time of a key that one task orders at once.
     """
     kinds = split_record_kinds(_stored(read_envelopes(spark, source)))
     counters, subs = kinds["interface_counters"], kinds["subinterface_counters"]
@@ -51,15 +56,13 @@ def batch_delta_job(
 
     keys = ["devicename", "interface"]
     joined = _stored(join_status_minute(counters, kinds["interface_status"], keys))
-    seconds = fitting_seconds(joined, keys, "timestamp")
-    out = delta_lag(joined, keys, _LAG_COUNTERS, ["timestamp", "in_octets"], seconds=seconds)
+    out = delta_lag(joined, keys, _LAG_COUNTERS, _ORDER, seconds=slice_seconds)
     write_files(out, interface_out, "json")
 
     keys = ["devicename", "interface", "subinterface"]
     joined = _stored(join_status_minute(subs, kinds["subinterface_status"], keys))
-    seconds = fitting_seconds(joined, keys, "timestamp")
     out = delta_lag(
-        joined, keys, _LAG_COUNTERS, ["timestamp", "in_octets"], time_name="delta_time", seconds=seconds
+        joined, keys, _LAG_COUNTERS, _ORDER, time_name="delta_time", seconds=slice_seconds
     )
     write_files(out, subinterface_out, "json")
 

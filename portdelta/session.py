@@ -50,5 +50,8 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/portdelta/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; what is there goes when the driver ends."""
+    path = f"{shared_root(spark)}/portdelta/{label}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path

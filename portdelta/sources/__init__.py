@@ -5,7 +5,6 @@ from portdelta.sources.files import (
     read_lines,
     read_properties,
     read_table,
-    spread,
 )
 from portdelta.sources.topics import kafka_options, pulsar_options, read_topic
 
@@ -19,5 +18,4 @@ __all__ = [
     "read_properties",
     "read_table",
     "read_topic",
-    "spread",
 ]

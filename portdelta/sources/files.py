@@ -45,13 +45,3 @@ def parse_csv_message(df: DataFrame, names: list[str], sep: str = ",", column: s
     """Bytes or text with separated fields to one text column per name; absent fields are NULL."""
     parts = F.split(F.col(column).cast("string"), f"\\Q{sep}\\E")
     return df.select(*[F.get(parts, i).alias(name) for i, name in enumerate(names)])
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A table cut into fewer pieces than there are cores, dealt out over all of them.
-
-    For rows that cost much to process, such as messages to parse. A large table has pieces enough
-    and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -110,6 +110,8 @@ def test_previous_sample_state(feed):
     got = feed.run(delta_lag_stream(feed.stream(), KEYS, "in_octets", "ts"))
     assert [(r["ts"].minute, r["delta_time_sec"], r["delta_in_octets"]) for r in got.orderBy("ts").collect()] == [
         (0, 0, 0),
+        # The late sample, half a minute past.
+        (0, None, None),
         (1, 60, 10),
         (3, 120, 20),
         (9, 0, 0),
@@ -229,3 +231,38 @@ def test_request_job(spark, tmp_path):
     answers = [json.loads(bytes(r["value"])) for r in spark.read.parquet(f"{feed.root}/out").collect()]
     assert sorted(a["status"] for a in answers) == ["ERROR", "HEALTHCHECK", "OK"]
     assert [a["result"] for a in answers if a["status"] == "OK"] == ["one 3"]
+
+
+def _late_stream(spark, tmp_path, batches, operator):
+    """What ``operator`` gives for micro-batches of (key, second, value)."""
+    from pyspark.sql import functions as F
+
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "k string, s long, v long").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("k string, s long, v long").option("maxFilesPerTrigger", 1).parquet(source)
+    rows = operator(stream.select("k", F.timestamp_seconds("s").alias("ts"), "v"))
+    query = rows.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(out)
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def test_rolling_stream_leaves_late_samples_out(spark, tmp_path):
+    from portdelta.operators.rolling import delta_stateful
+
+    batches = [[("a", 0, 10), ("a", 60, 12)], [("a", 100, 20), ("a", 150, 25)], [("a", 50, -1), ("a", 160, 26)], [("a", 210, 40), ("b", 5, 1)]]
+    got = _late_stream(spark, tmp_path, batches, lambda df: delta_stateful(df, ["k"], "v", "ts", 100))
+    late = ("a", 50, -1)
+    kept = spark.createDataFrame([r for b in batches for r in b if r != late], "k string, s long, v long")
+    want = delta_stateful(kept.selectExpr("k", "timestamp_seconds(s) AS ts", "v"), ["k"], "v", "ts", 100)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 2
+
+
+def test_lag_stream_shows_late_samples_without_delta(spark, tmp_path):
+    from portdelta.operators.rolling import delta_lag_stream
+
+    batches = [[("a", 0, 10), ("a", 60, 12)], [("a", 100, 20)], [("a", 50, 11), ("a", 160, 26)]]
+    got = _late_stream(spark, tmp_path, batches, lambda df: delta_lag_stream(df, ["k"], "v", "ts"))
+    rows = sorted((int(r.ts.timestamp()), r.v, r.delta_time_sec, r.delta_v) for r in got.collect())
+    assert [r[1:] for r in rows] == [(10, 0, 0), (11, None, None), (12, 60, 2), (20, 40, 8), (26, 60, 6)]
