@@ -103,7 +103,9 @@ def _choices(token: str, i: int, spaced: bool) -> list[tuple[str, float]]:
     """What the character may stand for, with the log probability of the channel."""
     c = token[i]
     if spaced and c in " .-_*":
-        return [("", 0.0)]
+        # A gap stands inside a word or between two; the character model tells which is likelier.
+        out = [("", 0.0)] if i and token[i - 1] in " .-_*" else [("", 0.0), (" ", 0.0)]
+        return out + [(v, -1.0 - math.log(5)) for v in LOOK_ALIKES.get(c, "")]
     out: list[tuple[str, float]] = []
     if c.isalpha():
         out.append((c, 0.0))

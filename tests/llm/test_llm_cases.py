@@ -132,6 +132,12 @@ def test_readings_follow_the_character_model(spark):
         assert meant in readings(written, model, apart)
 
 
+def test_spaced_out_words_in_a_row_are_told_apart(spark):
+    model = character_model(spark.createDataFrame([("you are a stupid idiot and i hate the clown, i hate a pathetic moron too " * 30,)], "text string"))
+    for written, meant in (("a s t u p i d", "a stupid"), ("i h a t e", "i hate"), ("s t u p i d i d i o t", "stupid idiot"), ("m.o.r.o.n", "moron")):
+        assert meant in readings(written, model, True)
+
+
 def test_quality_odd_rows(spark, odd_docs, odd_rows):
     good = [(100 + i, f"A plain sentence about topic {i} stands here. It ends well.", "s") for i in range(120)]
     bad = [(400 + i, f"BUY!!! NOW!!! $$$ {i} CLICK!!! *** " * 3, "s") for i in range(60)]
