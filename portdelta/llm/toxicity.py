@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -96,11 +97,17 @@ def character_model(docs: DataFrame) -> np.ndarray:
 
 def _symbol(c: str) -> int:
     code = ord(c)
-    return int(_SYMBOL[code]) if code < 128 else 27 + (code & 31)
+    return _ASCII[code] if code < 128 else 27 + (code & 31)
 
 
-def _choices(token: str, i: int, spaced: bool) -> list[tuple[str, float]]:
-    """What the character may stand for, with the log probability of the channel."""
+_ASCII = _SYMBOL[:128].tolist()
+
+
+def _choices(token: str, i: int, spaced: bool, doubled: bool = False) -> list[tuple[str, float]]:
+    """What the character may stand for, with the log probability of the channel.
+
+    In a token that doubles several letters (``doubled``), one more is likelier.
+    """
     c = token[i]
     if spaced and c in " .-_*":
         # A gap stands inside a word or between two; the character model tells which is likelier.
@@ -111,7 +118,7 @@ def _choices(token: str, i: int, spaced: bool) -> list[tuple[str, float]]:
         out.append((c, 0.0))
         if i and token[i - 1] == c:
             long = (i > 1 and token[i - 2] == c) or token[i + 1 : i + 2] == c
-            out = [(c, -2.0 if long else 0.0), ("", -0.7 if long else -4.0)]
+            out = [(c, -2.0 if long else 0.0), ("", -0.7 if long else -1.0 if doubled else -4.0)]
     for letter in LOOK_ALIKES.get(c, ""):
         out.append((letter, -1.0 - math.log(len(LOOK_ALIKES[c]))))
     if not c.isalpha():
@@ -119,23 +126,46 @@ def _choices(token: str, i: int, spaced: bool) -> list[tuple[str, float]]:
     return out
 
 
-def readings(token: str, model: np.ndarray, spaced: bool = False, best: int = 3) -> list[str]:
+def readings(token: str, model: np.ndarray | list[float], spaced: bool = False, best: int = 3) -> list[str]:
     """The most likely readings of a token, best first: Viterbi over states of two characters."""
     token = token.lower()
-    states: dict[tuple[int, int, str], list[tuple[float, str]]] = {(0, 0, ""): [(0.0, "")]}
+    flat = model if isinstance(model, list) else model.ravel().tolist()
+    doubled = sum(a == b and a.isalpha() for a, b in zip(token, token[1:])) > 1
+    # Paths are linked backwards, so a long token costs no copies of what was read.
+    states: dict[tuple[int, int, str], list[tuple[float, tuple]]] = {(0, 0, ""): [(0.0, ())]}
     for i in range(len(token)):
-        after: dict[tuple[int, int, str], list[tuple[float, str]]] = {}
+        after: dict[tuple[int, int, str], list[tuple[float, tuple]]] = {}
+        choices = [(letter, cost, _symbol(letter) if letter else 0) for letter, cost in _choices(token, i, spaced, doubled)]
         for (x, y, last), paths in states.items():
-            for letter, cost in _choices(token, i, spaced):
+            at = (x * SYMBOLS + y) * SYMBOLS
+            for letter, cost, z in choices:
                 if letter:
-                    z = _symbol(letter)
-                    key, step = (y, z, letter), cost + float(model[x, y, z])
+                    key, step = (y, z, letter), cost + flat[at + z]
                 else:
                     key, step = (x, y, last), cost
-                after.setdefault(key, []).extend((p + step, s + letter) for p, s in paths)
-        states = {k: sorted(v, reverse=True)[:best] for k, v in after.items()}
-    done = [(p + float(model[x, y, 0]), s) for (x, y, _), paths in states.items() for p, s in paths]
-    return list(dict.fromkeys(s for _, s in sorted(done, reverse=True)))[:best]
+                after.setdefault(key, []).extend((p + step, (s, letter) if letter else s) for p, s in paths)
+        states = {k: sorted(v, key=_cost, reverse=True)[:best] if len(v) > 1 else v for k, v in after.items()}
+    done = [(p + flat[(x * SYMBOLS + y) * SYMBOLS], s) for (x, y, _), paths in states.items() for p, s in paths]
+    return list(dict.fromkeys(_read(s) for _, s in sorted(done, key=_cost, reverse=True)))[:best]
+
+
+_cost = itemgetter(0)
+
+
+def _read(path: tuple) -> str:
+    out = []
+    while path:
+        path, letter = path
+        out.append(letter)
+    return "".join(reversed(out))
+
+
+def _runs_with(inside: np.ndarray, hit: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of ``inside`` that holds a ``hit``."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    some = np.unique(np.searchsorted(starts, np.flatnonzero(hit & inside), side="right") - 1)
+    return list(zip(starts[some].tolist(), ends[some].tolist()))
 
 
 def suspects(data: np.ndarray, first: int, last: int) -> list[tuple[int, int, bool]]:
@@ -145,19 +175,21 @@ def suspects(data: np.ndarray, first: int, last: int) -> list[tuple[int, int, bo
     if n < 3:
         return []
     letter, digit, sign = _LETTER[d], _DIGIT[d], _SIGN[d]
-    hit = np.zeros(n, bool)
-    hit[:-1] = (digit | sign)[:-1] & letter[1:] | letter[:-1] & digit[1:]
     low = d | 32
-    hit[:-2] |= letter[:-2] & (low[:-2] == low[1:-1]) & (low[1:-1] == low[2:]) & (d[:-2] < 128)
+    hit = np.zeros(n, bool)
+    hit[:-1] = (digit | sign)[:-1] & letter[1:] | letter[:-1] & (digit | sign)[1:]
+    hit[:-1] |= letter[:-1] & (low[:-1] == low[1:]) & (d[:-1] < 128)
     spans: dict[tuple[int, int, bool], None] = {}
-    for i in np.flatnonzero(hit):
-        a, b = int(i), int(i) + 1
-        while a and _PART[d[a - 1]]:
-            a -= 1
-        while b < n and _PART[d[b]]:
-            b += 1
+    for a, b in _runs_with(_PART[d], hit):
         spans[a, b, False] = None
     known = letter | digit | (sign & ~_GAP[d])
+    # Groups joined by one or two signs without a blank.
+    tie = _GAP[d] & (d != 32)
+    k, g = np.pad(known, 2), np.pad(tie, 2)
+    tie &= k[1:-3] & (k[3:-1] | g[3:-1] & k[4:]) | g[1:-3] & k[:-4] & k[3:-1]
+    for a, b in _runs_with(known | tie, tie):
+        if letter[a:b].sum() >= 2:
+            spans[a, b, True] = None
     alone = known.copy()
     alone[1:] &= ~known[:-1]
     alone[:-1] &= ~known[1:]
@@ -177,19 +209,34 @@ class Decoder:
     """Restores the suspect tokens of texts; remembers tokens it has seen."""
 
     model: np.ndarray
-    seen: dict[tuple[str, bool], list[str]] = field(default_factory=dict)
+    seen: dict[tuple[str, bool], str] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.flat = self.model.ravel().tolist()
 
     def restored(self, data: np.ndarray, first: int, last: int) -> str:
-        out: list[str] = []
-        for a, b, spaced in suspects(data, first, last):
-            key = (data[a:b].tobytes().decode("utf-8", "replace"), spaced)
+        return self.restored_texts(data[first:last], np.array([0, last - first]))[0]
+
+    def restored_texts(self, data: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """What is restored of each text; all are searched at once, with a line end between them."""
+        n = np.diff(offsets)
+        lined = np.full(len(data) + len(n), 10, np.uint8)
+        lined[np.arange(len(data)) + np.repeat(np.arange(len(n)), n)] = data
+        ends = offsets[1:] + np.arange(len(n))
+        spans = suspects(lined, 0, len(lined))
+        owners = np.searchsorted(ends, [a for a, _, _ in spans], side="right")
+        raw, out = lined.tobytes(), [[] for _ in n]
+        for (a, b, spaced), text in zip(spans, owners.tolist()):
+            key = (raw[a:b].decode("utf-8", "replace"), spaced)
             found = self.seen.get(key)
             if found is None:
-                if len(self.seen) > 50_000:
+                if len(self.seen) > 200_000:
                     self.seen.clear()
-                found = self.seen[key] = readings(key[0], self.model, spaced)
-            out += found
-        return " ".join(out)
+                # The token itself is scored as written.
+                found = self.seen[key] = " ".join([r for r in readings(key[0], self.flat, spaced, 4) if r != key[0].lower()][:3])
+            if found:
+                out[text].append(found)
+        return [" ".join(o) for o in out]
 
 
 # --- features and weights ------------------------------------------------------------------------------
@@ -215,7 +262,7 @@ def _all_features(part: pa.RecordBatch, decoder: Decoder) -> tuple[np.ndarray, n
     """Features of the texts as written and as restored."""
     data, offsets = buffers(part.column("text"))
     found, owners = _features(data, offsets)
-    restored = [decoder.restored(data, int(a), int(b)) for a, b in zip(offsets[:-1], offsets[1:])]
+    restored = decoder.restored_texts(data, offsets)
     if any(restored):
         more, of = _features(*buffers(pa.array(restored, pa.string())))
         found, owners = np.concatenate([found, more]), np.concatenate([owners, of])

@@ -19,7 +19,7 @@ from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.secrets import find_secrets, scan_secrets
 from portdelta.llm.substring_dedup import repeated_passages
 from portdelta.llm.token_files import PieceEncoder, decode, encode, read_tokens, token_folder, write_tokens
-from portdelta.llm.toxicity import character_model, fit_toxicity, readings, reject_toxic, score_toxicity
+from portdelta.llm.toxicity import Decoder, character_model, fit_toxicity, readings, reject_toxic, score_toxicity, suspects
 
 
 def by_id(df, *columns):
@@ -138,6 +138,17 @@ def test_spaced_out_words_in_a_row_are_told_apart(spark):
         assert meant in readings(written, model, True)
 
 
+def test_lightly_disguised_words_reach_the_decoder(spark):
+    text = "you are a stupid idiot and a loser, the whole bass class will pass it all to a pathetic moron too "
+    decoder = Decoder(character_model(spark.createDataFrame([(text * 30,)], "text string")))
+    written = ("pa$$", "idio+", "a loser$ here", "stuupid", "iidiioott", "st-up-id", "mo_ron", "lo..ser")
+    for one, meant in zip(written, ("pass", "idiot", "loser", "stupid", "idiot", "stupid", "moron", "loser")):
+        data = np.frombuffer(one.encode(), np.uint8)
+        assert meant in decoder.restored(data, 0, len(data)).split()
+    plain = np.frombuffer(b"It is so. One day, two.", np.uint8)
+    assert suspects(plain, 0, len(plain)) == []
+
+
 def test_quality_odd_rows(spark, odd_docs, odd_rows):
     good = [(100 + i, f"A plain sentence about topic {i} stands here. It ends well.", "s") for i in range(120)]
     bad = [(400 + i, f"BUY!!! NOW!!! $$$ {i} CLICK!!! *** " * 3, "s") for i in range(60)]
