@@ -8,7 +8,8 @@ of all vectors it meets; the nearest by footrule are reranked by the inner produ
 The largest inner product is a nearest neighbour once every vector gets one more component that makes all
 lengths equal (that of queries is 0), so pivots are compared with in that space.
 
-Shards are dealt by a hash of the id, so no pivot near which most vectors lie is a large group.
+Shards are dealt by a hash of id and vector, so neither a pivot near which most vectors lie nor an id that
+repeats is a large group. A shard gives the best score of each id, before it cuts to the best ``k``.
 """
 
 from __future__ import annotations
@@ -87,6 +88,14 @@ class Files:
         return met, total[met]
 
 
+def _nearest_ids(ids: np.ndarray, far: np.ndarray, k: int, share: float) -> np.ndarray:
+    """All rows of the ``share`` of the ids (more than ``k``) that come nearest with one of their rows."""
+    order = np.argsort(far, kind="stable")
+    known, first = np.unique(ids[order], return_index=True)
+    most = max(k + 1, int(np.ceil(share * len(known))))
+    return np.flatnonzero(np.isin(ids, known[np.argsort(first)[:most]]))
+
+
 def _searched(n_pivots: int, dim: int, k: int, share: float | None):
     """Answers of a group's queries among its shard; all of it is compared if ``share`` is None."""
 
@@ -94,6 +103,7 @@ def _searched(n_pivots: int, dim: int, k: int, share: float | None):
         out: tuple[list, list, list] = ([], [], [])
         if queries.num_rows and shard.num_rows:
             x, ids = _matrix(shard.column("v"), dim), shard.column("id").to_numpy()
+            repeated = len(np.unique(ids)) < len(ids)
             asked, qids = _matrix(queries.column("v"), dim), queries.column("id").to_pylist()
             if share is not None:
                 files = Files(np.stack([np.frombuffer(v, "<u2") for v in shard.column("pivots").to_pylist()]), n_pivots)
@@ -103,12 +113,18 @@ def _searched(n_pivots: int, dim: int, k: int, share: float | None):
                     some = np.arange(len(x))
                 else:
                     some, far = files.footrule(orders[i])
-                    most = max(k + 1, int(np.ceil(share * len(some))))
-                    if len(some) > most:
-                        some = some[np.argpartition(far, most - 1)[:most]]
+                    if repeated:
+                        some = some[_nearest_ids(ids[some], far, k, share)]
+                    else:
+                        most = max(k + 1, int(np.ceil(share * len(some))))
+                        if len(some) > most:
+                            some = some[np.argpartition(far, most - 1)[:most]]
                 some = some[ids[some] != qid]
                 score = (x[some] * asked[i]).sum(axis=1)
-                best = np.lexsort((ids[some], -score))[: 2 * k]
+                best = np.lexsort((ids[some], -score))
+                if repeated:
+                    best = best[np.sort(np.unique(ids[some][best], return_index=True)[1])]
+                best = best[:k]
                 out[0].extend([qid] * len(best))
                 out[1].extend(ids[some][best].tolist())
                 out[2].extend(score[best].tolist())
@@ -164,6 +180,8 @@ def nearest(
     lift = np.sqrt(np.maximum(radius**2 - (base * base).sum(axis=1), 0))
     sent = spark.sparkContext.broadcast(np.column_stack([base, lift]))
     length, visited = min(length, len(base)), min(visited, len(base))
+    # Copies of a row are one row.
+    rows = rows.groupBy("id", "v").agg(F.max("q").alias("q")).select("id", "v", "q")
     index = staged(rows.mapInArrow(_indexed(sent, radius, length, visited), _INDEX), "index")
     shards, groups = -(-about["n"] // shard_rows), max(1, -(-about["asked"] // query_rows))
     found = staged(_meet(index, index.where("q"), shards, groups, _searched(len(base), dim, k, share)), "found")
@@ -177,7 +195,7 @@ def nearest(
 
 def _meet(index: DataFrame, asked: DataFrame, shards: int, groups: int, search) -> DataFrame:
     """Each group of queries meets each shard in a group of its own."""
-    shard = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("id", "v", F.lit(7)), F.lit(shards)).cast("int")
     group = F.pmod(F.xxhash64("id", F.lit(8)), F.lit(groups)).cast("int")
     every = index.select("id", "v", "pivots", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
     queries = asked.select("id", "v", "asked", group.alias("group"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))

@@ -237,3 +237,11 @@ def test_neighbours_odd_rows(spark):
     got = by_id(nearest(df, F.col("vec_id") % 2 == 0, k=3), "query_id", "rank", "vec_id", "score")
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 3, 0.0), (2, 1, 0, 1.0), (2, 2, 1, 1.0), (2, 3, 3, 0.0)]
     assert nearest(df.limit(0), F.lit(True)).collect() == []
+
+
+def test_a_repeated_id_leaves_room_for_others(spark):
+    hot = [(1, [1.0, 0.001 * i]) for i in range(60)] * 2
+    df = spark.createDataFrame([(0, [1.0, 0.0]), *hot, (2, [0.9, 0.0]), (3, [0.8, 0.0])], "vec_id long, embedding array<double>")
+    for share in (0.05, 0.5):
+        got = by_id(nearest(df, F.col("vec_id") == 0, k=3, share=share), "rank", "vec_id", "score")
+        assert got == [(1, 1, 1.0), (2, 2, 0.9), (3, 3, 0.8)]
