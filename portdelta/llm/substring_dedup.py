@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portdelta.llm.staging import small_batches, staged
-from portdelta.llm.text import _power_tables, buffers, mixed, slices
+from portdelta.llm.text import _power_tables, buffers, mixed, runs, slices
 from portdelta.ship import by_value
 
 _GEAR = np.random.Generator(np.random.PCG64(1)).integers(0, 2**32, 256, dtype=np.uint32)
@@ -91,12 +91,23 @@ def chunks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _BYTES = np.random.Generator(np.random.PCG64(11)).integers(0, 2**64, 256, dtype=np.uint64)
 
 
+def with_runs(digest: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chunks, and every two and four in a row, which may have another first document than their parts."""
+    order = np.argsort(start, kind="stable")
+    digest, start, end = digest[order], start[order], end[order]
+    found = [(digest, start, end)]
+    for k in (2, 4):
+        if len(digest) >= k:
+            found.append((runs(digest, k) + np.uint64(k), start[: len(start) - k + 1], end[k - 1 :]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _chunked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             data, offsets = buffers(part.column("text"))
             # Hashes must not see the text before: each text is rolled over alone.
-            found = [chunks(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+            found = [with_runs(*chunks(data[a:b])) for a, b in zip(offsets[:-1], offsets[1:])]
             n = [len(f[0]) for f in found]
             owner = pa.array(np.repeat(np.arange(len(found)), n))
             columns = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3)]

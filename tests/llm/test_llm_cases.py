@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from portdelta.llm.calibrate import pooled
 from portdelta.llm.components import components
-from portdelta.llm.decontaminate import contained_items
+from portdelta.llm.decontaminate import _item_keys, contained_items, size_class, window_keys
 from portdelta.llm.line_dedup import line_summary, without_similar_lines
 from portdelta.llm.mixing import frame_schedule, mix_sources, rounded_shares
 from portdelta.llm.near_dedup import near_duplicates
@@ -18,6 +19,7 @@ from portdelta.llm.neighbours import nearest
 from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.secrets import find_secrets, scan_secrets
 from portdelta.llm.substring_dedup import repeated_passages
+from portdelta.llm.text import buffers, words
 from portdelta.llm.token_files import PieceEncoder, decode, encode, read_tokens, token_folder, write_tokens
 from portdelta.llm.toxicity import Decoder, character_model, fit_toxicity, readings, reject_toxic, score_toxicity, suspects
 
@@ -245,3 +247,25 @@ def test_a_repeated_id_leaves_room_for_others(spark):
     for share in (0.05, 0.5):
         got = by_id(nearest(df, F.col("vec_id") == 0, k=3, share=share), "rank", "vec_id", "score")
         assert got == [(1, 1, 1.0), (2, 2, 0.9), (3, 3, 0.8)]
+
+
+def test_short_items_are_all_found():
+    rng = np.random.default_rng(5)
+    missed = 0
+    for i in range(3000):
+        item = [f"i{i}x{j}" for j in range(6)]
+        around = [f"r{x}" for x in rng.integers(0, 10**9, 30)]
+        batch = pa.RecordBatch.from_pydict({"item_id": [i], "text": [" ".join(item)]})
+        keys = next(_item_keys([batch])).column("keys")[0].as_py()
+        in_doc = window_keys(words(*buffers(pa.array([" ".join(around[:12] + item + around[12:])], pa.string()))), [size_class(6)])[0].view(np.int64)
+        missed += not set(keys) & set(in_doc.tolist())
+    assert missed == 0
+
+
+def test_a_run_of_common_chunks_finds_its_own_first_document(odd_docs):
+    rng = np.random.default_rng(8)
+    parts = [" ".join(f"{x:x}" for x in rng.integers(0, 2**30, 12)) for _ in range(8)]
+    rows = [(i, f"only {i} has this {p} and that {i} ends", "s") for i, p in enumerate(parts)]
+    rows += [(50, "before it " + " ".join(parts) + " behind", "s"), (60, "something else " + " ".join(parts) + " too", "s")]
+    got = repeated_passages(odd_docs(rows)).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in got} == {(60, 50)} and max(r.n_words for r in got) == 96
