@@ -4,8 +4,8 @@ Containment of a short item in a long document says little about their similarit
 by size and a document is cut, per size class, in windows little longer than the class's items: three
 neighbouring blocks of half an item each, so that every run of an item's length lies inside a window. A
 window that holds most of an item is similar to it, and one of 32 minima agrees almost surely. Minima of the
-items are looked up through a bitmap of fixed size, which is all that is sent to the tasks; what passes is
-joined with the items and confirmed on exact shingle sets of the whole document.
+items are looked up through a bitmap of fixed size, which is all that is sent to the tasks; items of few words
+are looked up by each of their shingles, as so few agree too rarely in a minimum. What passes is joined with the items and confirmed on exact shingle sets of the whole document.
 """
 
 from __future__ import annotations
@@ -44,6 +44,14 @@ def _key(minimum: np.ndarray, k: int, number: int) -> np.ndarray:
     return mixed(minimum + np.uint64((k * 1000 + number) * 0x9E3779B97F4A7C15 % 2**64))
 
 
+#: Items of up to this many words are looked up by each of their shingles; the class number of those keys.
+_FEW_WORDS, _SHORT = 17, 999
+
+
+def _by_shingle(number: int) -> bool:
+    return number >= 100 and class_limits(number)[1] <= _FEW_WORDS
+
+
 def _n_minima(number: int) -> int:
     return MINIMA if number >= 100 else 1
 
@@ -61,6 +69,9 @@ def _item_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(part.num_rows):
                 n, s = item_set(w, i)
                 number = size_class(n)
+                if _by_shingle(number):
+                    out.append((number, len(s), _key(s, 0, _SHORT).view(np.int64).tolist()))
+                    continue
                 keys = [_key((s * _MULTIPLY[k] + _ADD[k]).min(keepdims=True), k, number) for k in range(_n_minima(number))] if n else []
                 out.append((number, len(s), [int(x[0]) for x in map(lambda y: y.view(np.int64), keys)]))
             yield pa.RecordBatch.from_arrays(
@@ -92,7 +103,10 @@ def window_keys(w: Words, numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
         size = stop - first
         base = np.concatenate([[0], np.cumsum(size)[:-1]])
         shapes = {}
-        for number in (n for n in numbers if class_limits(n)[0] == k):
+        if k == SHINGLE and any(_by_shingle(n) for n in numbers):
+            keys.append(_key(own, 0, _SHORT))
+            owners.append(np.repeat(full, size))
+        for number in (n for n in numbers if class_limits(n)[0] == k and not _by_shingle(n)):
             step = max(1, math.ceil(class_limits(number)[1] / 2)) if number >= 100 else 1
             per = -(-size // step)
             text = np.repeat(np.arange(len(full)), per)
