@@ -165,13 +165,14 @@ def _compared(min_words: int):
     return run
 
 
-def repeated_passages(docs: DataFrame, min_words: int = 50, min_shared: int = 48) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = 50, min_shared: int = _LEAST_CHUNK) -> DataFrame:
     """``doc_id, start, end, n_words, first_doc_id, first_start`` of passages that an earlier document has.
 
     ``docs (doc_id, text, ...)``; places are code points, ends excluded. A passage is ``min_words`` whole
     words or more (runs of bytes but blank and 0x09 to 0x0D) that stand, byte for byte, in the document
-    ``first_doc_id`` with a smaller id. Both are held against each other if they share chunks of
-    ``min_shared`` bytes in all at one distance, of which ``first_doc_id`` is the first document.
+    ``first_doc_id`` with a smaller id. Both are held against each other if they share chunks, or runs of two
+    or four, of ``min_shared`` bytes in all at one distance, of which ``first_doc_id`` is the first document.
+    By default any shared chunk is enough.
 
     Whole texts are read. Null and empty texts and rows without id have no passages. Rows that repeat a
     doc_id are one document with the text that sorts first. Other columns are ignored. An empty table gives

@@ -18,7 +18,7 @@ from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.neighbours import nearest
 from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.secrets import find_secrets, scan_secrets
-from portdelta.llm.substring_dedup import repeated_passages
+from portdelta.llm.substring_dedup import chunks, repeated_passages
 from portdelta.llm.text import buffers, words
 from portdelta.llm.token_files import PieceEncoder, decode, encode, read_tokens, token_folder, write_tokens
 from portdelta.llm.toxicity import Decoder, character_model, fit_toxicity, readings, reject_toxic, score_toxicity, suspects
@@ -269,3 +269,17 @@ def test_a_run_of_common_chunks_finds_its_own_first_document(odd_docs):
     rows += [(50, "before it " + " ".join(parts) + " behind", "s"), (60, "something else " + " ".join(parts) + " too", "s")]
     got = repeated_passages(odd_docs(rows)).collect()
     assert {(r.doc_id, r.first_doc_id) for r in got} == {(60, 50)} and max(r.n_words for r in got) == 96
+
+
+def test_one_short_shared_chunk_is_enough(odd_docs):
+    for seed in range(3000):
+        rng = np.random.default_rng(seed)
+        shared = " ".join("abcdefghijklmnop"[x] for x in rng.integers(0, 16, 52))
+        a, b = f"some text stands before {shared} 1st end", f"another beginning here {shared} 2nd close"
+        one, two = (chunks(np.frombuffer(x.encode(), np.uint8)) for x in (a, b))
+        size = {d: e - s for d, s, e in zip(*one)}
+        both = sum(size[d] for d in set(size) & set(two[0].tolist()))
+        if 12 <= both < 48:
+            break
+    got = repeated_passages(odd_docs([(1, a, "s"), (2, b, "s")])).collect()
+    assert 12 <= both < 48 and [(r.doc_id, r.first_doc_id, r.n_words >= 50) for r in got] == [(2, 1, True)]
