@@ -17,6 +17,7 @@ from portdelta.llm.secrets import KINDS, scan_secrets
 from portdelta.llm.substring_dedup import repeated_passages
 from portdelta.llm.token_files import read_digests, token_folder, write_tokens
 from portdelta.llm.toxicity import fit_toxicity, score_toxicity
+from portdelta.llm.vector_codes import ROUNDS, code_report
 
 _WORD_SETS = r"""
 words AS (
@@ -165,4 +166,45 @@ def _op2(spark: SparkSession, sf: str) -> DataFrame:
     return line_summary(table(spark, sf, "documents"))
 
 
+def _lloyd_sql() -> str:
+    """The rounds one after the other, each comparing everything."""
+    nearest = """
+a{r} AS MATERIALIZED (
+  SELECT vec_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT p.vec_id, p.part, b.entry, list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::BIGINT AS d
+    FROM parts p JOIN b{r} b USING (part)
+  ) GROUP BY vec_id, part
+)"""
+    update = """
+m{r} AS (
+  SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v
+  FROM (
+    SELECT part, entry, i, sum(x)::BIGINT AS s, count(*) AS n
+    FROM (SELECT part, entry, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM parts JOIN a{r} USING (vec_id, part)) GROUP BY part, entry, i
+  ) GROUP BY part, entry
+), b{n} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN m{r} m USING (part, entry))"""
+    steps = [nearest.format(r=0)]
+    for r in range(ROUNDS):
+        steps += [update.format(r=r, n=r + 1), nearest.format(r=r + 1)]
+    return f"""
+WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS v FROM whole, (SELECT unnest(range(0, 4)) AS part)
+), b0 AS MATERIALIZED (
+  SELECT part, entry, v FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM whole QUALIFY entry < 256) USING (vec_id)
+),{",".join(steps)},
+coded AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{ROUNDS} GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{ROUNDS})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN whole USING (vec_id), books
+"""
+
+
+@query("op13_vector_codes", _lloyd_sql())
+def _op13(spark: SparkSession, sf: str) -> DataFrame:
+    return code_report(table(spark, sf, "embeddings"))
+
+
 QUERIES, SQL = registry.QUERIES, registry.SQL

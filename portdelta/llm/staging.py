@@ -39,6 +39,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def kept_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Like ``staged``, with the path, for callers that ``remove`` the table themselves."""
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def summed_blocks(parts: DataFrame, width: int) -> np.ndarray:
     """Sum of equally long float64 vectors, cut in blocks: columns ``block int, sums binary``.
 
