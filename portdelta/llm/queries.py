@@ -14,6 +14,7 @@ from portdelta.llm.neighbours import nearest
 from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.registry import query, table
 from portdelta.llm.secrets import KINDS, scan_secrets
+from portdelta.llm.simhash import simhash_groups
 from portdelta.llm.substring_dedup import repeated_passages
 from portdelta.llm.token_files import read_digests, token_folder, write_tokens
 from portdelta.llm.toxicity import fit_toxicity, score_toxicity
@@ -166,6 +167,11 @@ def _op2(spark: SparkSession, sf: str) -> DataFrame:
     return line_summary(table(spark, sf, "documents"))
 
 
+@query("op12_simhash_near_dedup")
+def _op12(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_groups(table(spark, sf, "documents"))
+
+
 def _lloyd_sql() -> str:
     """The rounds one after the other, each comparing everything."""
     nearest = """
