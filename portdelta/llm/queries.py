@@ -11,6 +11,7 @@ from portdelta.llm.line_dedup import line_summary
 from portdelta.llm.mixing import mix_sources
 from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.neighbours import nearest
+from portdelta.llm.prefix_trie import prefix_trie
 from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.registry import query, table
 from portdelta.llm.secrets import KINDS, scan_secrets
@@ -167,6 +168,48 @@ def _op2(spark: SparkSession, sf: str) -> DataFrame:
     return line_summary(table(spark, sf, "documents"))
 
 
+@query(
+    "op11_conversation_trie",
+    r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+             lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS own, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+), lists AS (
+  SELECT c.conv_id, coalesce(list(md5(r.role) || md5(r.text) ORDER BY r.own, r.pos) FILTER (r.own IS NOT NULL), []) AS s,
+         coalesce(list(len(regexp_extract_all(r.text, '[^ 	-]+')) ORDER BY r.own, r.pos) FILTER (r.own IS NOT NULL), []) AS w
+  FROM convs c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+), paths AS (
+  SELECT conv_id, d, array_to_string(s[1:d], ',') AS p, array_to_string(s[1:d - 1], ',') AS up, CASE WHEN d = 0 THEN 0 ELSE w[d] END AS words, d = len(s) AS last
+  FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM lists)
+), nodes AS (
+  SELECT d, p, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM paths GROUP BY d, p
+), children AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children
+  FROM nodes n LEFT JOIN (SELECT d - 1 AS d, up AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY d, up) c USING (d, p)
+), below AS (
+  SELECT x.d, x.p, sum((u.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((u.n_convs - 1) * u.words)::BIGINT AS saved_tokens
+  FROM children u JOIN paths x ON x.conv_id = u.conv_id AND x.d <= u.d GROUP BY x.d, x.p
+)
+SELECT n.conv_id, n.d AS depth, a.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens, n.ends_sha256
+FROM children n JOIN below b USING (d, p) LEFT JOIN nodes a ON n.d > 0 AND a.d = n.d - 1 AND a.p = n.up
+""",
+)
+def _op11(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(table(spark, sf, "conversations"))
+
+
 @query("op12_simhash_near_dedup")
 def _op12(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_groups(table(spark, sf, "documents"))
