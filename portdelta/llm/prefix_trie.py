@@ -382,7 +382,7 @@ def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (*node, state.hexdigest())], schema=schema)
 
 
-def prefix_trie(conversations: DataFrame, family: int = 20, most: int = 3) -> DataFrame:
+def prefix_trie(conversations: DataFrame, family: int = 20, most: int = 3, size: int | None = None) -> DataFrame:
     """``conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256``, one row a node.
 
     ``conversations (conv_id, turn, role, text, ...)`` are ordered by turn, null first; equal turns go by role,
@@ -390,12 +390,13 @@ def prefix_trie(conversations: DataFrame, family: int = 20, most: int = 3) -> Da
     null role or text is an empty one. Rows without conv_id take no part. Each conversation starts with the
     first ``crc32(conv_id) % (most + 1)`` turns of that whose id is the next lower multiple of ``family`` (for
     negative ids, the next one towards zero), and goes on with its own beyond that many. Other columns are
-    ignored, so they may have any name. An empty table has no node, not even a root.
+    ignored, so they may have any name. An empty table has no node, not even a root. ``size`` bounds the members
+    and levels of a fragment; by default it is the cube root of the number of turns, 64 at least.
     """
     spark = conversations.sparkSession
     small_batches(spark)
     turns, turns_path, n = numbered_turns(conversations.select("conv_id", "turn", "role", "text"))
-    size = max(_LEAST_SIZE, int(np.ceil(n ** (1 / 3))))
+    size = size or max(_LEAST_SIZE, int(np.ceil(n ** (1 / 3))))
     paths, paths_path = kept_at(prefix_paths(rebuilt_turns(turns, family, most), size), "paths")
     remove(spark, turns_path)
     key = ["d", "p1", "p2"]

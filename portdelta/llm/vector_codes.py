@@ -54,9 +54,11 @@ def _integers(scale: int):
             for i, v in enumerate(batch.column("v")):
                 if not v.is_valid or v.values.null_count:
                     continue
-                x = np.floor(np.asarray(v.values, dtype=np.float64) * scale) if len(v.values) else np.zeros(0)
-                if not np.isfinite(np.asarray(v.values, dtype=np.float64)).all():
+                x = np.asarray(v.values, dtype=np.float64)
+                if not np.isfinite(x).all():
                     continue
+                with np.errstate(over="ignore"):
+                    x = np.floor(x * scale)
                 if not np.isfinite(x).all():  # finite times scale may pass the largest double
                     x = np.array([int(a) * scale for a in v.values.to_pylist()], dtype=object)
                 top = max(abs(int(x.max())), abs(int(x.min()))) if len(x) else 0
@@ -64,7 +66,7 @@ def _integers(scale: int):
                 keep.append(i)
                 dims.append(len(x))
                 wide.append(large)
-                most.append(float(top) if top < 10**300 else 1e300)
+                most.append(float(min(top, 2**40)))
                 out.append(packed(np.array([int(a) for a in x], dtype=object)) if large else x.astype("<i4").tobytes())
             rows = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
