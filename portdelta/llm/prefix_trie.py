@@ -35,6 +35,7 @@ from portdelta.ship import by_value
 
 _LEAST_SIZE = 64
 _IN_MEMORY = 1 << 18
+_SHARES = 32
 _IDS_OF_A_CHUNK = 4096
 _NO_IDS = hashlib.sha256(b"").hexdigest()
 
@@ -271,6 +272,25 @@ def prefix_paths(turns: DataFrame, size: int) -> DataFrame:
     )
 
 
+def with_nodes(paths: DataFrame) -> DataFrame:
+    """Each row of ``paths`` with its node: smallest member, members, words, members that end there.
+
+    Members of a node are dealt out by their ids; the node goes to the shares that have some, so the rows of a
+    node that a third of all conversations pass, such as the root, do not meet in one task.
+    """
+    key = ["d", "p1", "p2"]
+    dealt = paths.withColumn("share", F.pmod(F.xxhash64("conv"), F.lit(_SHARES)))
+    known = dealt.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n_convs"),
+        F.min("conv").alias("rep"),
+        F.max("words").alias("node_words"),
+        F.count_if("last").alias("n_ends"),
+        F.collect_set("share").alias("shares"),  # _SHARES values at most
+    )
+    known = known.select(*key, F.explode("shares").alias("share"), "n_convs", "rep", "node_words", "n_ends")
+    return dealt.join(known, [*key, "share"]).select("conv", "d", "band", "rep", "n_convs", F.col("node_words").alias("words"), "n_ends", "last")
+
+
 def _fragments(paths: DataFrame, size: int) -> DataFrame:
     """One row a node, with its parent, its fragment's root and the fragment of its parent."""
     place = Window.partitionBy("conv", "band").orderBy("d")
@@ -399,12 +419,7 @@ def prefix_trie(conversations: DataFrame, family: int = 20, most: int = 3, size:
     size = size or max(_LEAST_SIZE, int(np.ceil(n ** (1 / 3))))
     paths, paths_path = kept_at(prefix_paths(rebuilt_turns(turns, family, most), size), "paths")
     remove(spark, turns_path)
-    key = ["d", "p1", "p2"]
-    known = paths.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n_convs"), F.min("conv").alias("rep"), F.max("words").alias("node_words"), F.count_if("last").alias("n_ends")
-    )
-    named = paths.join(known, key).select("conv", "d", "band", "rep", "n_convs", F.col("node_words").alias("words"), "n_ends", "last")
-    named, named_path = kept_at(named, "named-paths")
+    named, named_path = kept_at(with_nodes(paths), "named-paths")
     remove(spark, paths_path)
     nodes = staged(_fragments(named, size), "nodes")
     ends = named.where("last").select("rep", "d", "conv").repartitionByRange("rep", "d", "conv").sortWithinPartitions("rep", "d", "conv")

@@ -97,18 +97,11 @@ def test_trie_fragments_stay_small_around_a_hot_node(spark):
     df = spark.createDataFrame([(*r, 5, "x", 3, "c") for r in rows], CONVERSATIONS)
     turns, _, n = trie.numbered_turns(df.select("conv_id", "turn", "role", "text"))
     paths = trie.prefix_paths(trie.rebuilt_turns(turns, 20, 0), 64)
-    known = paths.groupBy("d", "p1", "p2").agg(*[e.alias(a) for e, a in _node_columns()])
-    nodes = trie._fragments(paths.drop("words").join(known, ["d", "p1", "p2"]), 64)
+    nodes = trie._fragments(trie.with_nodes(paths), 64)
     assert n == len(rows) and nodes.count() == 2 + 799 * 4
     assert max(r["count"] for r in nodes.groupBy("frag", "frag_depth").count().collect()) <= 64
 
 
-def _node_columns():
-    from pyspark.sql import functions as F
-
-    return [(F.count(F.lit(1)), "n_convs"), (F.min("conv"), "rep"), (F.max("words"), "words"), (F.count_if("last"), "n_ends")]
-
-
 def test_queue_spills_and_stays_in_order():
     rng = random.Random(5)
     queue, held = trie.SpillingQueue(2, most=50), []
