@@ -78,17 +78,51 @@ def _slice_table(times: np.ndarray, begin: int, span: int) -> tuple[np.ndarray,
     return times[: first_free + 1][final], times[leaves[final]]
 
 
-def _batch(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int, seconds: int) -> DataFrame:
-    keys = list(keys)
-    width, span = max(seconds, 4 * span_s), span_s * _US
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    key_fields = [T.StructField(k, fields[k], True) for k in keys]
-    long = T.LongType()
+Table = tuple[np.ndarray, np.ndarray]
 
-    def schema(*names: str) -> T.StructType:
-        return T.StructType(key_fields + [T.StructField(n, long, True) for n in names])
+# 256 tables of one level become one of the next. Two levels of hours span seven years, so few are left per key.
+_BITS, _LEVELS = 8, 2
+_UP = "_up"
 
-    samples = (
+
+def _composed(parts: Sequence[Table], span: int) -> Table:
+    """The table of consecutive slices taken as one.
+
+    An entry beyond the last time of a slice still lies before the next one begins, so it ends up at the first
+    row of what follows. The result is thus as long as the first table and one row, however many there are.
+    """
+    upto, leaves = parts[-1]
+    for before, left in reversed(parts[:-1]):
+        at = np.searchsorted(upto, left + span)
+        on = np.where(at < len(upto), leaves[np.minimum(at, len(upto) - 1)], left)
+        upto, leaves = np.append(before, upto[0]), np.append(on, leaves[0])
+        final = np.append(leaves[1:] != leaves[:-1], True)
+        upto, leaves = upto[final], leaves[final]
+    return upto, leaves
+
+
+def _parts(rows: pa.Table) -> tuple[np.ndarray, list[Table]]:
+    """Tables of a group, in the order of their slices, and the numbers of these."""
+    table = np.stack([rows[c].to_numpy() for c in (SLICE, "upto", "leaves")], axis=1)
+    table = table[np.lexsort((table[:, 1], table[:, 0]))]
+    numbers, begin = np.unique(table[:, 0], return_index=True)
+    return numbers, [(p[:, 1], p[:, 2]) for p in np.split(table, begin[1:])]
+
+
+def _entered(parts: Sequence[Table], since: int | None, span: int) -> list[int | None]:
+    """Start of the interval that is open when each slice begins, if ``since`` is that of the first."""
+    known = []
+    for upto, leaves in parts:
+        known.append(since)
+        at = 0 if since is None else int(np.searchsorted(upto, since + span))
+        if at < len(upto):
+            since = int(leaves[at])
+    return known
+
+
+def _samples(df: DataFrame, keys: Sequence[str], col: str, ts: str, width: int) -> DataFrame:
+    """Copies and samples of one time shrink to one row before they move."""
+    return (
         df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
         .select(
             *keys,
@@ -96,34 +130,81 @@ def _batch(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int, s
             F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"),
             F.col(col).cast("long").alias("_v"),
         )
-        # Copies and samples of one time shrink to one row before they move.
         .groupBy(*keys, SLICE, "_t")
         .agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     )
 
+
+def _with_longs(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> T.StructType:
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    long = T.LongType()
+    return T.StructType([T.StructField(k, fields[k], True) for k in keys] + [T.StructField(n, long, True) for n in names])
+
+
+def jump_levels(times: DataFrame, keys: Sequence[str], width: int, span: int) -> list[DataFrame]:
+    """Tables ``upto, leaves`` of slices, of groups of 256 slices, and of groups of 256 such groups.
+
+    ``times`` has ``keys``, the slice of ``width`` seconds and the time ``_t``; ``span`` is in microseconds. No
+    group of a level holds more than 256 tables, and none of them has more rows than times in one span and
+    the rows that were added by composing: the length of a key's time line does not matter.
+    """
+    keys = list(keys)
+    schema = _with_longs(times, keys, [SLICE, "upto", "leaves"])
+
+    def out(key: tuple, table: Table) -> pa.Table:
+        n = len(table[0])
+        return pa.table([pa.repeat(k, n) for k in key] + [pa.array(c, pa.int64()) for c in table], names=[*keys, SLICE, "upto", "leaves"])
+
+    def describe(key: tuple, rows: pa.Table) -> pa.Table:
+        return out(key, _slice_table(np.sort(rows["_t"].to_numpy()), key[-1].as_py() * width * _US, span))
+
+    def compose(key: tuple, rows: pa.Table) -> pa.Table:
+        return out(key, _composed(_parts(rows)[1], span))
+
+    levels = [times.groupBy(*keys, SLICE).applyInArrow(describe, schema)]
+    for _ in range(_LEVELS):
+        levels.append(_with_up(levels[-1]).groupBy(*keys, _UP).applyInArrow(compose, schema))
+    return levels
+
+
+def _with_up(level: DataFrame) -> DataFrame:
+    return level.withColumn(_UP, F.shiftright(SLICE, _BITS))
+
+
+def open_intervals(levels: Sequence[DataFrame], keys: Sequence[str], span: int) -> DataFrame:
+    """``since`` of every slice: start of the interval that is open when it begins, from the top level down."""
+    keys = list(keys)
+    schema = _with_longs(levels[0], keys, [SLICE, "since"])
+
+    def out(key: tuple, numbers: np.ndarray, known: Sequence[int | None]) -> pa.Table:
+        arrays = [pa.repeat(k, len(known)) for k in key] + [pa.array(c, pa.int64()) for c in (numbers, known)]
+        return pa.table(arrays, names=[*keys, SLICE, "since"])
+
+    def first(key: tuple, rows: pa.Table) -> pa.Table:
+        numbers, parts = _parts(rows)
+        return out(key, numbers, _entered(parts, None, span))
+
+    def descend(key: tuple, rows: pa.Table, above: pa.Table) -> pa.Table:
+        numbers, parts = _parts(rows)
+        return out(key[:-1], numbers, _entered(parts, above["since"][0].as_py(), span))
+
+    opened = levels[-1].groupBy(*keys).applyInArrow(first, schema)
+    for level in reversed(levels[:-1]):
+        above = opened.withColumnRenamed(SLICE, _UP).groupBy(*keys, _UP)
+        opened = _with_up(level).groupBy(*keys, _UP).cogroup(above).applyInArrow(descend, schema)
+    return opened
+
+
+def _batch(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int, seconds: int) -> DataFrame:
+    keys = list(keys)
+    width, span = max(seconds, 4 * span_s), span_s * _US
+    samples = _samples(df, keys, col, ts, width)
+
     def result(key: tuple, names: Sequence[str], columns: Sequence[Sequence]) -> pa.Table:
         n = len(columns[0])
         arrays = [pa.repeat(k, n) for k in key] + [pa.array(c, pa.int64()) for c in columns]
         return pa.table(arrays, names=[*keys, *names])
 
-    def describe(key: tuple, rows: pa.Table) -> pa.Table:
-        times = np.sort(rows["_t"].to_numpy())
-        number = key[-1].as_py()
-        upto, leaves = _slice_table(times, number * width * _US, span)
-        return result(key[:-1], [SLICE, "upto", "leaves"], [np.full(len(upto), number), upto, leaves])
-
-    def chain(key: tuple, rows: pa.Table) -> pa.Table:
-        table = np.stack([rows[c].to_numpy() for c in (SLICE, "upto", "leaves")], axis=1)
-        table = table[np.lexsort((table[:, 1], table[:, 0]))]
-        numbers, begin = np.unique(table[:, 0], return_index=True)
-        known, since = [], None
-        for part in np.split(table, begin[1:]):
-            known.append(since)
-            at = 0 if since is None else int(np.searchsorted(part[:, 1], since + span))
-            if at < len(part):
-                since = int(part[at, 2])
-        return result(key, [SLICE, "since"], [numbers, known])
-
     def cut(key: tuple, rows: pa.Table, opened: pa.Table) -> pa.Table:
         times = rows["_t"].to_numpy()
         order = np.argsort(times)
@@ -134,14 +215,12 @@ def _batch(df: DataFrame, keys: Sequence[str], col: str, ts: str, span_s: int, s
         pieces = _pieces(times, lows, highs, starts, since)
         return result(key[:-1], ["start", "end", "high", "low"], list(zip(*pieces)))
 
-    # Only the short table of each slice is chained per key; samples stay in their slice.
-    times = samples.select(*keys, SLICE, "_t")
-    tables = times.groupBy(*keys, SLICE).applyInArrow(describe, schema(SLICE, "upto", "leaves"))
-    opened = tables.groupBy(*keys).applyInArrow(chain, schema(SLICE, "since"))
+    # Only the short tables of slices are chained, level by level; samples stay in their slice.
+    opened = open_intervals(jump_levels(samples.select(*keys, SLICE, "_t"), keys, width, span), keys, span)
     pieces = (
         samples.groupBy(*keys, SLICE)
         .cogroup(opened.groupBy(*keys, SLICE))
-        .applyInArrow(cut, schema("start", "end", "high", "low"))
+        .applyInArrow(cut, _with_longs(df, keys, ["start", "end", "high", "low"]))
     )
     return (
         pieces.groupBy(*keys, "start")

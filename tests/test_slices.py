@@ -152,3 +152,50 @@ def test_range_join(spark, samples):
     spans = spark.createDataFrame(rows, "k string, a timestamp, b timestamp")
     want = samples.join(spans, KEYS).where("ts >= a and ts <= b")
     _same(joins.range_join(samples, spans, KEYS, "ts", "a", "b", 200), want)
+
+
+def test_rolling_chain_of_a_hot_key_stays_in_bounded_groups(spark):
+    """Two million seconds of one key: no group holds more than 256 tables of one span's times."""
+    from portdelta.operators import rolling
+    from portdelta.operators.slices import SLICE
+
+    width, span, step = 1200, 300, 7
+    samples = spark.range(0, 2_000_000 // step).selectExpr("'hot' AS k", f"timestamp_seconds(1700000000 + id * {step} + id % 3) AS ts", "id % 997 AS v")
+    times = rolling._samples(samples, ["k"], "v", "ts", width).select("k", SLICE, "_t")
+    levels = rolling.jump_levels(times, ["k"], width, span * 1_000_000)
+    sizes = []
+    for level in levels:
+        group = rolling._with_up(level).groupBy("k", rolling._UP).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(SLICE).alias("tables"))
+        sizes.append(group.agg(F.max("n"), F.max("tables"), F.sum("n")).first())
+    assert sizes[0][2] > 20_000  # what met in one group before
+    assert all(n <= 256 * (span // step + 4) and tables <= 256 for n, tables, _ in sizes)
+    assert levels[-1].count() <= span // step + 4
+    got = delta_stateful(samples, ["k"], "v", "ts", span, width)
+    t = [1700000000 + i * step + i % 3 for i in range(2_000_000 // step)]
+    starts, last = [], None
+    for x in t:
+        if last is None or x >= last + span:
+            starts.append(x)
+            last = x
+    assert [r[0].timestamp() for r in got.orderBy("start_time").select("start_time").collect()] == starts[:-1]
+
+
+def test_composed_tables_equal_one_table_of_the_whole():
+    import numpy as np
+
+    from portdelta.operators import rolling
+
+    rng = random.Random(11)
+    for _ in range(200):
+        span, width = 50, 200
+        times = np.array(sorted(rng.sample(range(0, 3000), rng.randrange(1, 120))))
+        slices = [times[times // width == s] for s in sorted(set(times // width))]
+        parts = [rolling._slice_table(s, int(s[0]) // width * width, span) for s in slices]
+        upto, leaves = rolling._composed(parts, span)
+        begin = int(times[0]) // width * width
+        for since in [None, *range(begin - 2 * span, begin)]:
+            want = since
+            for x in times:
+                if want is None or x >= want + span:
+                    want = x
+            assert rolling._entered([(upto, leaves), (times[:1], times[:1])], since, span)[1] == want
