@@ -11,6 +11,7 @@ from portdelta.model import DELTA_COUNTERS, GAUGES, OUTPUT_COLUMNS
 from portdelta.operators import deltas
 from portdelta.operators.custom import combine_per_key, flat_map
 from portdelta.operators.joins import self_join_window
+from portdelta.operators.reorder import delta_complete_window_stream, delta_lag_ordered
 from portdelta.operators.rolling import delta_lag_stream, delta_stateful
 from portdelta.plans import window_delta_rows
 from portdelta.session import fresh_path
@@ -271,11 +272,12 @@ def rolling(spark, sf):
     return delta_stateful(_rows(spark, sf, "in_octets"), KEYS, "in_octets", "ts", 21_600)
 
 
-def _run(spark, df, label: str):
+def _run(spark, df, label: str, state_store: str | None = None):
     """Run a stream over all that is there and return what it wrote."""
     path = fresh_path(spark, f"{label}-out")
     state = fresh_path(spark, f"{label}-state")
-    start_stream(df, None, {}, state, {"availableNow": True}, batch_sink=file_sink(path)).awaitTermination()
+    query = start_stream(df, None, {}, state, {"availableNow": True}, batch_sink=file_sink(path), state_store=state_store)
+    query.awaitTermination()
     return spark.read.option("basePath", path).parquet(path).drop("batch_id")
 
 
@@ -334,6 +336,43 @@ def stream_delta_lag(spark, sf):
     return _run(spark, delta_lag_stream(rows, KEYS, "in_octets", "ts"), "lag")
 
 
+# The watermark of these streams ends two hours behind the newest sample; events come up to one hour late.
+_JITTER, _DELAY = 3600, "2 hours"
+_PASSED = "(SELECT epoch_us(max(ts)) // 1000 * 1000 - 7200000000 FROM tel)"
+
+
+@query(
+    "stream_delta_lag_ordered",
+    with_tel(
+        f"""SELECT * FROM (
+              SELECT {_KEY}, ts, event_id, {", ".join(_FOUR)}, coalesce({_seconds("ts")} - {_seconds(f"lag(ts) OVER ({_BY})")}, 0) AS delta_time_sec,
+                     {", ".join(f"greatest(coalesce({c} - lag({c}) OVER ({_BY}), 0), 0) AS delta_{c}" for c in _FOUR)} FROM tel)
+            WHERE epoch_us(ts) // {_W} * {_W} + {_W} <= {_PASSED}"""
+    ),
+)
+def stream_delta_lag_ordered(spark, sf):
+    rows = stream_tel(spark, sf, _JITTER).select(*KEYS, "ts", "event_id", *_FOUR)
+    out = delta_lag_ordered(rows, KEYS, _FOUR, _ORDER, _DELAY, bucket_seconds=21_600, on_reset="zero")
+    return _run(spark, out, "lag-ordered", "rocksdb")
+
+
+@query(
+    "stream_complete_window",
+    with_tel(
+        f"""SELECT {_KEY}, make_timestamp(w) AS window_start, make_timestamp(w + {_W}) AS window_end,
+                   max(in_octets) - min(in_octets) AS delta_in_octets, max(out_octets) - min(out_octets) AS delta_out_octets,
+                   21600::BIGINT AS delta_time
+            FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY}, w ORDER BY ts, event_id) AS rn
+                  FROM (SELECT *, epoch_us(ts) // {_W} * {_W} AS w FROM tel))
+            WHERE rn <= 5 AND w + {_W} <= {_PASSED} GROUP BY {_KEY}, w HAVING count(*) = 5"""
+    ),
+)
+def stream_complete_window(spark, sf):
+    cols = ["in_octets", "out_octets"]
+    rows = stream_tel(spark, sf, _JITTER).select(*KEYS, "ts", "event_id", *cols)
+    return _run(spark, delta_complete_window_stream(rows, KEYS, cols, _ORDER, 21_600, _DELAY, 5), "complete", "rocksdb")
+
+
 @query("stream_drop_duplicates", with_tel("SELECT DISTINCT devicename, interface, fts FROM tel"))
 def stream_drop_duplicates(spark, sf):
     rows = stream_tel(spark, sf).select(*KEYS, "fts").withWatermark("fts", "6 minutes")

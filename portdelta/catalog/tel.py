@@ -98,9 +98,14 @@ def spread_tel(spark: SparkSession, sf: str) -> DataFrame:
 _BATCHES, _FILES = 4, 2
 
 
-def stream_tel(spark: SparkSession, sf: str) -> DataFrame:
-    """The same samples as a file stream of several micro-batches, in the order of time."""
-    events = table(spark, sf, "events").withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
+def stream_events(spark: SparkSession, sf: str, jitter_seconds: int = 0) -> DataFrame:
+    """``events`` as a file stream of several micro-batches, in the order of time.
+
+    With ``jitter_seconds`` an event comes up to that much later, by its number, so batches overlap in time.
+    """
+    events = table(spark, sf, "events")
+    comes = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(jitter_seconds * 1_000_000 + 1))
+    events = events.withColumn("_us", comes)
     cuts = events.approxQuantile("_us", [i / _BATCHES for i in range(1, _BATCHES)], 0.01)
     path = fresh_path(spark, "events")
     late = F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: F.col("_us") > c))
@@ -108,7 +113,12 @@ def stream_tel(spark: SparkSession, sf: str) -> DataFrame:
         part = events.where(F.coalesce(late, F.lit(0)) == i).drop("_us")
         part.repartition(_FILES).write.mode("append").parquet(path)
     stream = spark.readStream.schema(events.drop("_us").schema).option("maxFilesPerTrigger", _FILES)
-    return shape_events(stream.parquet(path))
+    return stream.parquet(path)
+
+
+def stream_tel(spark: SparkSession, sf: str, jitter_seconds: int = 0) -> DataFrame:
+    """The samples of ``tel`` as a stream of several micro-batches."""
+    return shape_events(stream_events(spark, sf, jitter_seconds))
 
 
 def _dash(name: str) -> str:

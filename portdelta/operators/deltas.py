@@ -48,11 +48,15 @@ def delta_lag(
     without a partner get: ``zero``, ``null``, or ``drop`` to leave them out. ``on_reset`` says what
     becomes of a falling counter: ``negative``, ``zero`` or ``null``.
     """
-    if first not in ("zero", "null", "drop"):
-        raise ValueError(f"unknown first policy {first!r}")
     ts = order[0]
     names = {ts: "prev_time", **{c: f"prev_{c}" for c in cols}}
-    out = lag_columns(df, keys, order, names, n, seconds)
+    return lag_deltas(lag_columns(df, keys, order, names, n, seconds), cols, ts, on_reset, time_name, first)
+
+
+def lag_deltas(out: DataFrame, cols: Sequence[str], ts: str, on_reset: str, time_name: str, first: str) -> DataFrame:
+    """Deltas against ``prev_time`` and ``prev_<col>``, which each row has already; policies as in ``delta_lag``."""
+    if first not in ("zero", "null", "drop"):
+        raise ValueError(f"unknown first policy {first!r}")
     if first == "drop":
         out = out.where(F.col("prev_time").isNotNull())
 

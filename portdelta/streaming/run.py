@@ -18,6 +18,12 @@ log = logging.getLogger(__name__)
 BatchSink = Callable[[DataFrame, int], None]
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+# Spark's own state stores by name.
+_STORES = {
+    "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
 
 def start_stream(
@@ -30,23 +36,27 @@ def start_stream(
     name: str | None = None,
     batch_sink: BatchSink | None = None,
     state_partitions: int | None = None,
+    state_store: str | None = None,
 ) -> StreamingQuery:
     """Start writing a stream to a format, or to ``batch_sink`` once per micro-batch.
 
     ``trigger`` is passed on, for example ``{"processingTime": "2 minutes"}`` or
     ``{"availableNow": True}``. Offsets and state live in ``checkpoint`` (shared storage).
     ``state_partitions`` applies to a new checkpoint and stays with it; it defaults to the session's
-    shuffle partitions.
+    shuffle partitions. ``state_store`` is ``hdfs`` or ``rocksdb``; state larger than memory, and operators with
+    timers and several states, need the latter.
     """
     conf = df.sparkSession.conf
-    before = conf.get(_PARTITIONS)
-    if state_partitions:
-        conf.set(_PARTITIONS, str(state_partitions))
+    new = {_PARTITIONS: state_partitions and str(state_partitions), _STORE: state_store and _STORES[state_store]}
+    before = {key: conf.get(key) for key, value in new.items() if value}
+    for key in before:
+        conf.set(key, new[key])
     try:
         return _start(df, fmt, options, checkpoint, trigger, mode, name, batch_sink)
     finally:
         # The query has its own copy of the settings by now.
-        conf.set(_PARTITIONS, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def _start(

@@ -266,3 +266,94 @@ def test_lag_stream_shows_late_samples_without_delta(spark, tmp_path):
     got = _late_stream(spark, tmp_path, batches, lambda df: delta_lag_stream(df, ["k"], "v", "ts"))
     rows = sorted((int(r.ts.timestamp()), r.v, r.delta_time_sec, r.delta_v) for r in got.collect())
     assert [r[1:] for r in rows] == [(10, 0, 0), (11, None, None), (12, 60, 2), (20, 40, 8), (26, 60, 6)]
+
+
+def _ordered_feed(spark, tmp_path, schema):
+    feed = Feed(spark, str(tmp_path), schema)
+
+    def run(df, name):
+        out = f"{feed.root}/{name}-out"
+        query = start_stream(df, None, {}, f"{feed.root}/{name}-state", NOW, batch_sink=file_sink(out), state_store="rocksdb")
+        query.awaitTermination()
+        return spark.read.option("basePath", out).parquet(out).drop("batch_id")
+
+    return feed, run
+
+
+FOUR = ["a", "b", "c", "d"]
+_FOUR_SCHEMA = "k string, ts timestamp, id long, a long, b long, c long, d long"
+
+
+def _shuffled(n, seed):
+    """Samples of two keys with falling counters, nulls and a large number, out of order by less than five minutes."""
+    import random
+
+    rng = random.Random(seed)
+    rows = [(rng.choice(["x", None]), _minute(i / 6), i, 2**60 + i, i if i % 7 else None, (i * 37) % 11, 5 * i) for i in range(n)]
+    return sorted(rows, key=lambda r: r[1] + dt.timedelta(seconds=rng.randrange(290)))
+
+
+@pytest.mark.parametrize("policy", ["negative", "zero", "null"])
+def test_shuffled_samples_give_the_batch_deltas(spark, tmp_path, policy):
+    from portdelta.operators.reorder import delta_lag_ordered
+
+    feed, run = _ordered_feed(spark, tmp_path, _FOUR_SCHEMA)
+    rows = _shuffled(240, 4)
+    assert rows != sorted(rows, key=lambda r: r[1])
+    for at in range(0, 240, 60):
+        feed.put(*rows[at : at + 60])
+    feed.put(("x", _minute(600), 1000, 0, 0, 0, 0))
+    got = run(delta_lag_ordered(feed.stream(), ["k"], FOUR, ["ts", "id"], "5 minutes", 120, policy), "lag")
+    batch = deltas.delta_lag(spark.createDataFrame(rows, _FOUR_SCHEMA), ["k"], FOUR, ["ts", "id"], on_reset=policy)
+    assert sorted(map(str, got.collect())) == sorted(map(str, batch.select(*got.columns).collect()))
+    assert got.count() == 240
+
+
+def test_a_sample_behind_the_watermark_is_left_out_and_state_survives_a_restart(spark, tmp_path):
+    from portdelta.operators.reorder import delta_lag_ordered
+
+    feed, run = _ordered_feed(spark, tmp_path, _FOUR_SCHEMA)
+    kept = [("x", _minute(m), m, m, m, m, m) for m in (1, 2, 0, 14, 13)]
+    feed.put(*kept[:3])
+    feed.put(*kept[3:])
+    run(delta_lag_ordered(feed.stream(), ["k"], FOUR, ["ts", "id"], "5 minutes", 60), "late")
+    feed.put(("x", _minute(3), 99, 9, 9, 9, 9), ("x", _minute(60), 60, 60, 60, 60, 60))
+    feed.put(("y", _minute(200), 0, 0, 0, 0, 0))
+    got = run(delta_lag_ordered(feed.stream(), ["k"], FOUR, ["ts", "id"], "5 minutes", 60), "late")
+    want = [(0, 0), (1, 1), (2, 1), (13, 11), (14, 1), (60, 46)]
+    assert [(r["id"], r["delta_a"]) for r in got.orderBy("ts").collect()] == want
+
+
+def test_complete_windows_on_a_stream(spark, tmp_path):
+    from portdelta.operators.reorder import delta_complete_window_stream
+
+    feed, run = _ordered_feed(spark, tmp_path, _FOUR_SCHEMA)
+    rows = _shuffled(240, 9)
+    # A window of two samples only, which is left out.
+    rows += [("z", _minute(50), 500, 1, 1, 1, 1), ("z", _minute(51), 501, 1, 1, 1, 1)]
+    for at in range(0, len(rows), 70):
+        feed.put(*rows[at : at + 70])
+    feed.put(("x", _minute(600), 1000, 0, 0, 0, 0))
+    # Late: its window is reported already.
+    feed.put(("x", _minute(0), 1001, 0, 0, 0, 0), ("x", _minute(601), 1002, 0, 0, 0, 0))
+    stream = delta_complete_window_stream(feed.stream(), ["k"], FOUR, ["ts", "id"], 300, "5 minutes", 5)
+    got = run(stream, "complete")
+    batch = deltas.delta_complete_window(spark.createDataFrame(rows, _FOUR_SCHEMA), ["k"], FOUR, "ts", "300 seconds", 5, "id")
+    assert _rows_of(got) == _rows_of(batch.select(*got.columns)) and got.count() > 10
+
+
+def _rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_closed_windows_leave_no_state(spark, tmp_path):
+    from portdelta.operators.reorder import delta_complete_window_stream
+
+    feed, _ = _ordered_feed(spark, tmp_path, _FOUR_SCHEMA)
+    feed.put(*_shuffled(240, 2))
+    feed.put(("x", _minute(600), 1000, 0, 0, 0, 0))
+    rows = delta_complete_window_stream(feed.stream(), ["k"], FOUR, ["ts", "id"], 300, "5 minutes", 5)
+    query = start_stream(rows, "noop", {}, f"{feed.root}/state", NOW, state_store="rocksdb")
+    query.awaitTermination()
+    left = spark.read.format("statestore").option("stateVarName", "first").option("flattenCollectionTypes", "true").load(f"{feed.root}/state")
+    assert {r["key"][-1] for r in left.select("key").collect()} == {int(_minute(605).replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000}
