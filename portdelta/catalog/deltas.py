@@ -10,7 +10,7 @@ from portdelta.catalog.tel import KEYS, SUB_KEYS, spread_tel, stream_tel, system
 from portdelta.model import DELTA_COUNTERS, GAUGES, OUTPUT_COLUMNS
 from portdelta.operators import deltas
 from portdelta.operators.custom import combine_per_key, flat_map
-from portdelta.operators.joins import self_join_window
+from portdelta.operators.joins import join_status_stream, self_join_window
 from portdelta.operators.reorder import delta_complete_window_stream, delta_lag_ordered
 from portdelta.operators.rolling import delta_lag_stream, delta_stateful
 from portdelta.plans import window_delta_rows
@@ -373,6 +373,28 @@ def stream_complete_window(spark, sf):
     return _run(spark, delta_complete_window_stream(rows, KEYS, cols, _ORDER, 21_600, _DELAY, 5), "complete", "rocksdb")
 
 
+# Of the two streams the one that is behind counts; a row without partner is given up a minute later.
+_BOTH = f"""(SELECT epoch_us(least(max(ts), max(ts) FILTER (event_id % 2 = 0))) // 1000 * 1000 - 7200000000 - 60000000 FROM tel)"""
+
+
+@query(
+    "stream_join_status",
+    with_tel(
+        f"""SELECT t.devicename, t.interface, t.ts, t.event_id, t.in_octets, s.oper_status, s.ifindex
+            FROM tel t LEFT JOIN status s ON t.devicename = s.devicename AND t.interface = s.interface AND t.fts = s.fts
+            WHERE s.fts IS NOT NULL OR epoch_us(t.ts) <= {_BOTH}""",
+        """status AS (SELECT devicename, interface, fts, CASE WHEN user_id % 2 = 0 THEN 'UP' ELSE 'DOWN' END AS oper_status,
+                             CAST(user_id AS VARCHAR) AS ifindex FROM tel WHERE event_id % 2 = 0)""",
+    ),
+)
+def stream_join_status(spark, sf):
+    rows = stream_tel(spark, sf, _JITTER).select(*KEYS, "ts", "event_id", "in_octets")
+    status = stream_tel(spark, sf, _JITTER).where("event_id % 2 = 0").select(
+        *KEYS, "ts", F.when(F.col("user_id") % 2 == 0, "UP").otherwise("DOWN").alias("oper_status"), F.col("user_id").cast("string").alias("ifindex")
+    )
+    return _run(spark, join_status_stream(rows, status, KEYS, "ts", _DELAY), "status")
+
+
 @query("stream_drop_duplicates", with_tel("SELECT DISTINCT devicename, interface, fts FROM tel"))
 def stream_drop_duplicates(spark, sf):
     rows = stream_tel(spark, sf).select(*KEYS, "fts").withWatermark("fts", "6 minutes")

@@ -112,6 +112,46 @@ def not_published(df: DataFrame, ledger: DataFrame, keys: Sequence[str] = tuple(
     return df.join(sent, same, "left_anti")
 
 
+# A node of one level covers 16 of the level below; the top level of 300-second buckets has nodes of 227 days.
+_LEVEL_BITS, _TOP_LEVEL = 4, 4
+
+
+def interval_nodes(lo: Column, hi: Column) -> Column:
+    """The fewest ``(level, node)`` that cover the buckets from ``lo`` to ``hi``, both included: an array of structs.
+
+    A level takes part with the nodes that lie inside while the one above them does not: 30 at most, but all of
+    them on the top level.
+    """
+
+    def inside(k: int) -> tuple[Column, Column]:
+        return F.shiftright(lo + (1 << _LEVEL_BITS * k) - 1, _LEVEL_BITS * k), F.shiftright(hi + 1, _LEVEL_BITS * k) - 1
+
+    def on_level(level: int, nodes: Column) -> Column:
+        return F.transform(nodes, lambda x: F.struct(F.lit(level).alias("level"), x.alias("node")))
+
+    parts = []
+    for level in range(_TOP_LEVEL + 1):
+        first, last = inside(level)
+        runs = [(first, last)]
+        if level < _TOP_LEVEL:
+            up_first, up_last = inside(level + 1)
+            has_up = up_first <= up_last
+            left = F.when(has_up, F.shiftleft(up_first, _LEVEL_BITS) - 1).otherwise(last)
+            right = F.when(has_up, F.shiftleft(up_last + 1, _LEVEL_BITS)).otherwise(last + 1)
+            runs = [(first, left), (right, last)]
+        for a, b in runs:
+            nodes = F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+            parts.append(on_level(level, nodes))
+    return F.concat(*parts)
+
+
+def with_interval_nodes(intervals: DataFrame, start: str, end: str, bucket_seconds: int) -> DataFrame:
+    """Each interval once for every node that covers it, as ``_level`` and ``_node``."""
+    lo, hi = (F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bucket_seconds) for c in (start, end))
+    right = intervals.where(F.col(start) <= F.col(end)).select("*", F.explode(interval_nodes(lo, hi)).alias("_at"))
+    return right.select(*intervals.columns, F.col("_at.level").alias("_level"), F.col("_at.node").alias("_node"))
+
+
 def range_join(
     df: DataFrame,
     intervals: DataFrame,
@@ -123,21 +163,47 @@ def range_join(
 ) -> DataFrame:
     """Rows with each interval of the same key that contains their time, both ends included.
 
-    Rows meet only intervals that touch their time bucket: the bucket joins the key, which keeps the
-    join an equi join and cuts busy keys. Take ``bucket_seconds`` near the usual interval length.
+    Intervals are cut into nodes of a tree over the time line, few of them however long an interval is; a row
+    looks for its interval on each level that its key's intervals use, five at most. Level and node join the
+    key, which keeps the join an equi join and cuts busy keys. ``bucket_seconds`` is the width of the lowest
+    level's nodes: take it near the shortest usual interval.
     """
-
-    def number(col: str) -> Column:
-        return F.floor(F.unix_seconds(F.col(col).cast("timestamp")) / bucket_seconds)
-
-    touched = F.sequence(number(start), number(end))
-    right = intervals.where(F.col(start) <= F.col(end)).select("*", F.explode(touched).alias("_bucket"))
+    right = with_interval_nodes(intervals, start, end, bucket_seconds)
+    levels = right.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))
+    bucket = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / bucket_seconds)
+    left = df.where(F.col(ts).isNotNull()).join(levels, list(keys)).select(*df.columns, bucket.alias("_bucket"), F.explode("_levels").alias("_level"))
+    node = F.expr(f"shiftright(_bucket, {_LEVEL_BITS} * _level)")
     return (
-        df.withColumn("_bucket", number(ts))
-        .join(right, [*keys, "_bucket"], "inner")
+        left.withColumn("_node", node)
+        .join(right, [*keys, "_level", "_node"], "inner")
         .where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end)))
-        .drop("_bucket")
+        .drop("_bucket", "_level", "_node")
+    )
+
+
+def join_status_stream(
+    counters: DataFrame,
+    status: DataFrame,
+    keys: Sequence[str],
+    ts: str = "timestamp",
+    delay: str = "10 minutes",
+) -> DataFrame:
+    """``join_status_minute`` on two streams: counters with the status of their minute, whichever comes first.
+
+    Both sides may be ``delay`` late. A counter row without status appears, with NULLs, once the watermark is a
+    minute past it; by then both sides have dropped what can find no partner any more.
+    """
+    keys = list(keys)
+    extra = [c for c in status.columns if c not in keys and c != ts]
+    left = counters.withWatermark(ts, delay).withColumn("_minute", F.date_trunc("minute", ts))
+    right = status.withWatermark(ts, delay).select(
+        *[F.col(k).alias(f"_status_{k}") for k in keys], F.col(ts).alias("_status_ts"), F.date_trunc("minute", ts).alias("_status_minute"), *extra
     )
+    same = [F.col(k) == F.col(f"_status_{k}") for k in keys] + [F.col("_minute") == F.col("_status_minute")]
+    # The minutes agree; Spark needs the bounds on the times themselves to know when state can go.
+    minute = F.expr("INTERVAL 1 MINUTE")
+    bounds = [F.col("_status_ts") >= F.col(ts) - minute, F.col("_status_ts") <= F.col(ts) + minute]
+    return left.join(right, reduce(Column.__and__, same + bounds), "left").select(*counters.columns, *extra)
 
 
 def self_join_window(

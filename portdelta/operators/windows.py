@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from portdelta.operators.joins import attach
 from portdelta.operators.slices import (
     GHOST,
     SLICE,
     SLICE_SECONDS,
-    base_rows,
     drop_ghosts,
     slice_of,
     slice_window,
@@ -55,6 +55,34 @@ _COMBINE = {
 }
 
 
+_BLOCKS = 64
+
+
+def range_blocks(range_seconds: int) -> tuple[int, int]:
+    """Width of the blocks a trailing range is put together from, and how many whole ones fit into it.
+
+    Between 16 and 64 blocks that fill the range exactly if there is such a number, else as near as can be.
+    """
+    for n in range(min(_BLOCKS, range_seconds), 15, -1):
+        if range_seconds % n == 0:
+            return range_seconds // n, n
+    width = max(1, -(-range_seconds // _BLOCKS))
+    return width, range_seconds // width
+
+
+def _between(blocks: DataFrame, keys: Sequence[str], stats: dict[str, tuple[str, Column]], n: int) -> DataFrame:
+    """``_m_<name>`` of each block: the statistic over the n - 1 blocks before it.
+
+    Blocks of one key meet n at a time, with the n before them, so a frame is short and a group has 2n rows.
+    """
+    home = F.floor(F.col(SLICE) / n)
+    own = blocks.withColumns({"_home": home, "_ghost_block": F.lit(False)})
+    rows = own.union(blocks.withColumns({"_home": home + 1, "_ghost_block": F.lit(True)}))
+    frame = Window.partitionBy(*keys, "_home").orderBy(SLICE).rangeBetween(1 - n, -1)
+    rows = rows.withColumns({f"_m_{name}": _RUNNING[how](f"_s_{name}").over(frame) for name, (how, _) in stats.items()})
+    return rows.where("NOT _ghost_block").select(*keys, SLICE, *[f"_m_{name}" for name in stats])
+
+
 def range_stat(
     df: DataFrame,
     keys: Sequence[str],
@@ -65,41 +93,54 @@ def range_stat(
 ) -> DataFrame:
     """Adds statistics over the trailing ``range_seconds`` of the key, current second included.
 
-    ``stats`` maps a name to (``sum``, ``min`` or ``max``, expression); ``totals`` adds whole-key totals
-    in the same pass (see ``base_rows``).
+    ``stats`` maps a name to (``sum``, ``min`` or ``max``, expression); ``totals`` adds whole-key totals.
 
-    A sliding frame visits all its rows again for every row, which a busy key cannot afford. Time is
-    cut into blocks one second longer than the range instead: the trailing range of a row is then the
-    end of the block before and the beginning of its own, and both are running statistics. Each row
-    goes to its block and, reduced to its values, to the next one.
+    A sliding frame visits all its rows again for every row, and one group per range is too much where a key is
+    busy or the range long. Time is cut into blocks of a small part of the range instead. The range of a row is
+    then the beginning of its own block, up to 63 whole blocks, and the end of the block the range begins in.
+    Whole blocks are summaries; the other two are running statistics. Each row goes to its block and, reduced
+    to its values, to the block where it drops out of the range; no group holds more than two blocks' rows.
     """
-    width = range_seconds + 1
+    keys = list(keys)
+    width, n = range_blocks(range_seconds)
+    rest = range_seconds - n * width
     second = F.unix_seconds(F.col(ts).cast("timestamp"))
-    values = {name: expr.alias(f"_v_{name}") for name, (_, expr) in stats.items()}
+    block = slice_of(ts, width)
     own = df.select(
-        "*", slice_of(ts, width).alias(SLICE), F.lit(False).alias(GHOST), second.alias("_at"), *values.values()
+        "*", block.alias(SLICE), F.lit(False).alias(GHOST), second.alias("_at"), *[expr.alias(f"_v_{name}") for name, (_, expr) in stats.items()]
     )
-    before = (
-        df.where(F.col(ts).isNotNull())
-        .select(
-            *keys,
-            (slice_of(ts, width) + 1).alias(SLICE),
-            F.lit(True).alias(GHOST),
-            # The last second at which a row still has this one in its range.
-            (second + range_seconds).alias("_at"),
-            *[v.alias(f"_b_{name}") for name, (_, v) in stats.items()],
-        )
+    # The last second at which a row still has this one in its range, and the blocks that this concerns.
+    leaves = F.when(F.pmod(second, F.lit(width)) + rest >= width, F.array(block + n, block + n + 1)).otherwise(F.array(block + n))
+    before = df.where(F.col(ts).isNotNull()).select(
+        *keys,
+        F.explode(leaves).alias(SLICE),
+        F.lit(True).alias(GHOST),
+        (second + range_seconds).alias("_at"),
+        *[expr.alias(f"_b_{name}") for name, (_, expr) in stats.items()],
     )
-    rows = own.unionByName(before, allowMissingColumns=True)
+    blocks = df.groupBy(*keys, block.alias(SLICE)).agg(*[_RUNNING[how](expr).alias(f"_s_{name}") for name, (how, expr) in stats.items()])
+    whole = _between(blocks, keys, stats, n) if n > 1 else None
     if totals:
-        rows = rows.unionByName(base_rows(df, keys, ts, width, totals, earlier=False), allowMissingColumns=True)
+        per_key = df.groupBy(*keys).agg(*[agg.alias(name) for name, (agg, _) in totals.items()])
+        whole = attach(blocks.select(*keys, SLICE) if whole is None else whole, per_key, keys)
+    rows = own.unionByName(before, allowMissingColumns=True) if n else own
+    if whole is not None:
+        rows = rows.unionByName(whole.withColumn(GHOST, F.lit(True)), allowMissingColumns=True)
     up = slice_window(keys, F.asc_nulls_first("_at")).rangeBetween(Window.unboundedPreceding, 0)
     down = slice_window(keys, F.desc_nulls_last("_at")).rangeBetween(Window.unboundedPreceding, 0)
-    out = rows.withColumns({f"_b_{name}": _RUNNING[how](f"_b_{name}").over(down) for name, (how, _) in stats.items()})
+    out = rows
+    if n:
+        out = out.withColumns({f"_b_{name}": _RUNNING[how](f"_b_{name}").over(down) for name, (how, _) in stats.items()})
     out = out.withColumns({f"_v_{name}": _RUNNING[how](f"_v_{name}").over(up) for name, (how, _) in stats.items()})
-    if totals:
-        out = out.withColumns({name: F.max(name).over(slice_window(keys)) for name in totals})
-    new = {name: _COMBINE[how](F.col(f"_v_{name}"), F.col(f"_b_{name}")) for name, (how, _) in stats.items()}
+    spread = [*(totals or {}), *([f"_m_{name}" for name in stats] if n > 1 else [])]
+    if spread:
+        out = out.withColumns({name: F.max(name).over(slice_window(keys)) for name in spread})
+    new = {}
+    for name, (how, _) in stats.items():
+        value = F.col(f"_v_{name}")
+        for part in (["_b_"] if n else []) + (["_m_"] if n > 1 else []):
+            value = _COMBINE[how](value, F.col(f"{part}{name}"))
+        new[name] = value
     return drop_ghosts(out).select(*df.columns, *(totals or {}), *[c.alias(name) for name, c in new.items()])
 
 

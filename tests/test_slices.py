@@ -199,3 +199,60 @@ def test_composed_tables_equal_one_table_of_the_whole():
                 if want is None or x >= want + span:
                     want = x
             assert rolling._entered([(upto, leaves), (times[:1], times[:1])], since, span)[1] == want
+
+
+@pytest.mark.parametrize("seconds", [0, 1, 7, 16, 97, 300, 1021, 20_000])
+def test_trailing_statistics_for_any_range(samples, seconds):
+    trailing = Window.partitionBy("k").orderBy(F.unix_seconds("ts")).rangeBetween(-seconds, 0)
+    whole = Window.partitionBy("k")
+    stats = {"total": ("sum", F.col("v")), "low": ("min", F.col("v")), "high": ("max", F.struct("v", "id"))}
+    want = samples.withColumns({"total": F.sum("v").over(trailing), "low": F.min("v").over(trailing), "high": F.max(F.struct("v", "id")).over(trailing), "every": F.sum("v").over(whole)})
+    _same(windows.range_stat(samples, KEYS, "ts", stats, seconds, {"every": (F.sum("v"), "sum")}), want)
+
+
+def test_groups_of_a_long_range_on_a_hot_key_stay_small(spark, monkeypatch):
+    rows = spark.range(0, 200_000).selectExpr("'hot' AS k", "timestamp_seconds(1700000000 + id) AS ts", "id", "id % 991 AS v")
+    seen = []
+    real = windows.drop_ghosts
+    monkeypatch.setattr(windows, "drop_ghosts", lambda df: seen.append(df) or real(df))
+    got = windows.range_stat(rows, KEYS, "ts", {"low": ("min", F.col("v")), "n": ("sum", F.lit(1))}, 86_400)
+    group = seen[0].groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
+    assert group <= 2 * 86_400 // 64 + 1  # a block and what leaves it, a thirty-second of the range
+    assert got.agg(F.max("n")).first()[0] == 86_401
+    last = got.where("id = 199999").first()
+    assert (last["low"], last["n"]) == (0, 86_401)
+
+
+def _intervals(spark, seed):
+    rng, base = random.Random(seed), dt.datetime(2024, 1, 1)
+    rows = []
+    for n in range(150):
+        a = base + dt.timedelta(seconds=rng.randrange(0, 400 * 86_400), microseconds=rng.randrange(10**6))
+        b = a + dt.timedelta(seconds=rng.choice([0, 1, 299, 300, 5_000, 86_400, 40 * 86_400, 365 * 86_400, -5]))
+        rows.append((rng.choice(["p", "q", None]), a, b, n))
+    times = [(rng.choice(["p", "q", None]), base + dt.timedelta(seconds=rng.randrange(0, 800 * 86_400)), i) for i in range(1500)]
+    times += [(k, t, 5_000 + n) for k, a, b, n in rows for t in (a, b)] + [("p", None, 9_999)]
+    return spark.createDataFrame(times, "k string, ts timestamp, id long"), spark.createDataFrame(rows, "k string, a timestamp, b timestamp, n long")
+
+
+@pytest.mark.parametrize("bucket", [1, 300, 86_400])
+def test_interval_join_of_seconds_and_years(spark, bucket):
+    df, intervals = _intervals(spark, bucket)
+    want = df.join(intervals, "k").where("ts >= a AND ts <= b").select("k", "ts", "id", "a", "b", "n")
+    got = joins.range_join(df, intervals, KEYS, "ts", "a", "b", bucket)
+    _same(got, want)
+    assert got.count() > 1000
+
+
+def test_an_interval_needs_few_nodes_however_long_it_is(spark):
+    base = dt.datetime(2024, 1, 1, 0, 0, 7)
+    lengths = [1, 300, 3_600, 86_400, 30 * 86_400, 365 * 86_400]
+    rows = [("p", base + dt.timedelta(seconds=s), base + dt.timedelta(seconds=s + n), n) for n in lengths for s in range(0, 50_000, 977)]
+    intervals = spark.createDataFrame(rows, "k string, a timestamp, b timestamp, n long")
+    nodes = joins.with_interval_nodes(intervals, "a", "b", 300)
+    most = {r["n"]: r["m"] for r in nodes.groupBy("k", "a", "n").count().groupBy("n").agg(F.max("count").alias("m")).collect()}
+    assert most[1] <= 2 and most[365 * 86_400] <= 4 * 30 + 2 and max(most.values()) < 122  # 105,000 buckets before
+    # Nodes of an interval do not overlap, so no row meets it twice.
+    seconds = nodes.selectExpr("n", "a", "_node * pow(16, _level) AS lo", "(_node + 1) * pow(16, _level) AS hi")
+    after = Window.partitionBy("n", "a").orderBy("lo")
+    assert seconds.withColumn("next", F.lead("lo").over(after)).where("next IS NOT NULL AND next <> hi").count() == 0

@@ -357,3 +357,35 @@ def test_closed_windows_leave_no_state(spark, tmp_path):
     query.awaitTermination()
     left = spark.read.format("statestore").option("stateVarName", "first").option("flattenCollectionTypes", "true").load(f"{feed.root}/state")
     assert {r["key"][-1] for r in left.select("key").collect()} == {int(_minute(605).replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000}
+
+
+_STATUS_SCHEMA = "devicename string, interface string, ts timestamp, oper_status string"
+
+
+def test_two_streams_join_by_the_minute_and_free_their_state(spark, tmp_path):
+    counters, status = Feed(spark, f"{tmp_path}/c"), Feed(spark, f"{tmp_path}/s", _STATUS_SCHEMA)
+    counters.put(*_samples(0.1, 1.5, 2.2, 7.0))
+    # Status of minute 1 twice; that of minute 2 comes a batch later, that of minute 7 before its counter.
+    status.put(("d", "i", _minute(1.1), "UP"), ("d", "i", _minute(1.9), "DOWN"), ("d", "i", _minute(7.9), "UP"), ("e", "i", _minute(0.1), "UP"))
+
+    def run():
+        out = f"{tmp_path}/out"
+        rows = joins.join_status_stream(counters.stream(), status.stream(), KEYS, "ts", "10 minutes")
+        query = start_stream(rows, None, {}, f"{tmp_path}/state", NOW, batch_sink=file_sink(out))
+        query.awaitTermination()
+        held = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+        got = spark.read.option("basePath", out).parquet(out)
+        return sorted((r["ts"].minute, r["oper_status"] or "-") for r in got.collect()), held
+
+    early, held = run()
+    # Minute 0 has no status, but the watermark has not passed it.
+    assert early == [(1, "DOWN"), (1, "UP"), (7, "UP")] and held > 0
+    counters.put(*_samples(50))
+    status.put(("d", "i", _minute(2.9), "UP"))
+    status.put(("d", "i", _minute(50.5), "UP"))
+    counters.put(*_samples(51))
+    status.put(("d", "i", _minute(52), "UP"))
+    later, held = run()
+    assert later == [(0, "-"), (1, "DOWN"), (1, "UP"), (2, "UP"), (7, "UP"), (50, "UP")]
+    # Only rows near the watermark are left; a minute past it all the others are gone.
+    assert held <= 4
