@@ -26,8 +26,9 @@ from portdelta.model import (
     POLL_ENVELOPE,
     SYSTEM_LIST_ENVELOPE,
 )
-from portdelta.operators import flatten, parse
+from portdelta.operators import flatten, parse, route
 from portdelta.operators.deltas import POLL_RECORD, poll_delta
+from portdelta.session import fresh_path
 from portdelta.sinks import to_psv
 
 _TS = "make_timestamp((epoch_ns // 100000) * 100)"
@@ -274,6 +275,34 @@ def split_record_kinds(spark, sf):
     return out
 
 
+@query(
+    "route_records",
+    with_tel(
+        f"""SELECT CASE event_id % 4 WHEN 0 THEN 'interface_counters' WHEN 1 THEN 'subinterface_counters'
+                        WHEN 2 THEN 'interface_status' ELSE 'subinterface_status' END AS kind,
+                   devicename, {_TS} AS timestamp, interface, CASE WHEN event_id % 2 = 1 THEN subinterface END AS subinterface,
+                   CASE WHEN event_id % 4 < 2 THEN in_octets END AS in_octets, CASE event_id % 4 WHEN 2 THEN 'UP' END AS admin_status,
+                   CASE event_id % 4 WHEN 3 THEN 'DOWN' END AS oper_status, NULL AS reject_reason, NULL AS value
+            FROM tel
+            UNION ALL
+            SELECT 'rejected', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+                   CASE kind WHEN 0 THEN 'not_json' WHEN 1 THEN 'no_device' WHEN 2 THEN 'no_data' ELSE 'no_interfaces' END, value
+            FROM lines WHERE kind <= 3""",
+        _LINES,
+    ),
+)
+def route_records(spark, sf):
+    path = fresh_path(spark, "routed")
+    messages = kind_messages(spread_tel(spark, sf)).select(F.col("value").cast("string")).union(_lines(spark, sf))
+    route.write_routed(messages, path)
+    wanted = ["devicename", "timestamp", "interface", "subinterface", "in_octets", "admin_status", "oper_status", "reject_reason", "value"]
+    out = None
+    for kind in route.KIND_COLUMNS:
+        one = route.read_kind(spark, path, kind).withColumn("kind", F.lit(kind))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out.select("kind", *wanted)
+
+
 def _poll(spark, sf):
     return parse.parse_value(poll_messages(spread_tel(spark, sf)), POLL_ENVELOPE, keep=("src",))
 

@@ -23,12 +23,12 @@ def _counter(counters: Column, name: str) -> Column:
     return counters[name.replace("_", "-")]
 
 
-def _all_counters(counters: Column) -> list[Column]:
+def counter_columns(counters: Column) -> list[Column]:
     flat = [n.replace("-", "_") for n in INTERFACE_COUNTERS if not n.endswith("-unknown-proto-pkts")]
     return [_counter(counters, name).alias(name) for name in flat]
 
 
-def _head() -> list[Column]:
+def message_head() -> list[Column]:
     return [
         F.col("ucgDeviceName").alias("devicename"),
         ts_from_ns(F.col("ucgJsonData.timestamp").try_cast("long")).alias("timestamp"),
@@ -36,7 +36,7 @@ def _head() -> list[Column]:
 
 
 def _interfaces(df: DataFrame) -> DataFrame:
-    return df.select(*_head(), F.explode("ucgJsonData.interfaces.interface").alias("_key", "_if")).select(
+    return df.select(*message_head(), F.explode("ucgJsonData.interfaces.interface").alias("_key", "_if")).select(
         "devicename", "timestamp", F.coalesce("_if.name", "_key").alias("interface"), "_if"
     )
 
@@ -63,14 +63,14 @@ def _subinterfaces(df: DataFrame) -> DataFrame:
 def explode_interfaces(df: DataFrame) -> DataFrame:
     """One row per interface with all counters."""
     return _interfaces(df).select(
-        "devicename", "timestamp", "interface", *_all_counters(F.col("_if.state.counters"))
+        "devicename", "timestamp", "interface", *counter_columns(F.col("_if.state.counters"))
     )
 
 
 def explode_subinterfaces(df: DataFrame) -> DataFrame:
     """One row per sub-interface with all counters."""
     return _subinterfaces(df).select(
-        "devicename", "timestamp", "interface", "subinterface", *_all_counters(F.col("_sub.state.counters"))
+        "devicename", "timestamp", "interface", "subinterface", *counter_columns(F.col("_sub.state.counters"))
     )
 
 

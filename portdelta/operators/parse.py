@@ -14,8 +14,8 @@ from portdelta.operators.flatten import (
     explode_subinterfaces,
 )
 
-_CORRUPT = "_corrupt"
-_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+CORRUPT = "_corrupt"
+PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
 def once(expr: Column) -> Column:
@@ -47,7 +47,7 @@ def parse_head(df: DataFrame, col: str = "value") -> DataFrame:
 def _reject_reason(parsed: Column) -> Column:
     data = parsed["ucgJsonData"]
     return (
-        F.when(parsed.isNull() | parsed[_CORRUPT].isNotNull(), "not_json")
+        F.when(parsed.isNull() | parsed[CORRUPT].isNotNull(), "not_json")
         .when(parsed["ucgDeviceName"].isNull(), "no_device")
         .when(data.isNull(), "no_data")
         .when(data["interfaces"]["interface"].isNull(), "no_interfaces")
@@ -61,10 +61,10 @@ def with_reject_reason(df: DataFrame, col: str = "value") -> DataFrame:
         {
             "ucgDeviceName": "string",
             "ucgJsonData": struct_of(interfaces=struct_of(interface="string")),
-            _CORRUPT: "string",
+            CORRUPT: "string",
         }
     )
-    parsed = F.from_json(F.col(col).cast("string"), shape, _PERMISSIVE)
+    parsed = F.from_json(F.col(col).cast("string"), shape, PERMISSIVE)
     reason = _reject_reason(F.col("_p")).alias("reject_reason")
     return df.select("*", once(parsed).alias("_p")).select(*df.columns, reason)
 

@@ -12,7 +12,8 @@ from portdelta.model import DELTA_COUNTERS, ENVELOPE, GAUGES, POLL_ENVELOPE, SYS
 from portdelta.operators.deltas import POLL_RECORD, delta_lag, delta_output, delta_window, poll_delta
 from portdelta.operators.flatten import explode_elements, explode_system, flatten_all
 from portdelta.operators.joins import join_status_minute, request_enrich
-from portdelta.operators.parse import parse_value, split_record_kinds, validate_envelope
+from portdelta.operators.parse import parse_value, split_record_kinds
+from portdelta.operators.route import checked_messages
 from portdelta.operators.slices import SLICE_SECONDS
 from portdelta.session import fresh_path
 from portdelta.sinks.files import write_files, write_json_lines
@@ -100,11 +101,11 @@ def window_delta_stream(
 
 
 def flatten_lines_job(lines: DataFrame, out: str, rejected: str | None = None) -> None:
-    """Device messages to flat JSON lines; unusable messages go to ``rejected`` with a reason."""
-    valid, bad = validate_envelope(lines)
-    write_json_lines(flatten_all(parse_value(valid, ENVELOPE)), out)
+    """Messages to flat JSON lines; unusable messages go to ``rejected`` with a reason. They are parsed once."""
+    checked = _stored(checked_messages(lines))
+    write_json_lines(flatten_all(checked.where("reject_reason IS NULL").drop("value", "reject_reason")), out)
     if rejected:
-        write_files(bad.withColumn("value", F.col("value").cast("string")), rejected, "json")
+        write_files(checked.where("reject_reason IS NOT NULL").select("value", "reject_reason"), rejected, "json")
 
 
 def poll_rows(messages: DataFrame, dataset: str | None = None) -> DataFrame:

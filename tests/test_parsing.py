@@ -192,3 +192,37 @@ def test_avro_is_optional(spark):
         assert "avro" in str(error).lower()
     else:
         assert out.columns
+
+
+def test_all_kinds_and_rejects_from_one_parse_and_one_write(spark, tmp_path, capfd):
+    from portdelta.operators import route
+
+    good = _sent("d", {"e0": {"name": "e0", "state": {"counters": {"in-octets": 5}, "admin-status": "UP", "mtu": "9192"},
+                                 "subinterfaces": {"subinterface": {"7": {"state": {"counters": {"in-octets": 9}, "oper-status": "DOWN"}}}}},
+                          "e1": {"state": {"counters": {"in-pkts": 1}}}})
+    bad_field = _sent("d", {"e2": {"state": {"counters": {"in-octets": "many"}, "admin-status": "UP"}}})
+    texts = [good, bad_field, "{broken", '{"x": 1}', '{"ucgDeviceName": "d"}', '{"ucgDeviceName": "d", "ucgJsonData": {"interfaces": {}}}', None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    path = str(tmp_path / "routed")
+    for _ in range(2):  # the second run replaces all folders
+        route.write_routed(df, path)
+    rows = {k: route.read_kind(spark, path, k).collect() for k in route.KIND_COLUMNS}
+    assert [(r["interface"], r["in_octets"]) for r in rows["interface_counters"]] == [("e0", 5)]
+    assert [(r["interface"], r["subinterface"], r["in_octets"]) for r in rows["subinterface_counters"]] == [("e0", "7", 9)]
+    assert sorted((r["interface"], r["admin_status"], r["mtu"]) for r in rows["interface_status"]) == [("e0", "UP", "9192"), ("e2", "UP", None)]
+    assert [(r["subinterface"], r["oper_status"]) for r in rows["subinterface_status"]] == [("7", "DOWN")]
+    assert sorted(r["reject_reason"] for r in rows["rejected"]) == ["no_data", "no_device", "no_interfaces", "not_json", "not_json"]
+    assert {r["value"] for r in rows["rejected"]} == set(texts[2:])
+    # One scan feeds one parse.
+    route.route_records(spark.read.schema("value string").parquet(_stored_texts(df, tmp_path))).explain("simple")
+    plan = capfd.readouterr().out
+    assert plan.count("FileScan") == 1 and plan.count("from_json(") == 1
+
+
+def _stored_texts(df, tmp_path):
+    df.write.parquet(str(tmp_path / "texts"))
+    return str(tmp_path / "texts")
+
+
+def _sent(device, interfaces):
+    return json.dumps({"ucgDeviceName": device, "ucgJsonData": {"interfaces": {"interface": interfaces}, "timestamp": 1_700_000_000_000_000_000}})
