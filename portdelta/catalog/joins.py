@@ -12,7 +12,7 @@ from portdelta.operators import joins
 from portdelta.operators.aggregates import publish_stats, window_extents
 from portdelta.plans import run_incremental
 from portdelta.session import fresh_path
-from portdelta.streaming import file_sink, publish_once
+from portdelta.streaming import file_sink, publish_counted, publish_once
 
 _DEVICES = ["dev-click", "dev-error", "dev-purchase", "dev-signup", "dev-view"]
 
@@ -104,12 +104,15 @@ def join_inventory(spark, sf):
 
 @query("incremental_join", _INVENTORY_JOIN)
 def incremental_join(spark, sf):
-    dest, state = fresh_path(spark, "dest"), fresh_path(spark, "state")
+    """Two deliveries, of which the second brings rows as old as those of the first, and a run with nothing new."""
+    source, dest, state = fresh_path(spark, "arrivals"), fresh_path(spark, "dest"), fresh_path(spark, "state")
     rows, inventory = _per_user(spark, sf), _inventory(spark, sf)
-    arrived = rows.where(F.col("inserted_datetime") <= F.lit(dt.datetime(2024, 1, 16)))
-    run_incremental(spark, arrived, inventory, dest, state)
-    run_incremental(spark, rows, inventory, dest, state)
-    return spark.read.option("basePath", dest).parquet(dest).drop("after")
+    early = F.coalesce((F.col("inserted_datetime") <= F.lit(dt.datetime(2024, 1, 16))) & (F.pmod(F.xxhash64("*"), F.lit(3)) > 0), F.lit(False))
+    for arrived in (rows.where(early), rows.where(~early)):
+        arrived.write.mode("append").parquet(source)
+        run_incremental(spark, source, inventory, dest, state)
+    run_incremental(spark, source, inventory, dest, state)
+    return spark.read.option("basePath", dest).parquet(dest).drop("run")
 
 
 def _speed(spark, sf):
@@ -167,6 +170,28 @@ def stats(spark, sf):
     return publish_stats(semi_join(spark, sf), anti_join(spark, sf), _counters(spark, sf))
 
 
+@query(
+    "publish_counts",
+    with_tel(
+        """SELECT (SELECT count(*) FROM joined) AS joined_rows, (SELECT count(*) FROM fresh) AS published_rows,
+                  (SELECT count(*) FROM counter) AS input_rows,
+                  (SELECT count(*) FROM joined) - (SELECT count(*) FROM fresh) AS already_published_rows""",
+        _COUNTER,
+        _SPEED,
+        _LEDGER,
+        _SEMI,
+        _ANTI,
+    ),
+)
+def counts(spark, sf):
+    """The same numbers, taken while the new rows are written."""
+    path = fresh_path(spark, "published")
+    found = publish_counted(
+        _counters(spark, sf), lambda rows: joins.semi_join_speed(rows, _speed(spark, sf)), _sent(spark, sf), [*KEYS, "timestamp"], lambda new: new.write.parquet(path)
+    )
+    return spark.createDataFrame([found], ", ".join(f"{name} long" for name in found))
+
+
 @query("publish_once", with_tel("SELECT * FROM joined", _COUNTER, _SPEED, _SEMI))
 def publish_all_once(spark, sf):
     sent, ledger = fresh_path(spark, "sent"), fresh_path(spark, "ledger")

@@ -117,31 +117,76 @@ def _source(spark, *rows):
     return spark.createDataFrame([(t, "d", "i", n, n, t) for t, n in rows], schema)
 
 
-def test_incremental_runs(spark, tmp_path):
-    dest, state = str(tmp_path / "dest"), str(tmp_path / "state")
-    inventory = spark.createDataFrame(
-        [("d", "i", "customer", "place", 10)], "routername string, interface_name string, customername string, location string, speed long"
-    )
-    first = [(_minute(0), 1), (_minute(1), 2), (_minute(1), 3)]
+_INVENTORY = "routername string, interface_name string, customername string, location string, speed long"
+
+
+def _delivered(spark, path, *rows):
+    _source(spark, *rows).coalesce(1).write.mode("append").parquet(path)
+
+
+def _joined(spark, dest):
+    return sorted(r["in_octets"] for r in spark.read.option("basePath", dest).parquet(dest).collect())
+
+
+def test_incremental_runs_take_each_file_once(spark, tmp_path):
+    source, dest, state = (str(tmp_path / n) for n in ("source", "dest", "state"))
+    inventory = spark.createDataFrame([("d", "i", "customer", "place", 10)], _INVENTORY)
+    _delivered(spark, source, (_minute(5), 1), (_minute(6), 2), (_minute(6), 3))
     assert last_mark(spark, state) == EPOCH
-    assert run_incremental(spark, _source(spark, *first), inventory, dest, state)
-    assert last_mark(spark, state) == _minute(1)
-    # Nothing new, then rows after the mark only.
-    assert not run_incremental(spark, _source(spark, *first), inventory, dest, state)
-    assert run_incremental(spark, _source(spark, *first, (_minute(2), 4)), inventory, dest, state)
-    rows = spark.read.option("basePath", dest).parquet(dest)
-    assert sorted(r["in_octets"] for r in rows.collect()) == [1, 2, 3, 4]
-
-
-def test_incremental_run_repeated_after_a_lost_mark(spark, tmp_path):
-    dest = str(tmp_path / "dest")
-    inventory = spark.createDataFrame(
-        [("d", "i", "customer", "place", 10)], "routername string, interface_name string, customername string, location string, speed long"
-    )
-    run_incremental(spark, _source(spark, (_minute(0), 1)), inventory, dest, str(tmp_path / "lost"))
-    run_incremental(spark, _source(spark, (_minute(0), 1), (_minute(3), 2)), inventory, dest, str(tmp_path / "state"))
-    rows = spark.read.option("basePath", dest).parquet(dest)
-    assert sorted(r["in_octets"] for r in rows.collect()) == [1, 2]
+    assert run_incremental(spark, source, inventory, dest, state, run_time=dt.datetime(2024, 1, 1, 6, tzinfo=dt.timezone.utc))
+    assert last_mark(spark, state) == _minute(6).replace(tzinfo=dt.timezone.utc)
+    assert spark.read.parquet(f"{state}/done").first()["run_time"] == "2024-01-01 06:00:00"
+    assert not run_incremental(spark, source, inventory, dest, state)
+    # Committed later, with times before the mark.
+    _delivered(spark, source, (_minute(0), 4))
+    assert run_incremental(spark, source, inventory, dest, state)
+    assert _joined(spark, dest) == [1, 2, 3, 4]
+    assert not run_incremental(spark, source, inventory, dest, state)
+    assert _joined(spark, dest) == [1, 2, 3, 4]
+    assert last_mark(spark, state) == _minute(6).replace(tzinfo=dt.timezone.utc)
+
+
+def test_a_run_that_was_cut_off_is_repeated_with_its_own_files(spark, tmp_path, monkeypatch):
+    from portdelta.plans import incremental
+
+    source, dest, state = (str(tmp_path / n) for n in ("source", "dest", "state"))
+    inventory = spark.createDataFrame([("d", "i", "customer", "place", 10)], _INVENTORY)
+    _delivered(spark, source, (_minute(0), 1))
+
+    def written_but_not_noted(*_):
+        raise RuntimeError("lost")
+
+    # The folder is written; the driver ends before the mark is.
+    monkeypatch.setattr(incremental, "len", written_but_not_noted, raising=False)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_incremental(spark, source, inventory, dest, state)
+    monkeypatch.undo()
+    assert _joined(spark, dest) == [1]
+    _delivered(spark, source, (_minute(1), 2))
+    assert run_incremental(spark, source, inventory, dest, state)
+    assert _joined(spark, dest) == [1]
+    assert run_incremental(spark, source, inventory, dest, state)
+    assert _joined(spark, dest) == [1, 2] and not run_incremental(spark, source, inventory, dest, state)
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    import shutil
+
+    from portdelta.streaming import publish_counted
+
+    rows = spark.createDataFrame([(i,) for i in range(50)], "k long")
+    rows.write.parquet(str(tmp_path / "in"))
+    inputs = spark.read.parquet(str(tmp_path / "in"))
+    sent = spark.createDataFrame([(i,) for i in range(0, 50, 4)], "k long")
+
+    def write(new):
+        new.write.parquet(str(tmp_path / "out"))
+        # Nothing can read the input again for its counts.
+        shutil.rmtree(tmp_path / "in")
+
+    got = publish_counted(inputs, lambda df: df.where("k % 2 = 0"), sent, ["k"], write)
+    assert got == {"input_rows": 50, "joined_rows": 25, "published_rows": 12, "already_published_rows": 13}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 12
 
 
 def test_publish_once(spark, tmp_path):

@@ -389,3 +389,24 @@ def test_two_streams_join_by_the_minute_and_free_their_state(spark, tmp_path):
     assert later == [(0, "-"), (1, "DOWN"), (1, "UP"), (2, "UP"), (7, "UP"), (50, "UP")]
     # Only rows near the watermark are left; a minute past it all the others are gone.
     assert held <= 4
+
+
+def test_counts_of_each_micro_batch_come_from_the_listener(spark, feed):
+    import time
+
+    from portdelta.streaming import BatchCounts, counted
+
+    told = []
+    feed.put(*_samples(1, 2, 3))
+    feed.put(*_samples(4))
+    rows = counted(counted(feed.stream(), "read").where("in_octets > 10"), "kept")
+    with BatchCounts(lambda *batch: told.append(batch)) as counts:
+        out = f"{feed.root}/counted"
+        query = start_stream(rows, None, {}, f"{feed.root}/counted-state", NOW, name="counted", batch_sink=file_sink(out))
+        query.awaitTermination()
+        end = time.monotonic() + 30
+        while str(query.id) not in counts.ended and time.monotonic() < end:
+            time.sleep(0.1)
+    assert counts.rows["counted"] == {0: {"read": 3, "kept": 2}, 1: {"read": 1, "kept": 1}}
+    assert [t[1] for t in told] == [0, 1] and counts.ended[str(query.id)] is None
+    assert spark.read.parquet(out).count() == 3
