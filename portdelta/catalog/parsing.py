@@ -28,6 +28,7 @@ from portdelta.model import (
 )
 from portdelta.operators import flatten, parse, route
 from portdelta.operators.deltas import POLL_RECORD, poll_delta
+from portdelta.operators.shred import shred
 from portdelta.session import fresh_path
 from portdelta.sinks import to_psv
 
@@ -240,6 +241,26 @@ def flatten_nested(spark, sf):
     return flatten.flatten_nested(nested)
 
 
+@query(
+    "shred_messages",
+    with_tel(
+        """SELECT 'interface' AS path, event_id, interface AS place1, NULL AS place2, in_octets AS value FROM tel
+           UNION ALL SELECT 'subinterface', event_id, interface, subinterface, in_octets + 5000000000 FROM tel
+           UNION ALL SELECT 'interface', event_id, 'lo0', NULL, CASE WHEN event_id % 10 <> 0 THEN in_octets + 1 END FROM tel"""
+    ),
+)
+def shred_messages(spark, sf):
+    """Interfaces and their sub-interfaces, both maps, as a table each; the message's number is the key."""
+    parsed = parse.parse_value(device_messages(spread_tel(spark, sf)), ENVELOPE)
+    named = parsed.select(F.col("ucgSequenceNum").cast("long").alias("event_id"), F.col("ucgJsonData.interfaces.interface").alias("interface"))
+    tables = shred(named, ["event_id"])
+    own, subs = tables["interface"], tables["interface.subinterfaces_subinterface"]
+    own = own.select(F.lit("interface").alias("path"), "event_id", F.col("interface__key").alias("place1"), F.lit(None).cast("string").alias("place2"), F.col("`state_counters_in-octets`").alias("value"))
+    place = F.col("`interface.subinterfaces_subinterface__key`").alias("place2")
+    subs = subs.select(F.lit("subinterface").alias("path"), "event_id", F.col("interface__key").alias("place1"), place, F.col("`state_counters_in-octets`").alias("value"))
+    return own.union(subs)
+
+
 @query(
     "split_record_kinds",
     with_tel(

@@ -226,3 +226,41 @@ def _stored_texts(df, tmp_path):
 
 def _sent(device, interfaces):
     return json.dumps({"ucgDeviceName": device, "ucgJsonData": {"interfaces": {"interface": interfaces}, "timestamp": 1_700_000_000_000_000_000}})
+
+
+_DEEP = """id long, head struct<name: string, tags: array<string>, pos: struct<x: int, y: int>>,
+  parts array<struct<n: int, sub: array<struct<v: long, m: map<string, array<int>>>>>>, limits map<string, struct<lo: int, hi: int>>, grid array<array<int>>, plain string"""
+
+
+def _deep_rows():
+    return [
+        (1, ("a", ["t1", None, "t3"], (1, None)), [(1, [(10, {"k": [1, 2], "e": []}), (11, None)]), (2, []), (3, None)], {"cpu": (1, 9), "mem": None}, [[1], [], None, [2, 3]], "p"),
+        (2, None, None, None, None, None),
+        (3, ("c", [], None), [None, (5, [None])], {}, [], "q"),
+        (4, (None, None, (None, None)), [], {"x": (None, None)}, [None], None),
+    ]
+
+
+def test_shredded_siblings_do_not_multiply(spark):
+    from portdelta.operators.shred import shred
+
+    df = spark.createDataFrame([(1, [1, 2, 3], ["a", "b"], {"k": 1.0})], "id long, a array<int>, b array<string>, m map<string, double>")
+    tables = shred(df, ["id"])
+    assert {n: t.count() for n, t in tables.items()} == {"root": 1, "a": 3, "b": 2, "m": 1}
+    assert [tuple(r) for r in tables["a"].collect()] == [(1, 0, 1), (1, 1, 2), (1, 2, 3)]
+    assert tables["m"].columns == ["id", "m__key", "value"] and tables["root"].columns == ["id", "a__size", "b__size", "m__size"]
+
+
+def test_every_table_is_flat_and_the_input_comes_back(spark):
+    from pyspark.sql import types as T
+
+    from portdelta.operators.shred import shred, unshred
+
+    df = spark.createDataFrame(_deep_rows(), _DEEP)
+    tables = shred(df, ["id"])
+    assert sorted(tables) == ["grid", "grid.value", "head_tags", "limits", "parts", "parts.sub", "parts.sub.m", "parts.sub.m.value", "root"]
+    assert not any(isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType) for t in tables.values() for f in t.schema.fields)
+    again = unshred(tables, df.schema, ["id"])
+    assert again.columns == df.columns
+    want = {r["id"]: r.asDict(recursive=True) for r in df.collect()}
+    assert {r["id"]: r.asDict(recursive=True) for r in again.collect()} == want
