@@ -241,3 +241,43 @@ def test_envelopes_are_read_with_one_schema(spark, tmp_path):
     write_files(spark.createDataFrame([(_device("d", 0, {"e": {}}),)], "value string"), str(tmp_path / "x"), "text")
     df = read_envelopes(spark, str(tmp_path / "x"))
     assert df.schema == ENVELOPE and df.first()["ucgDeviceName"] == "d"
+
+
+def test_a_batch_opens_few_ledger_files_after_many_batches(spark, tmp_path, monkeypatch):
+    from portdelta.streaming import publish
+
+    ledger, sent = str(tmp_path / "ledger"), str(tmp_path / "sent")
+    day = dt.timedelta(days=1)
+
+    def batch(n):
+        # One key of a day long ago, one of the day before yesterday, two of today; one was sent before.
+        rows = [(BASE - 300 * day, n), (BASE + (n // 10 - 2) * day, n), (BASE + n // 10 * day, n), (BASE + n // 10 * day, max(n - 1, 0)), (None, n)]
+        return spark.createDataFrame(rows, "timestamp timestamp, k long").coalesce(1)
+
+    opened = []
+    real = publish.read_ledger
+    monkeypatch.setattr(publish, "read_ledger", lambda *a: opened.append(df := real(*a)) or df)
+    for n in range(60):
+        publish.publish_once(batch(n), ledger, ["timestamp", "k"], file_sink(sent), n, compact_after=8)
+    # The last batch again, as after a restart.
+    publish.publish_once(batch(59), ledger, ["timestamp", "k"], file_sink(sent), 59, compact_after=8)
+    # Four days of nine folders at most, out of 66 days with some 300.
+    assert max(len(df.inputFiles()) for df in opened[-10:]) <= 4 * 9
+    got = spark.read.option("basePath", sent).parquet(sent)
+    want = {r for n in range(60) for r in map(tuple, batch(n).collect())}
+    assert got.count() == len(want) and {(r["timestamp"], r["k"]) for r in got.collect()} == want
+
+
+def test_keys_are_known_while_compaction_is_cut_off(spark, tmp_path, monkeypatch):
+    from portdelta.streaming import publish
+
+    ledger, sent = str(tmp_path / "ledger"), str(tmp_path / "sent")
+    rows = spark.createDataFrame([(BASE, 1), (BASE, 2)], "timestamp timestamp, k long")
+    for n in range(3):
+        publish.publish_once(rows.where(f"k <= {n + 1}"), ledger, ["timestamp", "k"], file_sink(sent), n, compact_after=99)
+    # Written, but the folders it covers are still there.
+    spark.read.parquet(ledger).drop("part").selectExpr("*", "'upto-1' AS part").write.mode("append").partitionBy("day", "part").parquet(ledger)
+    publish.publish_once(rows, ledger, ["timestamp", "k"], file_sink(sent), 3, compact_after=2)
+    assert spark.read.option("basePath", sent).parquet(sent).count() == 2
+    folders = publish._folders(spark, ledger, ["2024-01-01"])["2024-01-01"]
+    assert len([f for f in folders if "=upto-" in f]) == 1
