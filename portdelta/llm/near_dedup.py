@@ -185,9 +185,9 @@ def _postings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _across(buckets: DataFrame, found: DataFrame, docs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Links between components that have a bucket in common.
 
-    Texts of a bucket's smaller components look for partners by their shingles, rarest first. If a text of
-    ``n`` shingles has none of the first ``i`` in common with one of ``m``, they share ``n - i`` at most, and
-    that must be ``percent * (n + m) / (100 + percent)`` or more.
+    Texts of a bucket's smaller components look for partners by their rarest shingles, among the rarest of all
+    others. If a text of ``n`` shingles has none of the first ``i`` in common with one of ``m``, they share
+    ``n - i`` at most, and that must be ``percent * (n + m) / (100 + percent)`` or more; likewise for the other.
     """
     labelled = buckets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed_up = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
@@ -199,11 +199,13 @@ def _across(buckets: DataFrame, found: DataFrame, docs: DataFrame, bits: DataFra
     postings = staged(texts.mapInArrow(_postings, "rep long, component long, lone boolean, n long, shingle long"), "postings")
     often = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
     rarest = Window.partitionBy("rep").orderBy("often", "shingle")
-    looked_up = postings.where("lone").join(often, "shingle").withColumn("i", F.row_number().over(rarest) - 1)
-    looked_up = looked_up.where(f"100 * i <= {100 - percent} * n AND often > 1").select(
-        F.col("rep").alias("x"), F.col("component").alias("own"), F.col("n").alias("n_x"), "i", "shingle"
-    )
-    near = looked_up.join(postings, "shingle").where(f"component <> own AND {100 + percent} * (n_x - i) >= {percent} * (n_x + n)")
+    # In the one order of all shingles, similar texts meet within the first places of both.
+    ranked = postings.join(often, "shingle").withColumn("i", F.row_number().over(rarest) - 1)
+    prefixes = staged(ranked.where(f"100 * i <= {100 - percent} * n AND often > 1").drop("often"), "prefixes")
+    looked_up = prefixes.where("lone").select(F.col("rep").alias("x"), F.col("component").alias("own"), F.col("n").alias("n_x"), F.col("i").alias("i_x"), "shingle")
+    # The first shingle in common has i_x and i before it on either side; what both can share is what is left.
+    bound = f"{100 + percent} * least(n_x - i_x, n - i) >= {percent} * (n_x + n)"
+    near = looked_up.join(prefixes, "shingle").where(f"component <> own AND {bound}")
     pairs = near.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
     return _confirm(staged(_likely(pairs, bits, percent), "pairs"), docs, percent)
 
