@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -134,17 +135,76 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / 3.5) * (0.7 + 0.15 * min(kinds - 1, 2))
 
 
-def _literals(terms: list[_Term], known: dict[str, list[_Term]], seen: frozenset[str]) -> list[_Term]:
-    """The literals that terms stand for; a name that leads back to itself ends there."""
-    out: list[_Term] = []
-    for t in terms:
-        if not t.is_name:
-            out.append(t)
-        elif t.text in known and t.text not in seen:
-            out += _literals(known[t.text], known, seen | {t.text})
-        elif t.text not in known and re.search(r"\d", t.text) and len(terms) == 1:
-            out.append(t)
-    return out
+class _Bindings:
+    """What names stand for, in the order of the text.
+
+    A name means its last assignment before the place it is used, or the first one after it if there is none
+    before. An assignment that only repeats another name stands for that one, however long the chain is, and a
+    literal counts once however often it is added; a name that leads back to itself ends there.
+    """
+
+    def __init__(self, said: list[tuple[str, list[_Term]]]) -> None:
+        self.said = said
+        self.places: dict[str, list[int]] = {}
+        for i, (name, _) in enumerate(said):
+            self.places.setdefault(name, []).append(i)
+        self.stands: dict[int, int | None] = {}
+        self.found: dict[int, list[_Term]] = {}
+
+    def meant(self, term: _Term, at: int) -> int | None:
+        places = self.places.get(term.text, [])
+        k = bisect_left(places, at)
+        if k:
+            return places[k - 1]
+        later = places[k : k + 2]
+        return next((i for i in later if i != at), None)
+
+    def origin(self, at: int | None) -> int | None:
+        """The assignment at the end of a chain of plain names."""
+        path: list[int] = []
+        met: set[int] = set()
+        while at is not None and at not in self.stands:
+            if at in met:
+                at = None
+                break
+            path.append(at)
+            met.add(at)
+            terms = self.said[at][1]
+            onward = self.meant(terms[0], at) if len(terms) == 1 and terms[0].is_name else None
+            if onward is None:
+                self.stands[at] = at
+                break
+            at = onward
+        end = None if at is None else self.stands[at]
+        for i in path:
+            self.stands[i] = end
+        return end
+
+    def literals(self, at: int) -> list[_Term]:
+        start = self.origin(at)
+        if start is None:
+            return []
+        if start not in self.found:
+            out: dict[tuple[int, int], _Term] = {}
+            seen, stack = {start}, [(start, iter(self.said[start][1]))]
+            while stack:
+                i, terms = stack[-1]
+                term = next(terms, None)
+                if term is None:
+                    stack.pop()
+                elif not term.is_name or self._is_bare(term, i):
+                    out.setdefault((term.start, term.end), term)
+                else:
+                    onward = self.origin(self.meant(term, i))
+                    if onward is not None and onward not in seen:
+                        seen.add(onward)
+                        stack.append((onward, iter(self.said[onward][1])))
+            self.found[start] = list(out.values())
+        return self.found[start]
+
+    def _is_bare(self, term: _Term, at: int) -> bool:
+        """A word that is no name of the text, alone and with a digit: a literal without quotes."""
+        return term.text not in self.places and len(self.said[at][1]) == 1 and re.search(r"\d", term.text) is not None
 
 
 def literal_spans(text: str, least: float = 0.45) -> list[Found]:
@@ -152,20 +212,23 @@ def literal_spans(text: str, least: float = 0.45) -> list[Found]:
     if "=" not in text and ":" not in text:
         return []
     said = pairs(text)
-    sensitive = [(n, t, name_score(n)) for n, t in said]
-    if not any(s for *_, s in sensitive):
+    weights = [name_score(n) for n, _ in said]
+    if not any(weights):
         return []
-    known = dict(said)
+    bindings, looks = _Bindings(said), {}
     best: dict[tuple[int, int], Found] = {}
-    for name, terms, weight in sensitive:
+    for i, ((name, _), weight) in enumerate(zip(said, weights)):
         if not weight:
             continue
-        parts = _literals(terms, known, frozenset([name]))
-        look = literal_score("".join(p.text for p in parts))
+        parts, start = bindings.literals(i), bindings.origin(i)
+        if start not in looks:
+            looks[start] = literal_score("".join(p.text for p in parts))
+        score = round(weight * looks[start], 6)
+        if score < least:
+            continue
         for p in parts:
-            score = round(weight * look, 6)
             old = best.get((p.start, p.end))
-            if p.text and score >= least and (old is None or score > old.score):
+            if p.text and (old is None or score > old.score):
                 best[p.start, p.end] = Found("literal", p.start, p.end, name, score)
     return list(best.values())
 
@@ -192,7 +255,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Spans are code points of the whole text, end excluded, by start and then by kind in the order of
     ``KINDS``. A null text is an empty one and has none. A null doc_id stays null, repeated rows give
-    repeated results, other columns are ignored.
+    repeated results, other columns are ignored. Names are followed in the order of the text (see ``_Bindings``),
+    without recursion, so chains of any length and constants that double line by line end quickly.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -283,3 +283,59 @@ def test_one_short_shared_chunk_is_enough(odd_docs):
             break
     got = repeated_passages(odd_docs([(1, a, "s"), (2, b, "s")])).collect()
     assert 12 <= both < 48 and [(r.doc_id, r.first_doc_id, r.n_words >= 50) for r in got] == [(2, 1, True)]
+
+
+def test_names_are_followed_in_the_order_of_the_text():
+    import time
+
+    from portdelta.llm.secrets import literal_spans
+
+    old, new = "k7Qw9zXv2LmR4tYp", "Zp3Vb8Nc1Hd6Js0W"
+
+    def found(text):
+        return [text[f.start : f.end] for f in sorted(literal_spans(text), key=lambda f: f.start)]
+
+    assert found(f'a = "{old}"\nauth_secret = a\na = "{new}"\n') == [old]
+    assert found(f'a = "{old}"\na = "{new}"\nauth_secret = a\n') == [new]
+    # Used before it is assigned: the first assignment that follows.
+    assert found(f'auth_secret = a\na = "{old}"\na = "{new}"\n') == [old]
+    assert found("auth_secret = b\nb = c\nc = b\n") == []
+    chain = f'n0 = "{old}"\n' + "".join(f"n{i} = n{i - 1}\n" for i in range(1, 10_000)) + "password = n9999\n"
+    doubling = f'n0 = "{new}"\n' + "".join(f"n{i} = n{i - 1} + n{i - 1}\n" for i in range(1, 60)) + "password = n59\n"
+    sensitive = f'secret0 = "{old}"\n' + "".join(f"secret{i} = secret{i - 1}\n" for i in range(1, 10_000))
+    start = time.perf_counter()
+    assert found(chain) == [old] and found(doubling) == [new] and found(sensitive) == [old]
+    assert time.perf_counter() - start < 3
+
+
+def test_bindings_equal_a_plain_walk():
+    import random
+
+    from portdelta.llm.secrets import _Bindings, _Term
+
+    rng = random.Random(8)
+    for _ in range(300):
+        names, at, said = "abcde", 0, []
+        for _ in range(rng.randrange(1, 12)):
+            terms = []
+            for _ in range(rng.randrange(1, 4)):
+                terms.append(_Term(rng.choice(names), at, at + 1, True) if rng.random() < 0.6 else _Term(f"lit{at}", at, at + 1, False))
+                at += 2
+            said.append((rng.choice(names), terms))
+
+        def reach(i, seen):
+            out = set()
+            for t in said[i][1]:
+                if not t.is_name:
+                    out.add(t.text)
+                    continue
+                before = [j for j in range(i) if said[j][0] == t.text]
+                after = [j for j in range(i + 1, len(said)) if said[j][0] == t.text]
+                j = before[-1] if before else after[0] if after else None
+                if j is not None and j not in seen:
+                    out |= reach(j, seen | {j})
+            return out
+
+        bindings = _Bindings(said)
+        for i in range(len(said)):
+            assert {t.text for t in bindings.literals(i)} == reach(i, {i})
