@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,19 @@ from portdelta.session import fresh_path
 from portdelta.ship import by_value
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Note the tables staged meanwhile, so that the caller can ``remove`` them when nothing reads them any more."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
 def drop_at_exit(spark: SparkSession, path: str) -> None:
     """Let Hadoop's file system remove ``path`` when the driver ends."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -35,6 +49,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     drop_at_exit(spark, path)
+    for paths in _recorders:
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
