@@ -257,14 +257,14 @@ def test_a_batch_opens_few_ledger_files_after_many_batches(spark, tmp_path, monk
     opened = []
     real = publish.read_ledger
     monkeypatch.setattr(publish, "read_ledger", lambda *a: opened.append(df := real(*a)) or df)
-    for n in range(60):
+    for n in range(30):
         publish.publish_once(batch(n), ledger, ["timestamp", "k"], file_sink(sent), n, compact_after=8)
     # The last batch again, as after a restart.
-    publish.publish_once(batch(59), ledger, ["timestamp", "k"], file_sink(sent), 59, compact_after=8)
-    # Four days of nine folders at most, out of 66 days with some 300.
+    publish.publish_once(batch(29), ledger, ["timestamp", "k"], file_sink(sent), 29, compact_after=8)
+    # Four days of nine folders at most; each of 30 batches wrote four.
     assert max(len(df.inputFiles()) for df in opened[-10:]) <= 4 * 9
     got = spark.read.option("basePath", sent).parquet(sent)
-    want = {r for n in range(60) for r in map(tuple, batch(n).collect())}
+    want = {r for n in range(30) for r in map(tuple, batch(n).collect())}
     assert got.count() == len(want) and {(r["timestamp"], r["k"]) for r in got.collect()} == want
 
 
