@@ -231,10 +231,13 @@ def line_summary(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def without_similar_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` without the lines that ``line_decisions`` removes; all rows and other columns stay."""
-    gone = line_decisions(docs, percent).where("removed").groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    return docs.join(gone, "doc_id", "left").withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).select(docs.columns)
+    gone = line_decisions(docs, percent).where("removed").groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
+    # The caller's columns are one struct, so that no helper column can clash with them.
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("row")).join(gone, "doc_id", "left")
+    text = F.col("row")["text"]
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    cut = F.when(F.col("gone").isNull(), text).otherwise(kept)
+    return packed.select(*[(cut if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 by_value(__name__)
