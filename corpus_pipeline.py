@@ -65,9 +65,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @clearing
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in files and rows that follow the mix."""
+    """All documents, in files and rows that follow the mix; columns of any name keep their values."""
     place = ["mix_slot", "mix_place"]
-    return mix_sources(docs).repartitionByRange(*place).sortWithinPartitions(*place).select(docs.columns)
+    packed = docs.select("doc_id", "source", F.struct("*").alias("row"))
+    return mix_sources(packed).repartitionByRange(*place).sortWithinPartitions(*place).select("row.*")
 
 
 @clearing
