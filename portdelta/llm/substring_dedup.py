@@ -14,10 +14,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portdelta.llm.staging import small_batches, staged
+from portdelta.llm.staging import key_bitmap, small_batches, staged
 from portdelta.llm.text import _power_tables, buffers, mixed, runs, slices
 from portdelta.ship import by_value
 
@@ -91,30 +92,55 @@ def chunks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _BYTES = np.random.Generator(np.random.PCG64(11)).integers(0, 2**64, 256, dtype=np.uint64)
 
 
-def with_runs(digest: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The chunks, and every two and four in a row, which may have another first document than their parts."""
+def with_runs(digest: np.ndarray, start: np.ndarray, end: np.ndarray, marked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chunks, and every two and four in a row, which may have another first document than their parts.
+
+    With ``marked``, a bool a chunk, only what is made of such chunks.
+    """
+    marked = np.ones(len(digest), bool) if marked is None else marked
     order = np.argsort(start, kind="stable")
-    digest, start, end = digest[order], start[order], end[order]
-    found = [(digest, start, end)]
+    digest, start, end, marked = digest[order], start[order], end[order], marked[order]
+    found = [(digest[marked], start[marked], end[marked])]
     for k in (2, 4):
         if len(digest) >= k:
-            found.append((runs(digest, k) + np.uint64(k), start[: len(start) - k + 1], end[k - 1 :]))
+            marked = marked[: -k // 2] & marked[k // 2 :]
+            every = runs(digest, k) + np.uint64(k)
+            found.append((every[marked], start[: len(start) - k + 1][marked], end[k - 1 :][marked]))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _chunked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's different chunks."""
     for batch in batches:
         for part in slices(batch):
             data, offsets = buffers(part.column("text"))
-            # Hashes must not see the text before: each text is rolled over alone.
-            found = [with_runs(*chunks(data[a:b])) for a, b in zip(offsets[:-1], offsets[1:])]
-            n = [len(f[0]) for f in found]
-            owner = pa.array(np.repeat(np.arange(len(found)), n))
-            columns = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(owner), pa.array(columns[0].astype(np.uint64).view(np.int64)), pa.array(columns[1].astype(np.int64)), pa.array((columns[2] - columns[1]).astype(np.int32))],
-                names=["doc_id", "digest", "start", "size"],
-            )
+            found = [np.unique(chunks(data[a:b])[0]) for a, b in zip(offsets[:-1], offsets[1:])]
+            owner = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            every = np.concatenate([np.zeros(0, np.uint64), *found])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(owner), pa.array(every.view(np.int64))], names=["doc_id", "digest"])
+
+
+def _chunked(sent: Broadcast, bits: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = sent.value
+        for batch in batches:
+            for part in slices(batch):
+                data, offsets = buffers(part.column("text"))
+                found = []
+                # Hashes must not see the text before: each text is rolled over alone.
+                for a, b in zip(offsets[:-1], offsets[1:]):
+                    digest, start, end = chunks(data[a:b])
+                    at = digest >> np.uint64(64 - bits)
+                    marked = (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                    found.append(with_runs(digest, start, end, marked))
+                owner = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+                digest, start, end = (np.concatenate([np.zeros(0, t), *(f[i] for f in found)]) for i, t in enumerate((np.uint64, np.int64, np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(owner), pa.array(digest.view(np.int64)), pa.array(start), pa.array((end - start).astype(np.int32))],
+                    names=["doc_id", "digest", "start", "size"],
+                )
+
+    return run
 
 
 def equal_stretches(a: bytes, b: bytes, shift: int, lo: int, hi: int, min_words: int) -> list[tuple[int, int, int]]:
@@ -153,19 +179,21 @@ def _compared(min_words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            names = ["doc_id", "first_doc_id", "shift", "lo", "hi", "text", "first_text"]
-            for d, f, shift, lo, hi, text, first in zip(*[batch.column(c).to_pylist() for c in names]):
+            names = ["doc_id", "first_doc_id", "places", "text", "first_text"]
+            for d, f, places, text, first in zip(*[batch.column(c).to_pylist() for c in names]):
                 a, b = text.encode(), first.encode()
-                for s, e, n in equal_stretches(a, b, shift, lo, hi, min_words):
-                    start = len(a[:s].decode())
-                    out.append((d, start, start + len(a[s:e].decode()), n, f, len(b[: s - shift].decode())))
+                for at in places:
+                    shift = at["shift"]
+                    for s, e, n in equal_stretches(a, b, shift, at["lo"], at["hi"], min_words):
+                        start = len(a[:s].decode())
+                        out.append((d, start, start + len(a[s:e].decode()), n, f, len(b[: s - shift].decode())))
             columns = list(zip(*out)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "end", "n_words", "first_doc_id", "first_start"])
 
     return run
 
 
-def repeated_passages(docs: DataFrame, min_words: int = 50, min_shared: int = _LEAST_CHUNK) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = 50, min_shared: int = _LEAST_CHUNK, bits: int = 26) -> DataFrame:
     """``doc_id, start, end, n_words, first_doc_id, first_start`` of passages that an earlier document has.
 
     ``docs (doc_id, text, ...)``; places are code points, ends excluded. A passage is ``min_words`` whole
@@ -177,11 +205,16 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, min_shared: int = _L
     Whole texts are read. Null and empty texts and rows without id have no passages. Rows that repeat a
     doc_id are one document with the text that sorts first. Other columns are ignored. An empty table gives
     an empty result. A chunk that very many documents have is a pre-aggregated minimum and then one side of
-    a join that adaptive execution can split; no group is collected.
+    a join that adaptive execution can split. Chunks that two documents have are marked first, in a bitmap of
+    ``2 ** bits`` bits (26: 8 MB), so that what only one document has takes no part in the join; with more
+    such chunks than the bitmap can keep apart the result is the same and more rows are joined. The distances
+    of two documents, at most as many as one has chunks and runs, are one row beside their texts.
     """
     small_batches(docs.sparkSession)
     texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = texts.mapInArrow(_chunked, "doc_id long, digest long, start long, size int")
+    spread = texts.mapInArrow(_digests, "doc_id long, digest long").groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    sent = docs.sparkSession.sparkContext.broadcast(key_bitmap(spread.where("lo < hi").select(F.col("digest").alias("key")), bits))
+    pieces = texts.mapInArrow(_chunked(sent, bits), "doc_id long, digest long, start long, size int")
     place = F.struct("doc_id", "start")
     first = pieces.groupBy("digest").agg(F.min(place).alias("first"), F.max("doc_id").alias("last_doc")).where("last_doc > first.doc_id")
     shared = pieces.join(first.select("digest", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start")), "digest")
@@ -190,8 +223,9 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, min_shared: int = _L
     aligned = staged(aligned.where(f"n >= {min_shared}").drop("n"), "aligned")
     ids = aligned.select("doc_id").union(aligned.select("first_doc_id")).distinct()
     wanted = staged(texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-    both = aligned.join(wanted, "doc_id").join(wanted.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("first_text")), "first_doc_id")
-    found = both.select("doc_id", "first_doc_id", "shift", "lo", "hi", "text", "first_text").mapInArrow(_compared(min_words), _SPANS)
+    places = aligned.groupBy("doc_id", "first_doc_id").agg(F.collect_list(F.struct("shift", "lo", "hi")).alias("places"))
+    both = places.join(wanted, "doc_id").join(wanted.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("first_text")), "first_doc_id")
+    found = both.select("doc_id", "first_doc_id", "places", "text", "first_text").mapInArrow(_compared(min_words), _SPANS)
     return found.distinct()
 
 
@@ -200,20 +234,23 @@ def without_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
     A document without passages keeps its text. What is cut of one document is one row of places.
     """
-    cuts = passages.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_cuts"))
-    joined = docs.join(cuts, "doc_id", "left")
+    cuts = passages.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("cuts"))
+    # The caller's columns are one struct, so that no helper column can clash with them.
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("row")).join(cuts, "doc_id", "left")
+    text = F.col("row")["text"]
     # Overlapping places count once: each begins where the ones before it have ended.
     zero = F.struct(F.lit("").alias("kept"), F.lit(0).cast("long").alias("at"))
     step = F.aggregate(
-        "_cuts",
+        "cuts",
         zero,
         lambda s, c: F.struct(
-            F.concat(s["kept"], F.when(c["start"] > s["at"], F.substring("text", (s["at"] + 1).cast("int"), (c["start"] - s["at"]).cast("int"))).otherwise("")).alias("kept"),
+            F.concat(s["kept"], F.when(c["start"] > s["at"], F.substring(text, (s["at"] + 1).cast("int"), (c["start"] - s["at"]).cast("int"))).otherwise("")).alias("kept"),
             F.greatest(s["at"], c["end"]).alias("at"),
         ),
-        lambda s: F.concat(s["kept"], F.substring("text", (s["at"] + 1).cast("int"), F.lit(2**31 - 1))),
+        lambda s: F.concat(s["kept"], F.substring(text, (s["at"] + 1).cast("int"), F.lit(2**31 - 1))),
     )
-    return joined.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(step)).select(docs.columns)
+    cut = F.when(F.col("cuts").isNull(), text).otherwise(step)
+    return packed.select(*[(cut if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 by_value(__name__)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -13,12 +15,12 @@ from portdelta.llm.calibrate import pooled
 from portdelta.llm.components import components
 from portdelta.llm.decontaminate import _item_keys, contained_items, size_class, window_keys
 from portdelta.llm.line_dedup import line_summary, without_similar_lines
-from portdelta.llm.mixing import frame_schedule, mix_sources, rounded_shares
+from portdelta.llm.mixing import earliest_deadlines, mix_sources, whole_weights
 from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.neighbours import nearest
 from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.secrets import find_secrets, scan_secrets
-from portdelta.llm.substring_dedup import chunks, repeated_passages
+from portdelta.llm.substring_dedup import chunks, repeated_passages, with_runs, without_repeats
 from portdelta.llm.text import buffers, words
 from portdelta.llm.token_files import PieceEncoder, decode, encode, read_tokens, token_folder, write_tokens
 from portdelta.llm.toxicity import Decoder, character_model, fit_toxicity, readings, reject_toxic, score_toxicity, suspects
@@ -171,25 +173,81 @@ def test_pooled_rises_and_keeps_the_mean():
 
 
 def test_mix_odd_rows(odd_docs, odd_rows):
-    got = mix_sources(odd_docs(odd_rows), {"a": 1, "b": 2, "c": 1, "": 4}, block_docs=1, frame=8)
+    got = mix_sources(odd_docs(odd_rows), {"a": 1, "b": 2, "c": 1, "": 4}, block_docs=1)
     assert got.count() == len(odd_rows) and {"rep", "label", "component_id"} <= set(got.columns)
     assert len({(r.mix_slot, r.mix_place) for r in got.collect()}) == len(odd_rows)
     assert mix_sources(odd_docs([])).collect() == []
-    with pytest.raises(ValueError):
-        mix_sources(odd_docs(odd_rows), frame=2)
+    with pytest.raises(Exception, match="above zero"):
+        mix_sources(odd_docs(odd_rows), {"a": 0})
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.dictionaries(st.sampled_from("abcdefgh"), st.floats(0.001, 1.0), min_size=1))
-def test_frame_meets_every_deadline(weights):
-    shares = rounded_shares(weights, 60)
-    assert sum(shares.values()) == 60 and min(shares.values()) >= 1
-    plan = frame_schedule(shares)
-    assert [p[4] for p in plan] == list(range(60))
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.sampled_from("abcdefgh"), st.floats(0.001, 1.0), min_size=1), st.integers(1, 400))
+def test_schedule_meets_every_deadline(weights, n):
+    whole = whole_weights(dict.fromkeys(weights, n), weights)
+    total = sum(Fraction(str(w)) for w in weights.values())
+    exact = {s: Fraction(str(w)) / total for s, w in weights.items()}
+    assert all(Fraction(whole[s], sum(whole.values())) == w for s, w in exact.items())
+    plan = list(earliest_deadlines(whole, dict.fromkeys(weights, n)))
+    assert sorted((s, j) for s, j, *_ in plan) == sorted((s, j) for s in weights for j in range(1, n + 1))
     assert all(release <= slot < deadline for _, _, release, deadline, slot in plan)
-    for s, n in shares.items():
-        had = np.cumsum([p[0] == s for p in plan])
-        assert np.abs(had - np.arange(1, 61) * n / 60).max() < 1
+    # Until the first source has run out no slot is empty, and none drifts, however long that takes.
+    end = min(int(n / w) for w in exact.values())
+    assert [p[4] for p in plan[:end]] == list(range(end))
+    had = dict.fromkeys(weights, 0)
+    for t, (s, *_) in enumerate(plan[:end], 1):
+        had[s] += 1
+        assert all(abs(had[x] - exact[x] * t) < 1 for x in exact)
+
+
+def _lags(rows, weights):
+    total = sum(weights.values())
+    slots = {(r.mix_source, r.mix_slot) for r in rows if r.mix_full}
+    end = max(t for _, t in slots) + 1
+    assert sorted(t for _, t in slots) == list(range(end))
+    return max(np.abs(np.cumsum([(s, t) in slots for t in range(end)]) - np.arange(1, end + 1) * (w / total)).max() for s, w in weights.items())
+
+
+def test_unequal_weights_do_not_drift(spark):
+    # One source with a third of the rows and 19 as large as each other, several turns of the schedule.
+    sources = ["big"] * 3800 + [f"s{i}" for i in range(19) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(sources)), "doc_id long, source string")
+    for weights in ({"big": 61, **{f"s{i}": 20 for i in range(19)}}, {"big": 1 / 3, **{f"s{i}": 0.0351 for i in range(19)}}):
+        rows = mix_sources(docs, weights, block_docs=1).collect()
+        assert len(rows) == len(sources) == len({(r.mix_slot, r.mix_place) for r in rows})
+        assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in rows)
+        assert _lags(rows, weights) < 1
+    roots = {"big": 61, **{f"s{i}": 20 for i in range(19)}}
+    assert _lags(mix_sources(docs, block_docs=2).collect(), roots) < 1
+
+
+def test_mix_takes_very_many_sources(spark):
+    docs = spark.range(3600).selectExpr("id AS doc_id", "cast(id % 1200 AS string) AS source")
+    rows = mix_sources(docs, block_docs=1).collect()
+    assert sorted(r.mix_slot for r in rows) == list(range(3600))
+
+
+def test_helper_columns_clash_with_nothing(spark):
+    names = ["row", "cuts", "gone", "draw", "bucket", "before", "rank", "at", "j", "share", "slot", "_share", "_before", "_slot", "_gone", "_cuts"]
+    passage = " ".join(f"w{i}" for i in range(80))
+    texts = [(1, passage), (2, "new start " + passage), (3, "one line"), (4, None)]
+    docs = spark.createDataFrame([(d, t, "s", *names) for d, t in texts], "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names))
+    cut, lines, mix = without_repeats(docs, repeated_passages(docs)), without_similar_lines(docs), mix_sources(docs)
+    for out in (cut, lines, mix):
+        assert out.columns[: len(docs.columns)] == docs.columns
+        assert out.select(names).distinct().collect() == [tuple(names)] and out.count() == 4
+    assert by_id(cut, "doc_id", "text") == [(1, passage), (2, "new start "), (3, "one line"), (4, None)]
+
+
+def test_marked_runs_are_those_of_marked_chunks():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 3, 4, 9, 40):
+        digest, start = rng.integers(0, 2**63, n).astype(np.uint64), np.arange(n) * 20
+        marked = rng.random(n) < 0.7
+        got = set(zip(*(x.tolist() for x in with_runs(digest, start, start + 20, marked))))
+        bad = {20 * i for i in np.flatnonzero(~marked)}
+        every = zip(*(x.tolist() for x in with_runs(digest, start, start + 20)))
+        assert got == {(d, a, b) for d, a, b in every if not bad & set(range(a, b, 20))}
 
 
 @settings(max_examples=60, deadline=None)
