@@ -15,17 +15,23 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portdelta.llm.calibrate import binned, pooled
-from portdelta.llm.staging import blocks_of, small_batches, summed_blocks
+from portdelta.llm.calibrate import pooled
+from portdelta.llm.staging import blocks_of, small_batches, staged, summed_blocks
 from portdelta.llm.text import Words, buffers, mixed, slices, words, _power_tables, _CODES
 from portdelta.ship import by_value
 
 SYMBOLS = 64
 _BLOCK = 16384
-_BINS = 200
+_BINS = 400
+FOLDS = 4
+#: Rows that have a feature, by fold and label.
+COUNTS = [f"n_{fold}_{label}" for fold in range(FOLDS) for label in (0, 1)]
+#: Limits a feature may have to pass: twice the log likelihood ratio, and log odds where they are positive.
+LIMITS = [(gain, odds) for odds in (1.0, 2.0, 3.0) for gain in (8.0, 11.0, 15.0, 20.0, 27.0, 36.0)]
 
 # The letters a look-alike may stand for.
 LOOK_ALIKES = {
@@ -269,21 +275,43 @@ def _all_features(part: pa.RecordBatch, decoder: Decoder) -> tuple[np.ndarray, n
     return found, owners
 
 
-def _count_features(model):
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(model.value)
+def _decoder(sent) -> Decoder:
+    """The decoder that a Python worker keeps with the broadcast model, and with it the tokens it has read."""
+    known = sent.value
+    if "decoder" not in known:
+        known["decoder"] = Decoder(known["characters"])
+    return known["decoder"]
+
+
+def _found(sent):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = _decoder(sent)
         for batch in batches:
             for part in slices(batch):
-                toxic = np.array(part.column("label").to_numpy(zero_copy_only=False), dtype=np.int64)
                 found, owners = _all_features(part, decoder)
-                pairs = np.unique(np.stack([found, owners.astype(np.uint64)]), axis=1) if len(found) else np.zeros((2, 0), np.uint64)
-                keys, inverse = np.unique(pairs[0], return_inverse=True)
-                label = toxic[pairs[1].astype(np.int64)]
-                pos = np.bincount(inverse, weights=label, minlength=len(keys)).astype(np.int64)
-                every = np.bincount(inverse, minlength=len(keys))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(pos), pa.array(every - pos)], names=["feature", "pos", "neg"])
+                order = np.lexsort((found, owners))
+                found, owners = found[order], owners[order]
+                new = np.ones(len(found), bool)
+                new[1:] = (found[1:] != found[:-1]) | (owners[1:] != owners[:-1])
+                found, owners = found[new], owners[new]
+                cut = np.searchsorted(owners, np.arange(part.num_rows + 1))
+                own = [found[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])]
+                yield pa.RecordBatch.from_arrays([part.column("label"), part.column("fold"), pa.array(own, pa.binary())], names=["label", "fold", "found"])
+
+    return run
 
-    return count
+
+def _count_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        label, fold = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("label", "fold"))
+        own = [np.frombuffer(x, np.uint64) for x in batch.column("found").to_pylist()]
+        if not any(map(len, own)):
+            continue
+        kind = np.repeat(fold * 2 + label, [len(x) for x in own])
+        keys, inverse = np.unique(np.concatenate(own), return_inverse=True)
+        seen = np.bincount(inverse * (2 * FOLDS) + kind, minlength=len(keys) * 2 * FOLDS).reshape(len(keys), 2 * FOLDS)
+        counts = [pa.array(seen[:, k].astype(np.int64)) for k in range(2 * FOLDS)]
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *counts], names=["feature", *COUNTS])
 
 
 @dataclass
@@ -306,23 +334,64 @@ class Weights:
         return out
 
 
-def _weights(counts: DataFrame, n_pos: int, n_neg: int, max_features: int) -> Weights:
-    """Features whose share differs between the labels by more than chance, strongest first."""
-    k, n = F.col("pos") + F.col("neg"), float(n_pos + n_neg)
-    share = n_pos / n
-    # Twice the log likelihood ratio of the feature's own rate against the overall rate.
-    ratio = 2 * (
-        F.when(F.col("pos") > 0, F.col("pos") * F.log(F.col("pos") / (k * share))).otherwise(0.0)
-        + F.when(F.col("neg") > 0, F.col("neg") * F.log(F.col("neg") / (k * (1 - share)))).otherwise(0.0)
+def _odds_and_gain(pos: Column, neg: Column, n_pos: float, n_neg: float) -> tuple[Column, Column]:
+    """Shrunken log odds, and twice the log likelihood ratio of the feature's own rate against the overall rate."""
+    share = n_pos / max(n_pos + n_neg, 1.0)
+    gain = 2 * (
+        F.when(pos > 0, pos * F.log(pos / ((pos + neg) * share))).otherwise(0.0)
+        + F.when(neg > 0, neg * F.log(neg / ((pos + neg) * (1 - share)))).otherwise(0.0)
     )
-    odds = F.log((F.col("pos") + 0.5) / (n_pos + 1.0)) - F.log((F.col("neg") + 0.5) / (n_neg + 1.0))
-    summed = counts.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    told = summed.where("pos >= 4").withColumn("gain", ratio).withColumn("odds", odds).where("gain >= 30 AND odds >= 3")
-    rows = told.orderBy(F.desc("gain"), "feature").limit(max_features).select("feature", "odds").collect()
+    odds = F.log((pos + max(share, 1e-9)) / (n_pos + 1.0)) - F.log((neg + max(1 - share, 1e-9)) / (n_neg + 1.0))
+    return odds, gain
+
+
+def _candidates(counts: DataFrame, n: np.ndarray, max_features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features that pass the widest limits on any of the learning sets, strongest on all rows first.
+
+    Learning set ``k`` is all rows but those of fold ``k``, the last one all rows. Sorted hashes of at most
+    ``max_features`` features, and their log odds and gains, a column for each learning set.
+    """
+    summed = counts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    total = {label: sum((F.col(f"n_{fold}_{label}") for fold in range(FOLDS)), F.lit(0)) for label in (0, 1)}
+    columns, passes = [], F.lit(False)
+    for k in range(FOLDS + 1):
+        pos, neg = (total[label] - (F.col(f"n_{k}_{label}") if k < FOLDS else 0) for label in (1, 0))
+        rows = n.sum(axis=0) - (n[k] if k < FOLDS else 0)
+        odds, gain = _odds_and_gain(pos, neg, float(rows[1]), float(rows[0]))
+        told = (gain >= min(g for g, _ in LIMITS)) & ((odds < 0) | (pos >= 2) & (odds >= min(o for _, o in LIMITS)))
+        passes = passes | told
+        columns += [odds.alias(f"odds_{k}"), F.when(told, gain).otherwise(0.0).alias(f"gain_{k}")]
+    strongest = summed.where(passes).select("feature", *columns).orderBy(F.desc(f"gain_{FOLDS}"), "feature").limit(max_features)
+    rows = strongest.collect()
     keys = np.array([r["feature"] for r in rows], np.int64).view(np.uint64)
-    odds_of = np.array([r["odds"] for r in rows])
+    odds, gain = (np.array([[r[f"{c}_{k}"] for k in range(FOLDS + 1)] for r in rows]).reshape(len(rows), FOLDS + 1) for c in ("odds", "gain"))
     order = np.argsort(keys)
-    return Weights(keys[order], odds_of[order] if len(rows) else odds_of)
+    return keys[order], odds[order], gain[order]
+
+
+def _limited(odds: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """Log odds of the features that pass each of ``LIMITS``, a column for each; 0 for the others."""
+    return np.stack([np.where((gain >= g) & ((odds < 0) | (odds >= o)), odds, 0.0) for g, o in LIMITS], axis=-1)
+
+
+def _left_out_bins(sent):
+    """Rows by limits, bin of evidence and label; a row's weights come from the other folds."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, odds, gain = sent.value
+        weights = [_limited(odds[:, k], gain[:, k]) for k in range(FOLDS)]
+        total = np.zeros((len(LIMITS), _BINS, 2))
+        every = np.arange(len(LIMITS))
+        for batch in batches:
+            rows = zip(batch.column("label").to_pylist(), batch.column("fold").to_pylist(), batch.column("found").to_pylist())
+            for label, fold, found in rows:
+                hashes = np.frombuffer(found, np.uint64)
+                own = np.searchsorted(keys, hashes)
+                own = own[keys.take(own, mode="clip") == hashes] if len(keys) else own[:0]
+                total[every, _bin(weights[fold][own].sum(axis=0)), label] += 1
+        yield from blocks_of(total.ravel(), _BLOCK)
+
+    return run
 
 
 # --- model ---------------------------------------------------------------------------------------------
@@ -337,22 +406,23 @@ class ToxicityModel:
     def score(self, evidence: np.ndarray) -> np.ndarray:
         """Calibrated probability; a small rising part keeps apart what the steps hold equal."""
         step = self.curve[_bin(evidence)]
-        return np.clip(0.999 * step + 0.001 * evidence / (1 + evidence), 0.0, 1.0)
+        if not len(self.weights.features):
+            return step
+        return np.clip(0.999 * step + 0.0005 * (1 + evidence / (1 + np.abs(evidence))), 0.0, 1.0)
 
 
 def _bin(evidence: np.ndarray) -> np.ndarray:
-    return np.minimum((evidence * 4).astype(np.int64), _BINS - 1)
+    """A quarter of log odds a bin; no evidence is in the middle."""
+    return np.clip(np.floor(evidence * 4).astype(np.int64) + _BINS // 2, 0, _BINS - 1)
 
 
-def _evidence(model, weights):
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder, told = Decoder(model.value), Weights(*weights.value)
-        for batch in batches:
-            for part in slices(batch):
-                value = told.evidence(*_all_features(part, decoder), part.num_rows)
-                yield pa.RecordBatch.from_arrays([pa.array(_bin(value).astype(np.int32)), part.column("label")], names=["bin", "label"])
-
-    return score
+def _best_limits(bins: np.ndarray) -> int:
+    """The limits whose calibrated scores have the least log loss on rows left out; ties to the first."""
+    losses = []
+    for negative, positive in zip(bins[:, :, 0], bins[:, :, 1]):
+        p = np.clip(pooled(positive, positive + negative), 0.001, 0.999)
+        losses.append(-(positive * np.log(p) + negative * np.log(1 - p)).sum())
+    return int(np.argmin(losses))
 
 
 def labelled_sample(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
@@ -369,32 +439,47 @@ def labelled_sample(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 20_000) -> ToxicityModel:
     """Character model over all ``docs``; weights from at most ``max_rows`` labelled rows of ``labels``.
 
-    Three quarters of the rows give the weights, the others the calibration. ``labels (doc_id, toxic)``
-    should only hold rows that may be learned from; rows with another label than 0 or 1 are left out, and
-    an id labelled twice counts as toxic if one of them says so. Without rows of both kinds every text
-    scores the rate of the rows there are (0 without rows).
+    Weights are shrunken log odds of both signs, learned four times with a quarter of the rows left out. The
+    rows left out choose which limits features must pass, and give the calibration; the weights that are kept
+    come from all rows. ``labels (doc_id, toxic)`` should only hold rows that may be learned from; rows with
+    another label than 0 or 1 are left out, and an id labelled twice counts as toxic if one of them says so.
+    Without rows of both kinds every text scores the rate of the rows there are (0 without rows).
     """
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     characters = character_model(docs)
-    model = spark.sparkContext.broadcast(characters)
+    sent = spark.sparkContext.broadcast({"characters": characters})
     # The sample is bounded by max_rows, so it may be broadcast.
     sample = labelled_sample(labels, "toxic", max_rows)
-    rows = docs.join(F.broadcast(sample), "doc_id").select("text", "label", (F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(4)) == 0).alias("later"))
-    n = {(r["later"], r["label"]): r["count"] for r in rows.groupBy("later", "label").count().collect()}
-    n_pos, n_neg = n.get((False, 1), 0), n.get((False, 0), 0)
-    if n_pos and n_neg:
-        counts = rows.where("NOT later").select("text", "label").mapInArrow(_count_features(model), "feature long, pos long, neg long")
-        weights = _weights(counts, n_pos, n_neg, max_features)
-    else:
-        weights = Weights(np.zeros(0, np.uint64), np.zeros(0))
+    rows = docs.join(F.broadcast(sample), "doc_id").select("text", "label", F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(FOLDS)).cast("int").alias("fold"))
+    learned = staged(rows.mapInArrow(_found(sent), "label int, fold int, found binary"), "found")
+    n = np.zeros((FOLDS, 2))
+    for r in learned.groupBy("fold", "label").count().collect():
+        n[r["fold"], r["label"]] = r["count"]
+    if not n.sum(axis=0).all():
+        return ToxicityModel(characters, Weights(np.zeros(0, np.uint64), np.zeros(0)), np.full(_BINS, n[:, 1].sum() / max(n.sum(), 1.0)))
+    counts = learned.select("label", "fold", "found").mapInArrow(_count_features, "feature long, " + ", ".join(f"{c} long" for c in COUNTS))
+    keys, odds, gain = _candidates(counts, n, max_features)
     # Plain arrays, so that executors need not have this package to read them.
-    told = spark.sparkContext.broadcast((weights.features, weights.weights))
-    positive, count = binned(rows.where("later").select("text", "label").mapInArrow(_evidence(model, told), "bin int, label int"), _BINS)
-    if not count.sum():
-        positive[0], count[0] = n_pos, n_pos + n_neg
-    return ToxicityModel(characters, weights, pooled(positive, count))
+    told = spark.sparkContext.broadcast((keys, odds, gain))
+    bins = summed_blocks(learned.mapInArrow(_left_out_bins(told), "block int, sums binary"), len(LIMITS) * _BINS * 2).reshape(len(LIMITS), _BINS, 2)
+    best = _best_limits(bins)
+    weights = _limited(odds[:, FOLDS], gain[:, FOLDS])[:, best]
+    used = weights != 0
+    return ToxicityModel(characters, Weights(keys[used], weights[used]), pooled(bins[best, :, 1], bins[best].sum(axis=1)))
+
+
+def _sent(spark: SparkSession, model: ToxicityModel) -> Broadcast:
+    """The model as plain arrays."""
+    return spark.sparkContext.broadcast(
+        {"characters": model.characters, "features": model.weights.features, "weights": model.weights.weights, "curve": model.curve}
+    )
+
+
+def _received(sent) -> ToxicityModel:
+    known = sent.value
+    return ToxicityModel(known["characters"], Weights(known["features"], known["weights"]), known["curve"])
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
@@ -404,12 +489,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3
     that. Repeated rows give repeated results, a null doc_id stays null, and other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast((model.characters, model.weights.features, model.weights.weights, model.curve))
+    sent = _sent(docs.sparkSession, model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        characters, features, odds, curve = sent.value
-        own = ToxicityModel(characters, Weights(features, odds), curve)
-        decoder = Decoder(characters)
+        own, decoder = _received(sent), _decoder(sent)
         for batch in batches:
             for part in slices(batch):
                 value = own.score(own.weights.evidence(*_all_features(part, decoder), part.num_rows))
@@ -422,12 +505,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3
 def reject_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns, in one pass over them."""
     small_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast((model.characters, model.weights.features, model.weights.weights, model.curve))
+    sent = _sent(docs.sparkSession, model)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        characters, features, odds, curve = sent.value
-        own = ToxicityModel(characters, Weights(features, odds), curve)
-        decoder = Decoder(characters)
+        own, decoder = _received(sent), _decoder(sent)
         for batch in batches:
             for part in slices(batch):
                 value = own.score(own.weights.evidence(*_all_features(part, decoder), part.num_rows))
