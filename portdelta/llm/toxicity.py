@@ -440,8 +440,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max
     """Character model over all ``docs``; weights from at most ``max_rows`` labelled rows of ``labels``.
 
     Weights are shrunken log odds of both signs, learned four times with a quarter of the rows left out. The
-    rows left out choose which limits features must pass, and give the calibration; the weights that are kept
-    come from all rows. ``labels (doc_id, toxic)`` should only hold rows that may be learned from; rows with
+    rows left out choose which limits features must pass, and give the calibration, together with one clean row
+    without evidence; the weights that are kept come from all rows. ``labels (doc_id, toxic)`` should only hold rows that may be learned from; rows with
     another label than 0 or 1 are left out, and an id labelled twice counts as toxic if one of them says so.
     Without rows of both kinds every text scores the rate of the rows there are (0 without rows).
     """
@@ -464,6 +464,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max
     # Plain arrays, so that executors need not have this package to read them.
     told = spark.sparkContext.broadcast((keys, odds, gain))
     bins = summed_blocks(learned.mapInArrow(_left_out_bins(told), "block int, sums binary"), len(LIMITS) * _BINS * 2).reshape(len(LIMITS), _BINS, 2)
+    # A text that nothing speaks against is held to be clean, as one more row would be, so that a gap
+    # between the evidence of clean and toxic rows does not reach over the texts without evidence.
+    bins[:, _BINS // 2, 0] += 1
     best = _best_limits(bins)
     weights = _limited(odds[:, FOLDS], gain[:, FOLDS])[:, best]
     used = weights != 0

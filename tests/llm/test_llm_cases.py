@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from fractions import Fraction
 
 import numpy as np
@@ -23,7 +24,7 @@ from portdelta.llm.secrets import find_secrets, scan_secrets
 from portdelta.llm.substring_dedup import chunks, repeated_passages, with_runs, without_repeats
 from portdelta.llm.text import buffers, words
 from portdelta.llm.token_files import PieceEncoder, decode, encode, read_tokens, token_folder, write_tokens
-from portdelta.llm.toxicity import Decoder, character_model, fit_toxicity, readings, reject_toxic, score_toxicity, suspects
+from portdelta.llm.toxicity import COUNTS, _best_limits, _candidates, Decoder, character_model, fit_toxicity, readings, reject_toxic, score_toxicity, suspects
 
 
 def by_id(df, *columns):
@@ -114,6 +115,33 @@ def test_literals_follow_names(text, spans):
     assert [text[f.start : f.end] for f in find_secrets(text) if f.kind == "literal"] == spans
 
 
+def test_toxicity_weights_equal_plain_counts(spark):
+    # Rows of each fold and label, and in how many of them each of three features stands.
+    n = np.array([[40, 10], [38, 12], [45, 5], [39, 11]], float)
+    features = {11: [0, 9, 1, 10, 0, 5, 0, 10], -7: [20, 1, 19, 2, 22, 0, 20, 1], 5: [1, 0, 0, 0, 0, 0, 0, 0]}
+    counts = spark.createDataFrame([(k, *v) for k, v in features.items()], "feature long, " + ", ".join(f"{c} long" for c in COUNTS))
+    keys, odds, gain = _candidates(counts, n, 10)
+    assert keys.view(np.int64).tolist() == [11, -7]
+    for row, key in enumerate((11, -7)):
+        seen = np.array(features[key], float).reshape(4, 2)
+        for k in range(5):
+            left = [i for i in range(4) if i != k]
+            (neg, pos), (n_neg, n_pos) = seen[left].sum(axis=0), n[left].sum(axis=0)
+            share = n_pos / (n_neg + n_pos)
+            want = math.log((pos + share) / (n_pos + 1)) - math.log((neg + 1 - share) / (n_neg + 1))
+            assert odds[row, k] == pytest.approx(want)
+            told = sum(x * math.log(x / ((pos + neg) * s)) for x, s in ((pos, share), (neg, 1 - share)) if x)
+            assert gain[row, k] == pytest.approx(2 * told if 2 * told >= 8 and (want < 0 or want >= 1) else 0)
+
+
+def test_toxicity_takes_the_limits_with_the_least_loss():
+    bins = np.zeros((3, 4, 2))
+    bins[0, 1], bins[0, 2] = (5, 5), (5, 5)
+    bins[1, 1], bins[1, 2] = (10, 0), (0, 10)
+    bins[2, 1], bins[2, 2] = (8, 2), (2, 8)
+    assert _best_limits(bins) == 1
+
+
 def test_toxicity_odd_rows(spark, odd_docs, odd_rows):
     clean = [(100 + i, f"the day was calm and number {i} of the nice people came along with others", "s") for i in range(200)]
     toxic = [(400 + i, f"you are an idiot and number {i} of the nice people knows it well", "s") for i in range(100)]

@@ -14,6 +14,7 @@ from portdelta.llm.substring_dedup import without_repeats
 
 SF = "/root/testdata/sf0.001"
 MID = "/root/testdata/sf0.01"
+LARGE = "/root/testdata/sf0.1"
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -54,6 +55,14 @@ def test_quality_and_toxicity_on_held_out_rows(spark):
         assert sum(p == y for p, y in held) / len(held) >= least
 
 
+def test_toxic_documents_are_found_and_clean_ones_left_alone(spark):
+    rows = {r.doc_id: r for r in QUERIES["op9_toxicity"](spark, LARGE).collect()}
+    known = connect(LARGE).execute("SELECT doc_id, toxic FROM labels").fetchall()
+    held = [(rows[d].predicted, y) for d, y in known if rows[d].held_out]
+    assert sum(p for p, y in held if y) >= 0.9 * sum(y for _, y in held)
+    assert sum(p for p, y in held if not y) <= 10
+
+
 def test_mix_keeps_every_source_within_a_block(spark):
     rows = QUERIES["op5_pfair_mix"](spark, MID).collect()
     assert sorted(r.doc_id for r in rows) == list(range(1000))
