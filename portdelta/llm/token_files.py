@@ -32,8 +32,6 @@ from portdelta.ship import by_value
 
 _LENGTHS = np.stack([(np.arange(256) >> (2 * i) & 3) + 1 for i in range(4)], axis=1)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
-# Signs that make no piece with the letters before them, as an apostrophe may.
-_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _TOKENS = "doc_id long, start long, n_tokens long, control binary, data binary"
 
 
@@ -64,13 +62,6 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
 # --- tokenizing ----------------------------------------------------------------------------------------
 
 
-def _byte_names() -> dict[int, str]:
-    """How byte-level vocabularies write a byte: itself where it prints, else the next code above 255."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    spare = iter(range(256, 512))
-    return {b: chr(b) if b in set(plain) else chr(next(spare)) for b in range(256)}
-
-
 @dataclass
 class PieceEncoder:
     """Encodes texts piece by piece and remembers the pieces.
@@ -108,9 +99,10 @@ class PieceEncoder:
             and not told["model"].get("dropout")
         )
         self.special = [t["content"] for t in told.get("added_tokens", [])]
-        self.names = str.maketrans({chr(b): n for b, n in _byte_names().items()})
-        self.model = self.tokenizer.model
-        self.marks = dict(zip(".,\n", self._whole([".", ",", "\n"])))
+        # A piece holds no blank but its first character, so its first id is the only one that begins with a blank.
+        self.opens = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, bool)
+        self.opens[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
+        self.pieces = self.pieces and not any(" " in t or "Ġ" in t for t in self.special)
 
     def _bytes(self, ids: list[int]) -> bytes:
         return array("H" if self.kind == "<u2" else "I", ids).tobytes()
@@ -118,59 +110,42 @@ class PieceEncoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, p: str, blank: bool) -> bytes | None:
-        """Ids of letters and signs after them, behind a blank or a line end; None for other pieces.
-
-        Letters are one piece to the vocabulary, with the blank before them if there is one, and so are signs.
-        """
-        key = p if blank else "\n" + p
-        known = self.ids.get(key) or self.older.get(key)
-        if known is None:
-            stem = p.rstrip(_SIGNS)
-            tail = p[len(stem) :]
-            if not (stem.isalpha() and (stem.isascii() or max(stem) < "ɐ")):
-                return None
-            if tail:
-                if tail not in self.marks:
-                    self.marks[tail] = self._whole([tail])[0]
-                known = self._word(stem, blank) + self.marks[tail]
-            else:
-                named = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.names)
-                known = self._bytes([t.id for t in self.model.tokenize("Ġ" + named if blank else named)])
-        self.ids[key] = known
-        return known
+    def _cut(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece with a blank before it, from one text of all of them."""
+        raw = self._whole([" " + " ".join(pieces)])[0]
+        first = np.flatnonzero(self.opens[np.frombuffer(raw, self.kind)]) * np.dtype(self.kind).itemsize
+        ends = [*first[1:].tolist(), len(raw)]
+        return [raw[i:j] for i, j in zip(first.tolist(), ends)]
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: Iterable[str]) -> None:
         """Ids of pieces that are not known; what was known long ago is taken from the older half."""
         if len(self.ids) > self.most:
             self.ids, self.older = {}, self.ids
         rest = []
         for p in pieces:
-            if self._word(p, True) is not None:
-                continue
-            left, line_end, right = p.partition("\n")
-            first, second = (self._word(left, True), self._word(right, False)) if line_end else (None, None)
-            if first is not None and second is not None:
-                self.ids[p] = first + self.marks["\n"] + second
-            else:
+            known = self.older.get(p)
+            if known is None:
                 rest.append(p)
+            else:
+                self.ids[p] = known
         for at in range(0, len(rest), 5000):
             part = rest[at : at + 5000]
-            self.ids.update(zip(part, self._whole([" " + p for p in part])))
+            self.ids.update(zip(part, self._cut(part), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.pieces:
             return self._whole(texts)
-        cut = [t.split(" ") for t in texts]
-        wanted = set(chain.from_iterable(cut))
+        cut = [[t] if any(s in t for s in self.special) else t.split(" ") for t in texts]
+        wanted = set(chain.from_iterable(c[1:] for c in cut))
         if len(self.ids) <= self.most:
             wanted = wanted.difference(self.ids)
-        self._learn({p for p in wanted if p and ("!" <= p[0] <= "~" or "À" <= p[0] < "ࠀ")})
-        heads = self._whole([c[0] for c in cut])
+        self._learn(p for p in wanted if p and ("!" <= p[0] <= "~" or "À" <= p[0] < "ࠀ"))
         out = []
-        for text, c, head in zip(texts, cut, heads):
-            found = None if any(s in text for s in self.special) else list(map(self.ids.get, c[1:]))
-            out.append(self._whole([text])[0] if found is None or None in found else head + b"".join(found))
+        for text, c, head in zip(texts, cut, self._whole([c[0] for c in cut])):
+            try:
+                out.append(head + b"".join(map(self.ids.__getitem__, c[1:])))
+            except KeyError:
+                out.append(self._whole([text])[0])
         return out
 
 
