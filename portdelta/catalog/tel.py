@@ -1,4 +1,4 @@
-"""Telemetry derived row by row from the ``events`` table, as rows and as device messages.
+"""Telemetry derived row by row from the ``events`` table, as rows and as messages of network elements.
 
 All derivations are projections: the data grows with ``events`` and nothing is grouped or shuffled.
 """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Counter names as devices send them.
+# Counter names as network elements send them.
 INTERFACE_COUNTERS = [
     "carrier-transitions",
     "in-broadcast-pkts",
@@ -102,7 +102,7 @@ OUTPUT_COLUMNS = [
     "carrier_transitions",
 ]
 
-# Text fields around the payload of a device message.
+# Text fields around the payload of a message.
 MESSAGE_FIELDS = [
     "ucgMessage",
     "ucgSequenceNum",

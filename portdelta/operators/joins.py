@@ -96,7 +96,7 @@ _SAMPLE_KEY = ["devicename", "interface", "timestamp"]
 
 
 def join_speed(counters: DataFrame, speed: DataFrame) -> DataFrame:
-    """Counters and speed of the same device, interface and time; key columns appear once."""
+    """Counters and speed of the same network element, interface and time; key columns appear once."""
     return counters.join(speed, _SAMPLE_KEY, "inner")
 
 

@@ -34,7 +34,7 @@ def parse_value(df: DataFrame, schema: T.StructType, col: str = "value", keep: t
 
 
 def parse_head(df: DataFrame, col: str = "value") -> DataFrame:
-    """Device, source, type, time and the interface map as sent, without exploding it."""
+    """Network element, source, type, time and the interface map as sent, without exploding it."""
     return parse_value(df, SYSTEM_ENVELOPE, col).select(
         F.col("system.metaData.ucgDeviceName").alias("ucgDeviceName"),
         F.col("system.metaData.ucgSource").alias("ucgSource"),
@@ -55,7 +55,7 @@ def _reject_reason(parsed: Column) -> Column:
 
 
 def with_reject_reason(df: DataFrame, col: str = "value") -> DataFrame:
-    """Adds ``reject_reason``, NULL for a usable device message."""
+    """Adds ``reject_reason``, NULL for a usable message."""
     # The interface collection is only tested for presence, so its text is not parsed further.
     shape = struct_from(
         {
@@ -70,7 +70,7 @@ def with_reject_reason(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def validate_envelope(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """``(valid, rejected)``: messages with device, data and interfaces, and all others with a reason."""
+    """``(valid, rejected)``: messages with network element, data and interfaces, and all others with a reason."""
     checked = with_reject_reason(df, col)
     valid = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return valid, checked.where(F.col("reject_reason").isNotNull())
