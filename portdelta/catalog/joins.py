@@ -247,7 +247,7 @@ def self_join(spark, sf):
 def _thresholds(spark, sf):
     names = F.array(*[F.lit(d) for d in _DEVICES])
     return table(spark, sf, "region").select(
-        F.element_at(names, F.col("r_regionkey").cast("int") + 1).alias("key"),
+        F.get(names, F.col("r_regionkey").cast("int")).alias("key"),
         (F.col("r_regionkey") * 1000).cast("string").alias("value"),
     ).where(F.col("key") != "dev-view")
 
