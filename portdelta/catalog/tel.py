@@ -94,14 +94,16 @@ def spread_tel(spark: SparkSession, sf: str) -> DataFrame:
     return shape_events(table(spark, sf, "events").repartition(pieces))
 
 
-# Micro-batches of a stream, and files of each.
-_BATCHES, _FILES = 4, 2
+# Micro-batches of a stream, files of each at least, and rows of a file in larger tables.
+_BATCHES, _FILES, _FILE_ROWS = 4, 2, 20_000
 
 
 def stream_events(spark: SparkSession, sf: str, jitter_seconds: int = 0) -> DataFrame:
     """``events`` as a file stream of several micro-batches, in the order of time.
 
     With ``jitter_seconds`` an event comes up to that much later, by its number, so batches overlap in time.
+    A micro-batch has more files the larger the table is, so that it is read by as many tasks as there are cores.
+    All have the same number of files, as the source counts files; parts without rows write none.
     """
     events = table(spark, sf, "events")
     comes = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(jitter_seconds * 1_000_000 + 1))
@@ -109,10 +111,13 @@ def stream_events(spark: SparkSession, sf: str, jitter_seconds: int = 0) -> Data
     cuts = events.approxQuantile("_us", [i / _BATCHES for i in range(1, _BATCHES)], 0.01)
     path = fresh_path(spark, "events")
     late = F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: F.col("_us") > c))
-    for i in range(_BATCHES):
-        part = events.where(F.coalesce(late, F.lit(0)) == i).drop("_us")
-        part.repartition(_FILES).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(events.drop("_us").schema).option("maxFilesPerTrigger", _FILES)
+    events = events.withColumn("_part", F.coalesce(late, F.lit(0)))
+    sizes = {r["_part"]: r["count"] for r in events.groupBy("_part").count().collect()}
+    files = max(_FILES, min(sizes.values(), default=0) // _FILE_ROWS)
+    for i in sorted(sizes) or [0]:
+        part = events.where(F.col("_part") == i).drop("_us", "_part")
+        part.repartition(files).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.drop("_us", "_part").schema).option("maxFilesPerTrigger", files)
     return stream.parquet(path)
 
 

@@ -410,3 +410,36 @@ def test_counts_of_each_micro_batch_come_from_the_listener(spark, feed):
     assert counts.rows["counted"] == {0: {"read": 3, "kept": 2}, 1: {"read": 1, "kept": 1}}
     assert [t[1] for t in told] == [0, 1] and counts.ended[str(query.id)] is None
     assert spark.read.parquet(out).count() == 3
+
+
+def _staged_batches(spark, tmp_path, monkeypatch, events):
+    """Files that ``stream_events`` wrote, and the event numbers of each micro-batch."""
+    from portdelta.catalog import tel
+
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(tel, "fresh_path", lambda spark, label: f"{tmp_path}/staged")
+    stream, batches = tel.stream_events(spark, str(tmp_path)), []
+    sink = lambda batch, n: batches.append(sorted(r[0] for r in batch.select("event_id").collect()))
+    start_stream(stream, None, {}, f"{tmp_path}/state", NOW, batch_sink=sink).awaitTermination()
+    return len(list((tmp_path / "staged").glob("*.parquet"))), [b for b in batches if b]
+
+
+def _events(spark, n, second):
+    return spark.range(0, n, 1, 3).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(second).alias("ts"), F.lit(1).cast("long").alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value")
+    )
+
+
+def test_micro_batches_of_a_larger_table_have_more_files(spark, tmp_path, monkeypatch):
+    n = 360_000
+    files, batches = _staged_batches(spark, tmp_path, monkeypatch, _events(spark, n, F.col("id")))
+    assert files >= 16
+    assert [x for b in batches for x in b] == list(range(n))
+    assert len(batches) == 4
+
+
+def test_parts_without_events_do_not_shift_the_micro_batches(spark, tmp_path, monkeypatch):
+    # Two quartiles of the times are the same, so that one part has no events.
+    files, batches = _staged_batches(spark, tmp_path, monkeypatch, _events(spark, 1000, F.greatest(F.col("id"), F.lit(600))))
+    assert [x for b in batches for x in b] == list(range(1000))
+    assert files == 2 * len(batches)
