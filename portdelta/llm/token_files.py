@@ -42,22 +42,68 @@ _TOKENS = "doc_id long, start long, n_tokens long, control binary, data binary"
 
 def encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes, four lengths each, and data bytes, low byte first."""
-    ranks = np.asarray(ranks, "<u4")
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    lengths = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    lengths[: len(ranks)] = extra
-    control = (lengths.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
-    return control.tobytes(), data.tobytes()
+    control, data = encode_all(np.asarray(ranks, "<u4"), np.array([len(ranks)]))
+    return control[0].as_py(), data[0].as_py()
 
 
 def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    at = np.cumsum(lengths) - lengths
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
-    value = raw[at] if n else np.zeros(0, np.uint32)
-    for k in (1, 2, 3):
-        value = value | raw[at + k] << np.uint32(8 * k) if n else value
+    return decode_all(pa.array([control], pa.binary()), pa.array([data], pa.binary()), np.array([n]))
+
+
+def _places(n: np.ndarray) -> tuple[np.ndarray, int]:
+    """Where each rank's length stands if every document begins a new control byte, and how many places there are."""
+    padded = -(-n // 4) * 4
+    shift = (np.cumsum(padded) - padded) - (np.cumsum(n) - n)
+    return np.arange(int(n.sum())) + np.repeat(shift, n), int(padded.sum())
+
+
+def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """One binary value of each size, out of the bytes of all."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    narrow = ends[-1] < 2**31
+    offsets = pa.py_buffer(ends.astype(np.int32 if narrow else np.int64))
+    out = pa.Array.from_buffers(pa.binary() if narrow else pa.large_binary(), len(sizes), [None, offsets, pa.py_buffer(np.ascontiguousarray(data))])
+    return out if narrow else out.cast(pa.binary())
+
+
+def _joined(values: pa.Array) -> np.ndarray:
+    """The bytes of all values of a binary column."""
+    wide = np.int64 if pa.types.is_large_binary(values.type) else np.int32
+    offsets = np.frombuffer(values.buffers()[1], wide)[values.offset : values.offset + len(values) + 1]
+    data = values.buffers()[2]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and len(values) else np.zeros(0, np.uint8)
+
+
+def encode_all(ranks: np.ndarray, n: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Control and data of several documents of ``n`` ranks each, as ``encode`` gives them one by one."""
+    ranks = np.asarray(ranks, "<u4")
+    extra = (ranks > 0xFF).astype(np.uint8)
+    most = int(ranks.max(initial=0))
+    for top in (0xFFFF, 0xFFFFFF):
+        if most > top:
+            extra += ranks > top
+    at, places = _places(n)
+    lengths = np.zeros(places, np.uint8)
+    lengths[at] = extra
+    four = lengths.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << np.uint8(2) | four[:, 2] << np.uint8(4) | four[:, 3] << np.uint8(6)
+    wide = ranks.astype("<u2") if most <= 0xFFFF else ranks
+    width = wide.dtype.itemsize
+    data = wide.view(np.uint8).reshape(-1, width)[np.arange(width) <= extra[:, None]]
+    ends = np.concatenate([[0], np.cumsum(extra, dtype=np.int64) + np.arange(1, len(extra) + 1)])
+    stop = np.cumsum(n)
+    return _binaries(control, -(-n // 4)), _binaries(data, ends[stop] - ends[stop - n])
+
+
+def decode_all(control: pa.Array, data: pa.Array, n: np.ndarray) -> np.ndarray:
+    """The ranks of several documents, one after the other."""
+    at, _ = _places(n)
+    lengths = _LENGTHS[_joined(control)].reshape(-1)[at]
+    first = np.cumsum(lengths) - lengths
+    raw = np.concatenate([_joined(data), np.zeros(3, np.uint8)])
+    value = raw[first].astype(np.uint32)
+    for k in range(1, int(lengths.max(initial=1))):
+        value |= raw[first + k].astype(np.uint32) << np.uint32(8 * k)
     return value & _MASKS[lengths]
 
 
@@ -201,7 +247,7 @@ def _counted(kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            seen = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind))
+            seen = np.bincount(_joined(batch.column("ids")).view(kind))
             if len(seen) > len(total):
                 total, seen = seen, total
             total[: len(seen)] += seen
@@ -215,15 +261,15 @@ def _packed(kind: str, rank_of, starts: dict[int, int]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = rank_of.value
         for batch in batches:
-            coded = [encode(ranks[np.frombuffer(x, kind)]) for x in batch.column("ids").to_pylist()]
+            control, data = encode_all(ranks[_joined(batch.column("ids")).view(kind)], batch.column("n_tokens").to_numpy())
             first = np.array([starts[p] for p in batch.column("part").to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(first + batch.column("start").to_numpy()),
                     batch.column("n_tokens"),
-                    pa.array([c for c, _ in coded], pa.binary()),
-                    pa.array([d for _, d in coded], pa.binary()),
+                    control,
+                    data,
                     batch.column("part"),
                 ],
                 names=["doc_id", "start", "n_tokens", "control", "data", "part"],
@@ -272,8 +318,9 @@ def _unpacked(id_of):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = id_of.value
         for batch in batches:
-            rows = zip(batch.column("control").to_pylist(), batch.column("data").to_pylist(), batch.column("n_tokens").to_pylist())
-            crc = [zlib.crc32(ids[decode(c, d, n)].tobytes()) for c, d, n in rows]
+            n = batch.column("n_tokens").to_numpy()
+            tokens = ids[decode_all(batch.column("control"), batch.column("data"), n)]
+            crc = [zlib.crc32(tokens[stop - size : stop]) for stop, size in zip(np.cumsum(n).tolist(), n.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(crc, pa.int64())],
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],
@@ -305,8 +352,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("control").to_pylist(), batch.column("data").to_pylist(), batch.column("n_tokens").to_pylist())
-            tokens = pa.array([ids.value[decode(c, d, n)].astype(np.int64) for c, d, n in rows], pa.list_(pa.int64()))
+            n = batch.column("n_tokens").to_numpy()
+            tokens = ids.value[decode_all(batch.column("control"), batch.column("data"), n)].astype(np.int64)
+            tokens = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), tokens)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), tokens], names=["doc_id", "start", "tokens"])
 
     files = spark.read.schema(_TOKENS).parquet(f"{path}/tokens").select("doc_id", "start", "n_tokens", "control", "data")

@@ -23,7 +23,7 @@ from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.secrets import find_secrets, scan_secrets
 from portdelta.llm.substring_dedup import chunks, repeated_passages, with_runs, without_repeats
 from portdelta.llm.text import buffers, words
-from portdelta.llm.token_files import PieceEncoder, decode, encode, read_tokens, token_folder, write_tokens
+from portdelta.llm.token_files import PieceEncoder, decode, decode_all, encode, encode_all, read_tokens, token_folder, write_tokens
 from portdelta.llm.toxicity import COUNTS, _best_limits, _candidates, Decoder, character_model, fit_toxicity, readings, reject_toxic, score_toxicity, suspects
 
 
@@ -293,6 +293,21 @@ def test_pieces_give_the_ids_of_the_whole(texts):
     assert encoder.encode(texts) == want
 
 
+def test_documents_are_coded_together_as_one_by_one():
+    several = [[], [7], [255, 256, 65_535, 65_536, 2**24 - 1], [2**24, 2**32 - 1, 0, 1], [], [300] * 9]
+    for docs in (several, [[1, 2, 3], [40_000], []], [[], []], []):
+        ranks, n = np.array([x for d in docs for x in d], "<u4"), np.array([len(d) for d in docs], np.int64)
+        control, data = encode_all(ranks, n)
+        by_hand = []
+        for d in docs:
+            sizes = [max(1, -(-x.bit_length() // 8)) - 1 for x in d] + [0] * (-len(d) % 4)
+            by_hand.append((bytes(sum(s << 2 * i for i, s in enumerate(sizes[at : at + 4])) for at in range(0, len(sizes), 4)), b"".join(x.to_bytes(s + 1, "little") for x, s in zip(d, sizes))))
+        assert list(zip(control.to_pylist(), data.to_pylist())) == by_hand
+        assert decode_all(control, data, n).tolist() == ranks.tolist()
+        # A piece of a longer column is read from where it begins.
+        assert decode_all(control[1:], data[1:], n[1:]).tolist() == [x for d in docs[1:] for x in d]
+
+
 _ENCODERS: list[PieceEncoder] = []
 
 
