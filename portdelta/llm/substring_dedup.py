@@ -5,17 +5,19 @@ last 21 bytes only, so text put in before a passage moves no chunk inside it. A
 as one that repeats a short string, is cut where the smallest hash for a while stands. Chunks of twelve bytes or more
 go by their digest to the first document that has them. Chunks that a document shares with the same other
 one at the same distance are one alignment; along it both texts are compared and equal stretches of enough
-words are repeats of the earlier document.
+words are repeats of the earlier document. Beside a chunk stand hashes of the words before and behind it: where
+both differ, no equal stretch around it can be long enough, and the texts are not brought together for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portdelta.llm.staging import key_bitmap, small_batches, staged
@@ -26,6 +28,7 @@ _GEAR = np.random.Generator(np.random.PCG64(1)).integers(0, 2**32, 256, dtype=np
 #: Bits 16 to 20 of the hash; bit k has met the last k + 1 bytes.
 _MASK = np.uint32(0x1F0000)
 _LEAST_CHUNK, _LONG, _INNER = 12, 256, 48
+_ID_BITS = 20
 _SPACE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
 _SPANS = "doc_id long, start long, end long, n_words long, first_doc_id long, first_start long"
 
@@ -109,6 +112,46 @@ def with_runs(digest: np.ndarray, start: np.ndarray, end: np.ndarray, marked: np
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def surroundings(data: np.ndarray, pieces: tuple[np.ndarray, np.ndarray], single: tuple[np.ndarray, np.ndarray], min_words: int) -> tuple[np.ma.MaskedArray, np.ma.MaskedArray]:
+    """Hashes of the bytes that the nearest words before and behind each piece of a text reach over.
+
+    Pieces are chunks, of which ``single`` has all, and runs of them. The hashes take half as many words on either
+    side as the piece, parts of words included, lacks of ``min_words``. If two texts share a piece and its size,
+    an equal stretch of ``min_words`` whole words that touches it goes that far on one side at least, so they have
+    one of the hashes in common. Between the chunks of a run there may be bytes that differ: they count as the most
+    words so many bytes can touch, which is the same in both texts. Masked where the text has fewer words there;
+    both 0, as no hash is, if the piece alone may do, or if it touches an empty chunk, as a long stretch may leave.
+    """
+    start, end = pieces
+    empty = np.sort(single[0][single[0] == single[1]])
+    single = tuple(x[single[0] < single[1]] for x in single)
+    inside = np.concatenate([[False], ~_SPACE[data], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    first, stop = edges[::2], edges[1::2]
+    before, behind = np.searchsorted(stop, start, side="right"), np.searchsorted(first, end, side="left")
+    order = np.argsort(single[0], kind="stable")
+    c_start, c_end = single[0][order], single[1][order]
+    own = np.searchsorted(first, c_end, side="left") - np.searchsorted(stop, c_start, side="right")
+    n_words, n_bytes = (np.concatenate([[0], np.cumsum(x)]) for x in (own, c_end - c_start))
+    i, j = np.searchsorted(c_start, start, side="left"), np.searchsorted(c_end, end, side="right")
+    between = end - start - (n_bytes[j] - n_bytes[i])
+    most = np.where(between == 0, behind - before, n_words[j] - n_words[i] + (between + j - i - 1) // 2)
+    unclear = np.searchsorted(empty, start, side="left") != np.searchsorted(empty, end, side="right")
+    need = np.where(unclear, 0, -(-(min_words - most) // 2))
+    powers = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * powers.up[: len(data)], dtype=np.uint64, out=sums[1:])
+
+    def hashed(a: np.ndarray, b: np.ndarray, short: np.ndarray) -> np.ma.MaskedArray:
+        h = (mixed((sums[b] - sums[a]) * powers.down[a] + (b - a).astype(np.uint64)) >> np.uint64(33)).astype(np.int32)
+        return np.ma.array(np.where(need > 0, np.maximum(h, 1), 0), mask=short & (need > 0), dtype=np.int32)
+
+    far, near = before - need, behind + need - 1
+    left = hashed(np.append(first, 0)[np.clip(far, 0, len(first))], start, far < 0)
+    right = hashed(end, np.maximum(np.append(stop, 0)[np.clip(near, 0, len(stop))], end), near >= len(stop))
+    return left, right
+
+
 def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's different chunks."""
     for batch in batches:
@@ -120,29 +163,48 @@ def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(owner), pa.array(every.view(np.int64))], names=["doc_id", "digest"])
 
 
-def _chunked(sent: Broadcast, bits: int):
+def _set(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the bit of each key is set in a bitmap of ``2 ** bits`` bits."""
+    at = keys >> np.uint64(64 - bits)
+    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def _chunked(sent: Broadcast, bits: int, again: Broadcast, min_words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = sent.value
         for batch in batches:
             for part in slices(batch):
                 data, offsets = buffers(part.column("text"))
-                found = []
+                found, left, right = [], [], []
+                # A row of an id that repeats may not be the one that stays, so its words say nothing.
+                unsure = _set(again.value, _id_keys(part.column("doc_id")), _ID_BITS)
                 # Hashes must not see the text before: each text is rolled over alone.
-                for a, b in zip(offsets[:-1], offsets[1:]):
+                for a, b, free in zip(offsets[:-1], offsets[1:], unsure):
                     digest, start, end = chunks(data[a:b])
-                    at = digest >> np.uint64(64 - bits)
-                    marked = (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                    found.append(with_runs(digest, start, end, marked))
+                    found.append(with_runs(digest, start, end, _set(bitmap, digest, bits)))
+                    sides = [np.ma.zeros(len(found[-1][0]), np.int32)] * 2 if free or not len(found[-1][0]) else surroundings(data[a:b], found[-1][1:], (start, end), min_words)
+                    left.append(sides[0])
+                    right.append(sides[1])
                 owner = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
                 digest, start, end = (np.concatenate([np.zeros(0, t), *(f[i] for f in found)]) for i, t in enumerate((np.uint64, np.int64, np.int64)))
+                sides = [pa.array(x.data, mask=np.ma.getmaskarray(x)) for x in (np.ma.concatenate([np.ma.zeros(0, np.int32), *left]), np.ma.concatenate([np.ma.zeros(0, np.int32), *right]))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(owner), pa.array(digest.view(np.int64)), pa.array(start), pa.array((end - start).astype(np.int32))],
-                    names=["doc_id", "digest", "start", "size"],
+                    [part.column("doc_id").take(owner), pa.array(digest.view(np.int64)), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), *sides],
+                    names=["doc_id", "digest", "start", "size", "left", "right"],
                 )
 
     return run
 
 
+def _id_keys(ids: pa.Array) -> np.ndarray:
+    return mixed(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) + np.uint64(0x5BD1))
+
+
+def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_id_keys(batch.column("doc_id")).view(np.int64))], names=["key"])
+
+
 def equal_stretches(a: bytes, b: bytes, shift: int, lo: int, hi: int, min_words: int) -> list[tuple[int, int, int]]:
     """Stretches of ``a`` that equal ``b`` ``shift`` bytes before, near ``lo`` to ``hi``, cut to whole words.
 
@@ -207,20 +269,28 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, min_shared: int = _L
     an empty result. A chunk that very many documents have is a pre-aggregated minimum and then one side of
     a join that adaptive execution can split. Chunks that two documents have are marked first, in a bitmap of
     ``2 ** bits`` bits (26: 8 MB), so that what only one document has takes no part in the join; with more
-    such chunks than the bitmap can keep apart the result is the same and more rows are joined. The distances
+    such chunks than the bitmap can keep apart the result is the same and more rows are joined. Two texts are
+    only brought together if the words beside a shared chunk (``surroundings``) or the room between two of them
+    allow for a passage; that loses none. The distances
     of two documents, at most as many as one has chunks and runs, are one row beside their texts.
     """
     small_batches(docs.sparkSession)
     texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spread = texts.mapInArrow(_digests, "doc_id long, digest long").groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     sent = docs.sparkSession.sparkContext.broadcast(key_bitmap(spread.where("lo < hi").select(F.col("digest").alias("key")), bits))
-    pieces = texts.mapInArrow(_chunked(sent, bits), "doc_id long, digest long, start long, size int")
-    place = F.struct("doc_id", "start")
+    repeated = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("count > 1").select("doc_id")
+    again = docs.sparkSession.sparkContext.broadcast(key_bitmap(repeated.mapInArrow(_keyed, "key long"), _ID_BITS))
+    pieces = texts.mapInArrow(_chunked(sent, bits, again, min_words), "doc_id long, digest long, start int, size int, left int, right int")
+    place = F.struct("doc_id", "start", "left", "right", "size")
     first = pieces.groupBy("digest").agg(F.min(place).alias("first"), F.max("doc_id").alias("last_doc")).where("last_doc > first.doc_id")
-    shared = pieces.join(first.select("digest", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start")), "digest")
-    shared = shared.where("doc_id > first_doc_id").withColumn("shift", F.col("start") - F.col("first_start"))
-    aligned = shared.groupBy("doc_id", "first_doc_id", "shift").agg(F.min("start").alias("lo"), F.max(F.col("start") + F.col("size")).alias("hi"), F.sum("size").alias("n"))
-    aligned = staged(aligned.where(f"n >= {min_shared}").drop("n"), "aligned")
+    shared = pieces.join(first.select("digest", *[F.col(f"first.{c}").alias(f"first_{c}") for c in ("doc_id", "start", "left", "right", "size")]), "digest")
+    shared = shared.where("doc_id > first_doc_id").withColumn("shift", (F.col("start") - F.col("first_start")).cast("long"))
+    alike = reduce(Column.__or__, [(F.col(c) == F.col(f"first_{c}")) | (F.col(c) == 0) | (F.col(f"first_{c}") == 0) for c in ("left", "right")], F.col("size") != F.col("first_size"))
+    reach = [F.min("start").cast("long").alias("lo"), F.max(F.col("start") + F.col("size")).cast("long").alias("hi"), F.sum("size").alias("n")]
+    aligned = shared.groupBy("doc_id", "first_doc_id", "shift").agg(*reach, F.max("size").alias("most"), F.max(F.coalesce(alike, F.lit(False))).alias("alike"))
+    # Around no chunk, a stretch may still stand between two of them; its words and the gaps need so many bytes.
+    aligned = aligned.where((F.col("n") >= min_shared) & (F.col("alike") | (F.col("hi") - F.col("lo") - F.col("most") >= 2 * min_words - 1)))
+    aligned = staged(aligned.select("doc_id", "first_doc_id", "shift", "lo", "hi"), "aligned")
     ids = aligned.select("doc_id").union(aligned.select("first_doc_id")).distinct()
     wanted = staged(texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     places = aligned.groupBy("doc_id", "first_doc_id").agg(F.collect_list(F.struct("shift", "lo", "hi")).alias("places"))

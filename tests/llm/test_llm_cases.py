@@ -386,6 +386,58 @@ def test_one_short_shared_chunk_is_enough(odd_docs):
     assert 12 <= both < 48 and [(r.doc_id, r.first_doc_id, r.n_words >= 50) for r in got] == [(2, 1, True)]
 
 
+def test_texts_meet_only_where_a_passage_may_stand(odd_docs, monkeypatch):
+    from portdelta.llm import substring_dedup
+
+    rng = np.random.default_rng(3)
+
+    def prose(n):
+        return " ".join(f"{x:x}" for x in rng.integers(0, 2**40, n))
+
+    met, keep = [], substring_dedup.staged
+    monkeypatch.setattr(substring_dedup, "staged", lambda df, label: met.append((label, keep(df, label))) or met[-1][1])
+    line, left, right = prose(16), prose(49), prose(49)
+    # A line of 16 words is no passage; 49 words on one side of a changed word are none, and 50 are.
+    rows = [(1, f"{prose(60)} {line} {prose(60)}", "s"), (2, f"{prose(60)} {line} {prose(60)}", "s"), (3, f"x1 {left} x2 y1 {right} y2", "s"), (4, f"x3 {left} x4 y1 {right} y4", "s")]
+    # The text that sorts first stays of an id that repeats, so the other one's words may not hide the passage.
+    rows += [(5, f"b {prose(20)} {line} {right} {left} {prose(20)}", "s"), (6, f"z {prose(5)} {line} {prose(5)}", "s"), (6, f"a {prose(5)} {line} {right} {left} {prose(5)}", "s")]
+    got = {(r.doc_id, r.first_doc_id, r.n_words) for r in repeated_passages(odd_docs(rows)).collect()}
+    aligned = {(r.doc_id, r.first_doc_id) for r in dict(met)["aligned"].collect()}
+    assert {(4, 3, 50), (6, 5, 98)} <= {(a, b, n) if a == 4 else (a, b, 98) for a, b, n in got if n >= 50}
+    assert (2, 1) not in aligned and (2, 1) not in {g[:2] for g in got}
+
+
+def test_words_beside_a_run_with_a_changed_gap_hide_no_passage():
+    from portdelta.llm.substring_dedup import equal_stretches, surroundings
+
+    rng = np.random.default_rng(21)
+    seen = 0
+    for _ in range(1500):
+        sides, middle = ["".join(rng.choice(list("ab  "), 70)) for _ in range(2)], ["".join(rng.choice(list("ab  "), n)) for n in (16, 9, 16)]
+        b = [sides[0], *middle, sides[1]]
+        at = int(rng.integers(0, 5))
+        b[at] = "".join(rng.choice(list("ab  "), len(b[at]))) if rng.random() < 0.8 else b[at]
+        b[2] = "".join(rng.choice(list("ab  "), 9)) if rng.random() < 0.5 else b[2]
+        b[1], b[3] = middle[0], middle[2]
+        x, y = "".join([sides[0], *middle, sides[1]]).encode(), "".join(b).encode()
+        single = np.array([70, 95]), np.array([86, 111])
+        found = [surroundings(np.frombuffer(t, np.uint8), (np.array([70]), np.array([111])), single, 25) for t in (x, y)]
+        alike = any(bool((one == two).filled(False).any() | (one == 0).filled(False).any()) for one, two in zip(*found))
+        hit = bool(equal_stretches(x, y, 0, 70, 111, 25))
+        seen += hit
+        assert alike or not hit
+    assert seen > 100
+
+
+def test_a_piece_at_an_empty_chunk_is_never_left_out():
+    from portdelta.llm.substring_dedup import surroundings
+
+    data = np.frombuffer(("of " * 40 + "thste dou").encode(), np.uint8)
+    single = np.array([120, 120, 60]), np.array([129, 120, 120])
+    left, right = surroundings(data, (np.array([60, 0]), np.array([120, 30])), single, 50)
+    assert left.tolist()[0] == right.tolist()[0] == 0 and right.tolist()[1] > 0
+
+
 def test_names_are_followed_in_the_order_of_the_text():
     import time
 
