@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from portdelta.llm.calibrate import pooled
 from portdelta.llm.components import components
 from portdelta.llm.decontaminate import _item_keys, contained_items, size_class, window_keys
-from portdelta.llm.line_dedup import line_summary, without_similar_lines
+from portdelta.llm.line_dedup import line_summary, lines_of, linked_sets, without_similar_lines
 from portdelta.llm.mixing import earliest_deadlines, mix_sources, whole_weights
 from portdelta.llm.near_dedup import near_duplicates
 from portdelta.llm.neighbours import nearest
 from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.secrets import find_secrets, scan_secrets
+from portdelta.llm.staging import recorded
 from portdelta.llm.substring_dedup import chunks, repeated_passages, with_runs, without_repeats
 from portdelta.llm.text import buffers, words
 from portdelta.llm.token_files import PieceEncoder, decode, decode_all, encode, encode_all, read_tokens, token_folder, write_tokens
@@ -87,6 +88,44 @@ def test_line_dedup_odd_rows(odd_docs, odd_rows):
     assert line_summary(odd_docs([])).collect() == []
 
 
+def test_lines_of_a_template_write_no_pairs(spark):
+    # Every two of the lines share 11 of 13 words.
+    docs = spark.createDataFrame([(d, "\n".join(f"page {10 * d + i} of the long report on all that was found" for i in range(10)), "s") for d in range(90)], "doc_id long, text string, source string")
+    paths: list[str] = []
+    with recorded(paths):
+        got = line_summary(docs).collect()
+    assert {(r.n_lines, r.n_links) for r in got} == {(10, 8990)} and sorted(r.n_removed for r in got) == [9] + [10] * 89
+    assert paths and max(spark.read.parquet(p).count() for p in paths) < 20 * 900
+
+
+@pytest.mark.parametrize("most", [7])
+def test_links_are_those_of_all_pairs(spark, most):
+    rng = np.random.default_rng(most)
+    lines = []
+    for size in (1, 3, 4, 5, 6, 9, 10, 20, 48, 160, 330):
+        for _ in range(6):
+            base = rng.integers(0, 4000 if size > 9 else 14, size)
+            for _ in range(8):
+                other = base[rng.random(size) < 0.97]
+                lines.append(" ".join(f"w{x}" for x in [*other, *rng.integers(0, 4000, rng.integers(0, 1 + size // 9))]))
+    rng.shuffle(lines)
+    docs = spark.createDataFrame([(d, "\n".join(lines[d::40])) for d in range(40)], "doc_id long, text string")
+    found, counts = lines_of(docs)
+    first = found.groupBy("set_key").agg(F.min(F.struct("doc_id", "line")).alias("first"))
+    got = {tuple(r.first): (r.n_links, tuple(r.near)) for r in linked_sets(docs, first, counts, often=30, most=most).join(first, "set_key").collect()}
+    sets = {}
+    for d in range(40):
+        for i, x in enumerate(lines[d::40]):
+            if x:
+                sets.setdefault(frozenset(x.split()), (d, i))
+    want = {}
+    for a, at in sets.items():
+        near = [k for b, k in sets.items() if a != b and 100 * len(a & b) >= 80 * len(a | b)]
+        if near:
+            want[at] = (len(near), min(near))
+    assert got == want and len(want) > 100
+
+
 def test_repeated_passages_odd_rows(odd_docs, odd_rows):
     got = repeated_passages(odd_docs(odd_rows)).collect()
     assert {(r.doc_id, r.first_doc_id) for r in got} == {(5, 4)} and max(r.n_words for r in got) == 60_000
