@@ -42,7 +42,6 @@ def gear(data: np.ndarray) -> np.ndarray:
     age = 1
     while age < 32:
         before = h[:-age] << np.uint32(age)
-        h = h.copy()
         h[age:] += before
         age *= 2
     return h
@@ -67,17 +66,23 @@ def _inner_cuts(h: np.ndarray, start: int, end: int) -> list[int]:
     return out
 
 
-def chunks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Sums of the bytes' numbers up to each byte, each times the power of its place."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * _power_tables(len(data) + 1).up[: len(data)], dtype=np.uint64, out=sums[1:])
+    return sums
+
+
+def chunks(data: np.ndarray, sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Digest, first byte and end of the chunks of one text; short chunks are left out.
 
-    Of equal chunks inside one long stretch only the first is given.
+    Of equal chunks inside one long stretch only the first is given. ``sums`` are the text's ``_prefix_sums``.
     """
+    sums = _prefix_sums(data) if sums is None else sums
     h = gear(data)
     at = np.flatnonzero(np.concatenate([[True], (h[:-1] & _MASK) == 0, [True]])) if len(data) else np.zeros(1, int)
     start, end = at[:-1], at[1:]
     powers = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * powers.up[: len(data)], dtype=np.uint64, out=sums[1:])
 
     def digests(first: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mixed((sums[stop] - sums[first]) * powers.down[first] + (stop - first).astype(np.uint64))
@@ -112,7 +117,10 @@ def with_runs(digest: np.ndarray, start: np.ndarray, end: np.ndarray, marked: np
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def surroundings(data: np.ndarray, pieces: tuple[np.ndarray, np.ndarray], single: tuple[np.ndarray, np.ndarray], min_words: int) -> tuple[np.ma.MaskedArray, np.ma.MaskedArray]:
+_Sides = tuple[np.ndarray, np.ndarray]
+
+
+def surroundings(data: np.ndarray, pieces: _Sides, single: _Sides, min_words: int) -> tuple[np.ma.MaskedArray, np.ma.MaskedArray]:
     """Hashes of the bytes that the nearest words before and behind each piece of a text reach over.
 
     Pieces are chunks, of which ``single`` has all, and runs of them. The hashes take half as many words on either
@@ -122,6 +130,12 @@ def surroundings(data: np.ndarray, pieces: tuple[np.ndarray, np.ndarray], single
     words so many bytes can touch, which is the same in both texts. Masked where the text has fewer words there;
     both 0, as no hash is, if the piece alone may do, or if it touches an empty chunk, as a long stretch may leave.
     """
+    left, right = _beside(data, pieces, single, min_words, _prefix_sums(data))
+    return np.ma.array(left[0], mask=left[1]), np.ma.array(right[0], mask=right[1])
+
+
+def _beside(data: np.ndarray, pieces: _Sides, single: _Sides, min_words: int, sums: np.ndarray) -> tuple[_Sides, _Sides]:
+    """``surroundings`` as hashes and masks apart; ``sums`` are the text's ``_prefix_sums``."""
     start, end = pieces
     empty = np.sort(single[0][single[0] == single[1]])
     single = tuple(x[single[0] < single[1]] for x in single)
@@ -136,16 +150,16 @@ def surroundings(data: np.ndarray, pieces: tuple[np.ndarray, np.ndarray], single
     i, j = np.searchsorted(c_start, start, side="left"), np.searchsorted(c_end, end, side="right")
     between = end - start - (n_bytes[j] - n_bytes[i])
     most = np.where(between == 0, behind - before, n_words[j] - n_words[i] + (between + j - i - 1) // 2)
-    unclear = np.searchsorted(empty, start, side="left") != np.searchsorted(empty, end, side="right")
-    need = np.where(unclear, 0, -(-(min_words - most) // 2))
+    need = -(-(min_words - most) // 2)
+    if len(empty):
+        need[np.searchsorted(empty, start, side="left") != np.searchsorted(empty, end, side="right")] = 0
     powers = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * powers.up[: len(data)], dtype=np.uint64, out=sums[1:])
 
-    def hashed(a: np.ndarray, b: np.ndarray, short: np.ndarray) -> np.ma.MaskedArray:
+    def hashed(a: np.ndarray, b: np.ndarray, short: np.ndarray) -> _Sides:
         h = (mixed((sums[b] - sums[a]) * powers.down[a] + (b - a).astype(np.uint64)) >> np.uint64(33)).astype(np.int32)
-        return np.ma.array(np.where(need > 0, np.maximum(h, 1), 0), mask=short & (need > 0), dtype=np.int32)
+        return np.where(lacks, np.maximum(h, 1), np.int32(0)), short & lacks
 
+    lacks = need > 0
     far, near = before - need, behind + need - 1
     left = hashed(np.append(first, 0)[np.clip(far, 0, len(first))], start, far < 0)
     right = hashed(end, np.maximum(np.append(stop, 0)[np.clip(near, 0, len(stop))], end), near >= len(stop))
@@ -180,14 +194,17 @@ def _chunked(sent: Broadcast, bits: int, again: Broadcast, min_words: int):
                 unsure = _set(again.value, _id_keys(part.column("doc_id")), _ID_BITS)
                 # Hashes must not see the text before: each text is rolled over alone.
                 for a, b, free in zip(offsets[:-1], offsets[1:], unsure):
-                    digest, start, end = chunks(data[a:b])
+                    sums = _prefix_sums(data[a:b])
+                    digest, start, end = chunks(data[a:b], sums)
                     found.append(with_runs(digest, start, end, _set(bitmap, digest, bits)))
-                    sides = [np.ma.zeros(len(found[-1][0]), np.int32)] * 2 if free or not len(found[-1][0]) else surroundings(data[a:b], found[-1][1:], (start, end), min_words)
+                    n = len(found[-1][0])
+                    sides = [(np.zeros(n, np.int32), np.zeros(n, bool))] * 2 if free or not n else _beside(data[a:b], found[-1][1:], (start, end), min_words, sums)
                     left.append(sides[0])
                     right.append(sides[1])
                 owner = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
                 digest, start, end = (np.concatenate([np.zeros(0, t), *(f[i] for f in found)]) for i, t in enumerate((np.uint64, np.int64, np.int64)))
-                sides = [pa.array(x.data, mask=np.ma.getmaskarray(x)) for x in (np.ma.concatenate([np.ma.zeros(0, np.int32), *left]), np.ma.concatenate([np.ma.zeros(0, np.int32), *right]))]
+                none = (np.zeros(0, np.int32), np.zeros(0, bool))
+                sides = [pa.array(values, mask=mask) for values, mask in ((np.concatenate(x) for x in zip(none, *side)) for side in (left, right))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").take(owner), pa.array(digest.view(np.int64)), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), *sides],
                     names=["doc_id", "digest", "start", "size", "left", "right"],

@@ -477,6 +477,22 @@ def test_a_piece_at_an_empty_chunk_is_never_left_out():
     assert left.tolist()[0] == right.tolist()[0] == 0 and right.tolist()[1] > 0
 
 
+def test_sums_of_a_text_serve_chunks_and_the_words_beside_them():
+    from portdelta.llm.substring_dedup import _GEAR, _beside, _prefix_sums, gear, surroundings
+
+    rng = np.random.default_rng(8)
+    for text in ("", "a", "".join(rng.choice(list("abcd  "), 6000)), "ab " * 900, "x" * 900 + "".join(rng.choice(list("ab "), 900))):
+        data = np.frombuffer(text.encode(), np.uint8)
+        plain = [sum(int(_GEAR[data[k]]) << (i - k) for k in range(max(0, i - 31), i + 1)) & 0xFFFFFFFF for i in range(len(data))]
+        assert gear(data).tolist() == plain
+        sums = _prefix_sums(data)
+        found = chunks(data, sums)
+        assert all(x.tolist() == y.tolist() for x, y in zip(found, chunks(data)))
+        pieces = with_runs(*found)[1:]
+        for side, (values, mask) in zip(surroundings(data, pieces, found[1:], 50), _beside(data, pieces, found[1:], 50, sums)):
+            assert side.tolist() == [None if m else v for v, m in zip(values.tolist(), mask.tolist())]
+
+
 def test_names_are_followed_in_the_order_of_the_text():
     import time
 
