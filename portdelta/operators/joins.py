@@ -8,11 +8,16 @@ once per salt value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
+
+from portdelta.ship import by_value
 
 _SALT = "_salt"
 
@@ -181,6 +186,54 @@ def range_join(
     )
 
 
+# Status rows that a task gathers before it bundles them, and rows of a bundle at most.
+_GATHERED, _BUNDLE = 200_000, 2048
+
+
+def _bundles(keys: list[str], ts: str, extra: list[str]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of equal keys as one: the newest time and the list of their other columns, of bounded length."""
+
+    def bundle(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        numbered = table.select([*keys, ts]).append_column("_row", pa.array(np.arange(table.num_rows)))
+        groups = numbered.group_by(keys, use_threads=False).aggregate([(ts, "max"), ("_row", "list")]).combine_chunks()
+        rows = groups.column("_row_list").combine_chunks()
+        starts, sizes = rows.offsets.to_numpy()[:-1], rows.value_lengths().to_numpy()
+        pieces = -(-sizes // _BUNDLE)
+        group = np.repeat(np.arange(len(sizes)), pieces)
+        piece = np.arange(len(group)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        offsets = np.append(starts[group] + piece * _BUNDLE, len(rows.flatten())).astype(np.int32)
+        struct = pa.StructArray.from_arrays([table.column(c).combine_chunks() for c in extra], names=extra)
+        bundled = pa.ListArray.from_arrays(pa.array(offsets), struct.take(rows.flatten()))
+        columns = [groups.column(c).take(pa.array(group)).combine_chunks() for c in [*keys, f"{ts}_max"]]
+        yield from pa.Table.from_arrays([*columns, bundled], names=[*keys, ts, "_rows"]).to_batches(max_chunksize=1000)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, n = [], 0
+        for batch in batches:
+            kept.append(batch)
+            n += batch.num_rows
+            if n >= _GATHERED:
+                yield from bundle(pa.Table.from_batches(kept))
+                kept, n = [], 0
+        if n:
+            yield from bundle(pa.Table.from_batches(kept))
+
+    return run
+
+
+def bundled(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """``keys``, ``ts`` and ``_rows``: rows of equal keys together, on a stream those of one micro-batch.
+
+    ``ts`` is the newest time of the bundle and ``_rows`` the list of the other columns. It keeps no state. Rows of
+    one key may come in several bundles; each has a bounded number of rows.
+    """
+    keys = list(keys)
+    extra = [c for c in df.columns if c not in keys and c != ts]
+    kinds = df.select(*keys, ts, *extra).schema
+    schema = StructType([*kinds.fields[: len(keys) + 1]]).add("_rows", ArrayType(StructType(kinds.fields[len(keys) + 1 :])))
+    return df.select(*keys, ts, *extra).repartition(*keys).mapInArrow(_bundles(keys, ts, extra), schema)
+
+
 def join_status_stream(
     counters: DataFrame,
     status: DataFrame,
@@ -191,19 +244,23 @@ def join_status_stream(
     """``join_status_minute`` on two streams: counters with the status of their minute, whichever comes first.
 
     Both sides may be ``delay`` late. A counter row without status appears, with NULLs, once the watermark is a
-    minute past it; by then both sides have dropped what can find no partner any more.
+    minute past it; by then both sides have dropped what can find no partner any more. Status rows of one minute that
+    come together are one row of the join and of its state, so a counter row meets them at once; it is repeated for
+    each behind the join. Such a bundle is as late as its newest row.
     """
     keys = list(keys)
     extra = [c for c in status.columns if c not in keys and c != ts]
     left = counters.withWatermark(ts, delay).withColumn("_minute", F.date_trunc("minute", ts))
-    right = status.withWatermark(ts, delay).select(
-        *[F.col(k).alias(f"_status_{k}") for k in keys], F.col(ts).alias("_status_ts"), F.date_trunc("minute", ts).alias("_status_minute"), *extra
-    )
+    own = [F.col(k).alias(f"_status_{k}") for k in keys]
+    named = status.select(*own, F.date_trunc("minute", ts).alias("_status_minute"), F.col(ts).alias("_status_ts"), (F.struct(*extra) if extra else F.lit(True)).alias("_status"))
+    right = bundled(named, [*(f"_status_{k}" for k in keys), "_status_minute"], "_status_ts").withWatermark("_status_ts", delay)
     same = [F.col(k) == F.col(f"_status_{k}") for k in keys] + [F.col("_minute") == F.col("_status_minute")]
     # The minutes agree; Spark needs the bounds on the times themselves to know when state can go.
     minute = F.expr("INTERVAL 1 MINUTE")
     bounds = [F.col("_status_ts") >= F.col(ts) - minute, F.col("_status_ts") <= F.col(ts) + minute]
-    return left.join(right, reduce(Column.__and__, same + bounds), "left").select(*counters.columns, *extra)
+    joined = left.join(right, reduce(Column.__and__, same + bounds), "left")
+    each = joined.select(*counters.columns, F.explode_outer("_rows").alias("_one"))
+    return each.select(*counters.columns, *[F.col("_one._status")[c].alias(c) for c in extra])
 
 
 def self_join_window(
@@ -285,3 +342,6 @@ def threshold_join(df: DataFrame, thresholds: DataFrame, on: str, salt: int = 1)
     """Adds ``threshold`` from a key/value table; rows without one keep NULL."""
     limits = thresholds.select(F.col("key").alias(on), F.col("value").alias("threshold"))
     return salted_join(df, limits, [on], "left", salt).select(*df.columns, "threshold")
+
+
+by_value(__name__)

@@ -391,6 +391,36 @@ def test_two_streams_join_by_the_minute_and_free_their_state(spark, tmp_path):
     assert held <= 4
 
 
+def test_status_rows_of_a_minute_that_come_together_are_one_row_of_state(spark, tmp_path):
+    counters, status = Feed(spark, f"{tmp_path}/c"), Feed(spark, f"{tmp_path}/s", _STATUS_SCHEMA)
+    counters.put(*_samples(0.2, 7.0, 7.5))
+    status.put(*[("d", "i", _minute(7 + i / 100), f"s{i}") for i in range(60)], (None, "i", _minute(7), "no key"), ("d", "i", None, "no time"))
+    out = f"{tmp_path}/out"
+    rows = joins.join_status_stream(counters.stream(), status.stream(), KEYS, "ts", "10 minutes")
+    query = start_stream(rows, None, {}, f"{tmp_path}/state", NOW, batch_sink=file_sink(out))
+    query.awaitTermination()
+    got = spark.read.option("basePath", out).parquet(out).collect()
+    assert sorted((r["ts"].second, r["oper_status"]) for r in got) == sorted((s, f"s{i}") for s in (0, 30) for i in range(60))
+    # Three counter rows, the bundle of minute 7 and the two rows that meet nothing.
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 6
+
+
+def test_bundles_hold_all_rows_and_few_each(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(joins, "_BUNDLE", 4)
+    monkeypatch.setattr(joins, "_GATHERED", 20)
+    keys = [["a", "b", None][i % 3] if i < 30 else "c" for i in range(47)]
+    table = pa.table({"k": keys, "t": pa.array(range(47), pa.timestamp("us")), "x": pa.array(range(47)), "y": [[i] for i in range(47)]})
+    got = [r for b in joins._bundles(["k"], "t", ["x", "y"])(table.to_batches(max_chunksize=7)) for r in b.to_pylist()]
+    assert max(len(r["_rows"]) for r in got) == 4
+    assert all(keys[v["x"]] == r["k"] and v["y"] == [v["x"]] for r in got for v in r["_rows"])
+    assert sorted(v["x"] for r in got for v in r["_rows"]) == list(range(47))
+    assert all(r["t"] >= table["t"][v["x"]].as_py() for r in got for v in r["_rows"])
+    assert {r["t"] for r in got} <= set(table["t"].to_pylist())
+    assert list(joins._bundles(["k"], "t", ["x"])(iter([]))) == []
+
+
 def test_counts_of_each_micro_batch_come_from_the_listener(spark, feed):
     import time
 
