@@ -17,16 +17,16 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portdelta.llm.staging import drop_at_exit, small_batches, staged
-from portdelta.llm.text import slices
+from portdelta.llm.text import buffers
 from portdelta.session import fresh_path
 from portdelta.ship import by_value
 
@@ -34,6 +34,11 @@ _LENGTHS = np.stack([(np.arange(256) >> (2 * i) & 3) + 1 for i in range(4)], axi
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 # Signs that make no piece with the letters before them, as an apostrophe may.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Of UTF-8 bytes: 1 letters (U+00C0 to U+023F but two), 2 signs, 3 the line end, 0 others.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xC9)]] = 1
+_KINDS[[ord(c) for c in _SIGNS]] = 2
+_KINDS[0x0A] = 3
 _TOKENS = "doc_id long, start long, n_tokens long, control binary, data binary"
 
 
@@ -130,8 +135,9 @@ class PieceEncoder:
     source: str
     kind: str
     most: int = 300_000
-    ids: dict[str, bytes] = field(default_factory=dict)
-    older: dict[str, bytes] = field(default_factory=dict)
+    ids: dict[str, dict[str, bytes]] = field(default_factory=lambda: {"Ġ": {}, "": {}})
+    older: dict[str, dict[str, bytes]] = field(default_factory=lambda: {"Ġ": {}, "": {}})
+    known: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         import json
@@ -155,69 +161,157 @@ class PieceEncoder:
         )
         self.special = [t["content"] for t in told.get("added_tokens", [])]
         self.names = str.maketrans({chr(b): n for b, n in _byte_names().items()})
-        self.model = self.tokenizer.model
-        self.marks = dict(zip(".,\n", self._whole([".", ",", "\n"])))
+        self.tokenize = self.tokenizer.model.tokenize
+        self.code = "H" if self.kind == "<u2" else "I"
 
     def _bytes(self, ids: list[int]) -> bytes:
-        return array("H" if self.kind == "<u2" else "I", ids).tobytes()
+        return array(self.code, ids).tobytes()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, p: str, blank: bool) -> bytes | None:
-        """Ids of letters and signs after them, behind a blank or a line end; None for other pieces.
-
-        Letters are one piece to the vocabulary, with the blank before them if there is one, and so are signs.
+    def _stems(self, stems: list[str], before: str) -> list[bytes]:
+        """Ids of letters with a blank before them, if ``before`` says so; what was known long ago is in the older half."""
+        if len(self.ids[before]) > self.most:
+            self.ids[before], self.older[before] = {}, self.ids[before]
+        ids, older, code, tokenize = self.ids[before], self.older[before], self.code, self.tokenize
+        found = list(map(ids.get, stems))
+        for i, known in enumerate(found):
+            if known is None:
+                p = stems[i]
+                known = older.get(p)
+                if known is None:
+                    named = p if p.isascii() else p.encode().decode("latin-1").translate(self.names)
+                    known = array(code, [t.id for t in tokenize(before + named)]).tobytes()
+                ids[p] = found[i] = known
+        return found
+
+    def _others(self, pieces: list[str]) -> list[bytes]:
+        """Ids of any pieces behind a blank, or of signs and line ends."""
+        if len(self.known) > self.most:
+            self.known = {}
+        new = [p for p in pieces if p not in self.known]
+        for at in range(0, len(new), 5000):
+            part = new[at : at + 5000]
+            self.known.update(zip(part, self._whole(part)))
+        return [self.known[p] for p in pieces]
+
+    def _plain(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which pieces are lines of letters with signs behind them, the bytes' places where their parts begin, and the kinds.
+
+        To the vocabulary letters are one piece, with the blank before them if there is one, and so are signs; a
+        line end that letters follow stands alone. Kinds: 1 letters, 2 signs, 3 a line end.
+        """
+        data, offsets = buffers(pieces)
+        kind = _KINDS[data]
+        begins, ends = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+        filled = offsets[1:] > offsets[:-1]
+        begins[offsets[:-1][filled]] = ends[offsets[1:][filled] - 1] = True
+        begins, ends = begins[:-1], ends[:-1]
+        last = np.concatenate([np.array([3], np.uint8), kind])[:-1]
+        last[begins] = 3
+        wrong = (kind == 0) | ((last == 3) & (kind != 1)) | ((kind == 1) & (last == 2)) | (ends & (kind == 3))
+        # These two signs stand among the letters.
+        wrong[:-1] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+        plain = filled.copy()
+        plain[np.searchsorted(offsets, np.flatnonzero(wrong), side="right") - 1] = False
+        cuts = begins | (kind != last)
+        return plain, np.flatnonzero(cuts), kind
+
+    def _pieces(self, pieces: pa.Array, wanted: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of parts, which parts the pieces are made of one after the other, how many each has, and which have none.
+
+        Pieces that are not ``wanted``, and those behind whose blank a line end or the like comes, have none.
         """
-        key = p if blank else "\n" + p
-        known = self.ids.get(key) or self.older.get(key)
-        if known is None:
-            stem = p.rstrip(_SIGNS)
-            tail = p[len(stem) :]
-            if not (stem.isalpha() and (stem.isascii() or max(stem) < "ɐ")):
-                return None
-            if tail:
-                if tail not in self.marks:
-                    self.marks[tail] = self._whole([tail])[0]
-                known = self._word(stem, blank) + self.marks[tail]
-            else:
-                named = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.names)
-                known = self._bytes([t.id for t in self.model.tokenize("Ġ" + named if blank else named)])
-        self.ids[key] = known
-        return known
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of pieces that are not known; what was known long ago is taken from the older half."""
-        if len(self.ids) > self.most:
-            self.ids, self.older = {}, self.ids
-        rest = []
-        for p in pieces:
-            if self._word(p, True) is not None:
-                continue
-            left, line_end, right = p.partition("\n")
-            first, second = (self._word(left, True), self._word(right, False)) if line_end else (None, None)
-            if first is not None and second is not None:
-                self.ids[p] = first + self.marks["\n"] + second
-            else:
-                rest.append(p)
-        for at in range(0, len(rest), 5000):
-            part = rest[at : at + 5000]
-            self.ids.update(zip(part, self._whole([" " + p for p in part])))
+        plain, starts, kind = self._plain(pieces)
+        plain &= wanted
+        data, offsets = buffers(pieces)
+        number = np.searchsorted(offsets, starts, side="right") - 1
+        stops = np.append(starts[1:], len(data))
+        parts = _texts_between(data, np.append(starts, len(data)))
+        kind = kind[starts]
+        head = starts == offsets[:-1][number]
+        values: list[bytes] = []
+        value = np.zeros(len(starts), np.int64)
+        letters = plain[number] & (kind == 1)
+        for some, ids_of in (
+            (letters & head, lambda x: self._stems(x, "Ġ")),
+            (letters & ~head, lambda x: self._stems(x, "")),
+            (plain[number] & (kind != 1), self._others),
+        ):
+            coded = parts.filter(pa.array(some)).dictionary_encode()
+            value[some] = coded.indices.to_numpy() + len(values)
+            values += ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        rest = np.flatnonzero(wanted & ~plain)
+        texts = pieces.take(pa.array(rest)).to_numpy(zero_copy_only=False).tolist()
+        behind = np.array([bool(p) and ("!" <= p[0] <= "~" or "À" <= p[0] < "ࠀ") for p in texts], bool)
+        rest = rest[behind]
+        # A piece that is not plain is one part.
+        made = plain.copy()
+        made[rest] = True
+        own = np.full(len(pieces), -1)
+        own[rest] = len(values) + np.arange(len(rest))
+        values += self._others([" " + p for p, ok in zip(texts, behind.tolist()) if ok])
+        single = head & (own[number] >= 0)
+        value[single] = own[number[single]]
+        taken = (plain[number] & (stops > starts)) | single
+        return values, value[taken], np.bincount(number[taken], minlength=len(pieces)), ~made
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.pieces:
-            return self._whole(texts)
-        cut = [t.split(" ") for t in texts]
-        wanted = set(chain.from_iterable(cut))
-        if len(self.ids) <= self.most:
-            wanted = wanted.difference(self.ids)
-        self._learn({p for p in wanted if p and ("!" <= p[0] <= "~" or "À" <= p[0] < "ࠀ")})
-        heads = self._whole([c[0] for c in cut])
-        out = []
-        for text, c, head in zip(texts, cut, heads):
-            found = None if any(s in text for s in self.special) else list(map(self.ids.get, c[1:]))
-            out.append(self._whole([text])[0] if found is None or None in found else head + b"".join(found))
-        return out
+        ids, n = self.encode_column(pa.array(texts, pa.string()))
+        stop = np.cumsum(n)
+        return [ids[a:b].tobytes() for a, b in zip(stop - n, stop)]
+
+    def encode_column(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, with ``end`` behind each, and how many each text has."""
+        texts = pc.fill_null(texts, "")
+        docs = len(texts)
+        if not self.pieces or not docs:
+            return self._expanded([*self._whole(texts.to_pylist()), end], np.stack([np.arange(docs), np.full(docs, docs)], axis=1).ravel(), np.full(docs, 2))
+        cut = pc.split_pattern(texts, " ")
+        size = cut.value_lengths().to_numpy()
+        first = np.cumsum(size) - size
+        coded = cut.flatten().dictionary_encode()
+        at = coded.indices.to_numpy()
+        behind = np.ones(len(at), bool)
+        behind[first] = False
+        values, parts, count, none = self._pieces(coded.dictionary, np.bincount(at[behind], minlength=len(coded.dictionary)) > 0)
+        ids, n = self._expanded(values, parts, count)
+        doc = np.repeat(np.arange(docs), size)
+        whole = np.bincount(doc[none[at] & behind], minlength=docs) > 0
+        for special in self.special:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        heads = self._whole(coded.dictionary.take(pa.array(at[first])).to_pylist())
+        for i, x in zip(np.flatnonzero(whole).tolist(), self._whole(texts.filter(pa.array(whole)).to_pylist())):
+            heads[i] = x
+        # Behind the pieces come nothing, the heads, and the end.
+        more = [b"", *heads, end]
+        ids, n = np.concatenate([ids, np.frombuffer(b"".join(more), self.kind)]), np.concatenate([n, np.array([len(x) for x in more]) // ids.itemsize])
+        value = np.where(whole[doc], len(none), at)
+        value[first] = len(none) + 1 + np.arange(docs)
+        every = np.full(len(at) + docs, len(n) - 1)
+        every[np.arange(len(at)) + doc] = value
+        return _spread(ids, n, every, size + 1)
+
+    def _expanded(self, values: list[bytes], every: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the values that ``every`` names, and how many there are of each ``count`` of them."""
+        ids = np.frombuffer(b"".join(values), self.kind)
+        return _spread(ids, np.fromiter(map(len, values), np.int64, len(values)) // ids.itemsize, every, count)
+
+
+def _spread(ids: np.ndarray, n: np.ndarray, every: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``n`` ids each, those that ``every`` names, and how many ids there are of each ``count`` of them."""
+    starts, sizes = (np.cumsum(n) - n)[every], n[every]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    spot = np.repeat(starts - ends[:-1], sizes)
+    spot += np.arange(len(spot))
+    stop = np.cumsum(count)
+    return ids[spot], ends[stop] - ends[stop - count]
+
+
+def _texts_between(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The text from each place to the next."""
+    return pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 def _tokenized(source, kind: str, end_id: int):
@@ -230,15 +324,13 @@ def _tokenized(source, kind: str, end_id: int):
         encoder = sent.get(kind) or sent.setdefault(kind, PieceEncoder(sent["vocabulary"], kind))
         part_no, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in slices(batch):
-                ids = [x + end for x in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
-                n = np.array([len(x) // width for x in ids], np.int64)
-                start = before + np.cumsum(n) - n
-                before += int(n.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part_no] * len(ids), pa.int32()), part.column("doc_id"), pa.array(start), pa.array(n), pa.array(ids, pa.binary())],
-                    names=["part", "doc_id", "start", "n_tokens", "ids"],
-                )
+            ids, n = encoder.encode_column(batch.column("text"), end)
+            start = before + np.cumsum(n) - n
+            before += int(n.sum())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(n), part_no, np.int32)), batch.column("doc_id"), pa.array(start), pa.array(n), _binaries(ids.view(np.uint8), n * width)],
+                names=["part", "doc_id", "start", "n_tokens", "ids"],
+            )
 
     return run
 

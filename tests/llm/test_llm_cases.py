@@ -358,6 +358,20 @@ def _encoder() -> PieceEncoder:
     return _ENCODERS[0]
 
 
+def test_encoder_agrees_with_the_library_on_mixed_pieces():
+    encoder = _encoder()
+    # A blank and a line end before a word known behind a line end: the blank and the line end are tokens too.
+    odd = ["a.\nThe b", "a \nThe b", " \nThe", "x \n", "", " ", None, "", "tab\there", "w\n", "w,\n\nz", "×a ÷ ñ× é÷é", "it's 'tis don't", "ɐb ȿz Ɂ ɏ", "中 文 word", "a <|endoftext|> b"]
+    rng = np.random.default_rng(11)
+    bits = [" ", " ", " ", " the", " Thé", "cióñ", "ß", "\n", ".", ",", "!?", "'", "s", "12", "×", "÷", "ɐ", "é", "…", "\t", "я", " \n", "A", "z", "\x00", "Ŀ", "ȿ"]
+    texts = odd + ["".join(rng.choice(bits, rng.integers(0, 12))) for _ in range(3000)]
+    for part in (texts, texts[:9], [None, ""], [], texts[200:900][::-1]):
+        want = [e.ids for e in encoder.tokenizer.encode_batch_fast([t or "" for t in part], add_special_tokens=False)]
+        ids, n = encoder.encode_column(pa.array(part, pa.string()), np.array([2], "<u2").tobytes())
+        assert ids.tolist() == [x for w in want for x in [*w, 2]] and n.tolist() == [len(w) + 1 for w in want]
+        assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode([t or "" for t in part])] == want
+
+
 def test_token_files_odd_rows(spark, odd_docs, odd_rows):
     from portdelta.llm.queries import END_ID, vocabulary
 
