@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from portdelta.llm.components import components
 from portdelta.llm.staging import blocks_of, key_bitmap, small_batches, staged, summed_blocks
-from portdelta.llm.text import buffers, mixed, slices, words
+from portdelta.llm.text import buffers, mixed, short_words, slices
 from portdelta.ship import by_value
 
 _COUNT_BITS, _BLOCK, _FILTER_BITS = 19, 1 << 15, 26
@@ -69,11 +69,11 @@ def _by_line_and_hash(line: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def line_sets(texts: pa.Array) -> LineSets:
     data, offsets = buffers(texts)
-    w = words(data, offsets)
+    w = short_words(data, offsets)
     ends = np.flatnonzero(data == 0x0A)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(w.first))
     # Lines are counted over all texts, so that a new text is a new line too.
-    line = np.searchsorted(ends, w.starts) + text
+    line = np.cumsum(np.bincount(np.searchsorted(w.starts, ends), minlength=len(w.starts) + 1)[: len(w.starts)]) + text
     order = _by_line_and_hash(line, w.hashes)
     line, tokens, text = line[order], w.hashes[order], text[order]
     new = np.ones(len(line), bool)

@@ -23,7 +23,7 @@ from portdelta.llm.quality import describe, fit_quality, score_quality
 from portdelta.llm.secrets import find_secrets, scan_secrets
 from portdelta.llm.staging import recorded
 from portdelta.llm.substring_dedup import chunks, repeated_passages, with_runs, without_repeats
-from portdelta.llm.text import buffers, words
+from portdelta.llm.text import buffers, short_words, words
 from portdelta.llm.token_files import PieceEncoder, decode, decode_all, encode, encode_all, read_tokens, token_folder, write_tokens
 from portdelta.llm.toxicity import COUNTS, _best_limits, _candidates, Decoder, character_model, fit_toxicity, readings, reject_toxic, score_toxicity, suspects
 
@@ -372,6 +372,25 @@ def test_encoder_agrees_with_the_library_on_mixed_pieces():
         assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode([t or "" for t in part])] == want
 
 
+def test_words_hashed_eight_bytes_at_a_time_are_the_same_words():
+    rng = np.random.default_rng(5)
+    bits = [" ", "\n", "\t", "a", "B", "Z", "é", "ÀÀ", "word", "longerword", "x" * 40, "中", "\x0b", "\x00", "{", "@", "[", "q" * 300, "\x85"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 30))) for _ in range(1500)] + ["", None, "abc", "def", "a\x00", "a", "ab" * 200, "AB" * 200]
+    a, b = words(*buffers(pa.array(texts))), short_words(*buffers(pa.array(texts)))
+    for name in ("starts", "ends", "first"):
+        assert np.array_equal(getattr(a, name), getattr(b, name))
+    # Equal words have equal hashes and others do not.
+    both = {*zip(a.hashes.tolist(), b.hashes.tolist())}
+    assert len(both) == len({x for x, _ in both}) == len({y for _, y in both})
+    # A word's hash does not depend on what stands around it.
+    at = 0
+    for text in texts[:200]:
+        own = short_words(*buffers(pa.array([text]))).hashes
+        assert own.tolist() == b.hashes[at : at + len(own)].tolist()
+        at += len(own)
+    assert len(short_words(*buffers(pa.array(["", None]))).hashes) == 0
+
+
 def test_token_files_odd_rows(spark, odd_docs, odd_rows):
     from portdelta.llm.queries import END_ID, vocabulary
 
