@@ -17,6 +17,7 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portdelta.llm.staging import drop_at_exit, small_batches, staged
-from portdelta.llm.text import buffers
+from portdelta.llm.text import buffers, slices
 from portdelta.session import fresh_path
 from portdelta.ship import by_value
 
 _LENGTHS = np.stack([(np.arange(256) >> (2 * i) & 3) + 1 for i in range(4)], axis=1)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+# Runs of ids that are put together at once.
+_SPREAD = 1 << 15
 # Signs that make no piece with the letters before them, as an apostrophe may.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Of UTF-8 bytes: 1 letters (U+00C0 to U+023F but two), 2 signs, 3 the line end, 0 others.
@@ -92,10 +95,12 @@ def encode_all(ranks: np.ndarray, n: np.ndarray) -> tuple[pa.Array, pa.Array]:
     lengths[at] = extra
     four = lengths.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << np.uint8(2) | four[:, 2] << np.uint8(4) | four[:, 3] << np.uint8(6)
-    wide = ranks.astype("<u2") if most <= 0xFFFF else ranks
-    width = wide.dtype.itemsize
-    data = wide.view(np.uint8).reshape(-1, width)[np.arange(width) <= extra[:, None]]
     ends = np.concatenate([[0], np.cumsum(extra, dtype=np.int64) + np.arange(1, len(extra) + 1)])
+    data = np.empty(int(ends[-1]), np.uint8)
+    data[ends[:-1]] = ranks.astype(np.uint8)
+    for k in range(1, int(extra.max(initial=0)) + 1):
+        longer = np.flatnonzero(extra >= k)
+        data[ends[longer] + k] = (ranks[longer] >> np.uint32(8 * k)).astype(np.uint8)
     stop = np.cumsum(n)
     return _binaries(control, -(-n // 4)), _binaries(data, ends[stop] - ends[stop - n])
 
@@ -172,7 +177,8 @@ class PieceEncoder:
 
     def _stems(self, stems: list[str], before: str) -> list[bytes]:
         """Ids of letters with a blank before them, if ``before`` says so; what was known long ago is in the older half."""
-        if len(self.ids[before]) > self.most:
+        # Few stems stand behind a line end.
+        if len(self.ids[before]) > (self.most if before else self.most // 4):
             self.ids[before], self.older[before] = {}, self.ids[before]
         ids, older, code, tokenize = self.ids[before], self.older[before], self.code, self.tokenize
         found = list(map(ids.get, stems))
@@ -188,7 +194,7 @@ class PieceEncoder:
 
     def _others(self, pieces: list[str]) -> list[bytes]:
         """Ids of any pieces behind a blank, or of signs and line ends."""
-        if len(self.known) > self.most:
+        if len(self.known) > self.most // 4:
             self.known = {}
         new = [p for p in pieces if p not in self.known]
         for at in range(0, len(new), 5000):
@@ -303,10 +309,15 @@ def _spread(ids: np.ndarray, n: np.ndarray, every: np.ndarray, count: np.ndarray
     """Runs of ``n`` ids each, those that ``every`` names, and how many ids there are of each ``count`` of them."""
     starts, sizes = (np.cumsum(n) - n)[every], n[every]
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    spot = np.repeat(starts - ends[:-1], sizes)
-    spot += np.arange(len(spot))
+    out = np.empty(int(ends[-1]), ids.dtype)
+    # A part at a time, so that the places of the ids stay in the processor's cache.
+    for at in range(0, len(every), _SPREAD):
+        some = slice(at, min(at + _SPREAD, len(every)))
+        spot = np.repeat(starts[some] - ends[some] + ends[at], sizes[some])
+        spot += np.arange(len(spot))
+        out[ends[at] : ends[some.stop]] = ids[spot]
     stop = np.cumsum(count)
-    return ids[spot], ends[stop] - ends[stop - count]
+    return out, ends[stop] - ends[stop - count]
 
 
 def _texts_between(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -352,7 +363,7 @@ def _counted(kind: str):
 def _packed(kind: str, rank_of, starts: dict[int, int]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = rank_of.value
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, "ids") for b in batches):
             control, data = encode_all(ranks[_joined(batch.column("ids")).view(kind)], batch.column("n_tokens").to_numpy())
             first = np.array([starts[p] for p in batch.column("part").to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -409,7 +420,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, order
 def _unpacked(id_of):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = id_of.value
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, "data") for b in batches):
             n = batch.column("n_tokens").to_numpy()
             tokens = ids[decode_all(batch.column("control"), batch.column("data"), n)]
             crc = [zlib.crc32(tokens[stop - size : stop]) for stop, size in zip(np.cumsum(n).tolist(), n.tolist())]
